@@ -1,10 +1,11 @@
-from millrace.functions.columns import columns_of, matches, name
+from millrace.functions.columns import columns_of, equal, matches, name
 from millrace.functions.messages import decode_message
 from millrace.functions.text import token_count, token_frequency, tokens
 
 __all__ = [
     "columns_of",
     "decode_message",
+    "equal",
     "matches",
     "name",
     "token_count",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def name(column: str) -> Column:
     """Column by its exact name, also when the name holds a dot or a blank."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(_q(column))
 
 
 def columns_of(columns: str | Iterable[str]) -> list[str]:
@@ -28,5 +28,10 @@ def matches(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]])
     return reduce(and_, [left[_q(l)].eqNullSafe(right[_q(r)]) for l, r in pairs])
 
 
+def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Plain equality on every pair of (left, right) columns: NULL matches nothing."""
+    return reduce(and_, [left[_q(l)] == right[_q(r)] for l, r in pairs])
+
+
 def _q(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"

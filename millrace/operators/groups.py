@@ -1,7 +1,7 @@
 """Queries that set a row against its group.
 
-A window over the group would put a whole group into one task. Both operators reduce each group
-to one small row first, with partial aggregation in every task, and join that row back.
+A window over a group puts the whole group into one task. Instead a group is reduced to one small
+row, with partial aggregation in every task, and that row is joined back.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import columns_of, matches, name
 from millrace.workspace import BROADCAST_ROWS, broadcast_if_small, written
 
+# A group with more rows is never gathered in one task.
+HOT_ROWS = 2_000_000
+
 
 def compare_to_group_avg(
     df: DataFrame,
@@ -53,27 +56,70 @@ def nth_highest(
     value: str,
     n: int,
     columns: Sequence[str] | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows holding the ``n``-th highest distinct ``value`` of their group, ties included.
 
-    NULL ranks last, as one value. Equal values are merged before any shuffle, so ties and hot
-    groups never meet in one task; a task passes on at most ``n`` values per group to the ranking.
-    The ``n``-th values are computed when this is called, and their size decides the join.
+    NULL ranks last, as one value. Groups of at most ``hot_rows`` rows are ranked by a window,
+    for which every task keeps only its own ``n`` highest values per group before the shuffle.
+    That does not thin out ties, so larger groups are not sent to one task at all: their
+    ``n``-th value is found by aggregation and joined back. Group sizes are counted when this is
+    called.
     """
     if n < 1:
         raise ValueError("n counts from 1")
     keys = columns_of(group)
-    distinct = df.select(*[name(k) for k in keys], name(value).alias("_value")).distinct()
-    highest_first = Window.partitionBy(*[name(k) for k in keys]).orderBy(F.desc("_value"))
-    wanted = written(
-        distinct.withColumn("_rank", F.dense_rank().over(highest_first))
-        .filter(F.col("_rank") == n)
-        .drop("_rank"),
-        "nth-highest",
-    ).withColumnsRenamed({k: f"_group_{i}" for i, k in enumerate(keys)})
-    side = broadcast_if_small(wanted, broadcast_rows)
-    pairs = [(k, f"_group_{i}") for i, k in enumerate(keys)] + [(value, "_value")]
-    return df.join(side, matches(df, side, pairs), "left_semi").select(
-        *[name(c) for c in (columns or df.columns)]
+    output = [name(c) for c in (columns or df.columns)]
+    sizes = df.groupBy(*[name(k).alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+    smallest, largest = sizes.agg(F.min("_rows"), F.max("_rows")).first()
+    if (largest or 0) <= hot_rows:
+        return _ranked(df, keys, value, n).select(*output)
+
+    renamed = {k: f"_group_{i}" for i, k in enumerate(keys)}
+    pairs = list(renamed.items())
+    hot = written(sizes.filter(F.col("_rows") > hot_rows).drop("_rows"), "hot-groups")
+    hot = broadcast_if_small(hot.withColumnsRenamed(renamed))
+    wanted = broadcast_if_small(_nth_values(df, hot, pairs, value, n))
+    of_hot = df.join(wanted, matches(df, wanted, [*pairs, (value, "_value")]), "left_semi")
+    if smallest > hot_rows:
+        return of_hot.select(*output)
+    others = df.join(hot, matches(df, hot, pairs), "left_anti")
+    return _ranked(others, keys, value, n).select(*output).unionByName(of_hot.select(*output))
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+    highest_first = Window.partitionBy(*[name(k) for k in keys]).orderBy(name(value).desc())
+    return df.withColumn("_rank", F.dense_rank().over(highest_first)).filter(F.col("_rank") == n)
+
+
+def _nth_values(
+    df: DataFrame, groups: DataFrame, pairs: Sequence[tuple[str, str]], value: str, n: int
+) -> DataFrame:
+    """The ``n``-th highest value of each of the ``groups``, by aggregation only.
+
+    Values are dealt into hash buckets. The ``n``-th highest of the buckets' maxima is a value of
+    the group, so the ``n``-th highest of the group is no lower. Few distinct values pass this
+    floor, and those are ranked. A group with fewer maxima has no floor.
+    """
+    values = df.select(*[name(k).alias(r) for k, r in pairs], name(value).alias("_value"))
+    group_columns = [r for _, r in pairs]
+    same = [(r, r) for r in group_columns]
+    bucket = F.pmod(F.xxhash64("_value"), F.lit(max(64, 8 * n))).alias("_bucket")
+    maxima = (
+        values.join(groups, matches(values, groups, same), "left_semi")
+        .groupBy(*group_columns, bucket)
+        .agg(F.max("_value").alias("_top"))
+    )
+    highest = F.sort_array(F.collect_set("_top"), asc=False)
+    floors = written(
+        maxima.groupBy(*group_columns).agg(F.try_element_at(highest, F.lit(n)).alias("_floor")),
+        "floors",
+    ).withColumnsRenamed({r: f"{r}_of_floor" for r in group_columns})
+    floors = broadcast_if_small(floors)
+    candidates = (
+        values.join(floors, matches(values, floors, [(r, f"{r}_of_floor") for r in group_columns]))
+        .filter(F.col("_floor").isNull() | (F.col("_value") >= F.col("_floor")))
+        .select(*group_columns, "_value")
+        .distinct()
     )
+    return written(_ranked(candidates, group_columns, "_value", n).drop("_rank"), "nth-highest")

@@ -3,26 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import columns_of, matches, name
+from millrace.functions.columns import columns_of, equal, matches, name
 from millrace.operators.changes import DELETE
 
 
 def replace_keys(
-    target: DataFrame, changed: DataFrame, arriving: DataFrame, keys: Sequence[str]
+    target: DataFrame,
+    changed: DataFrame,
+    arriving: DataFrame,
+    keys: Sequence[str],
+    bucketed: bool = False,
 ) -> DataFrame:
     """``target`` without the keys found in ``changed``, plus the ``arriving`` rows.
 
     Only key columns of ``changed`` meet the target. They are broadcast by Catalyst where the
     files they come from are small; a target with one row per key has no skew otherwise.
+
+    The null-safe condition hides a bucketing of the target by ``keys`` from Spark. With
+    ``bucketed``, complete keys are therefore compared by plain equality, which needs no shuffle
+    of the target, and only rows with a NULL in their key are compared apart.
     """
-    renamed = [(k, f"_key_{i}") for i, k in enumerate(keys)]
-    changed_keys = changed.select(*[name(k).alias(r) for k, r in renamed]).distinct()
-    untouched = target.join(changed_keys, matches(target, changed_keys, renamed), "left_anti")
-    return untouched.unionByName(arriving)
+    pairs = [(k, f"_key_{i}") for i, k in enumerate(keys)]
+    changed_keys = changed.select(*[name(k).alias(r) for k, r in pairs]).distinct()
+    if not bucketed:
+        untouched = target.join(changed_keys, matches(target, changed_keys, pairs), "left_anti")
+        return untouched.unionByName(arriving)
+    kept = []
+    for rows, other, condition in (
+        (_keyed(target, keys), _keyed(changed_keys, [r for _, r in pairs]), equal),
+        (_keyless(target, keys), _keyless(changed_keys, [r for _, r in pairs]), matches),
+    ):
+        kept.append(rows.join(other, condition(rows, other, pairs), "left_anti"))
+    return kept[0].unionByName(kept[1]).unionByName(arriving)
+
+
+def _keyless(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.filter(reduce(or_, [name(k).isNull() for k in keys]))
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.filter(reduce(and_, [name(k).isNotNull() for k in keys]))
 
 
 def merge(

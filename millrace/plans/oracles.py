@@ -116,4 +116,5 @@ SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_upsert_delete": f"{MERGED} WHERE o_orderpriority <> '5-LOW'",
     "stream_upsert_compacted": MERGED,
+    "stream_upsert_bucketed": MERGED,
 }

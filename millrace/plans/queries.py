@@ -316,20 +316,32 @@ def stream_upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.snapshot()
 
 
-def stream_upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders changed by a stream on top of an initial load, read after compaction."""
+def changed_orders(spark: SparkSession, sf_dir: str, buckets: int | None) -> MergeTarget:
+    """Orders changed by a stream on top of an initial load."""
     orders = table(spark, sf_dir, "orders")
     arriving = qualified(new_database(spark), "orders")
     state = new_dir(spark, "state")
     target = MergeTarget.open(
         spark, f"{state}/table", "o_orderkey", "o_orderdate",
-        base=orders.filter(LOADED_BEFORE).select(ORDER_COLUMNS),
+        base=orders.filter(LOADED_BEFORE).select(ORDER_COLUMNS), buckets=buckets,
     )
     write_table(
         orders.filter(CHANGED_SINCE).select(ORDER_COLUMNS).withColumn("o_orderstatus", F.lit("U")),
         arriving,
     )
     stream_merge(stream_table(spark, arriving), target, f"{state}/checkpoint")
+    return target
+
+
+def stream_upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = changed_orders(spark, sf_dir, buckets=None)
+    target.compact()
+    return target.snapshot()
+
+
+def stream_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = changed_orders(spark, sf_dir, buckets)
     target.compact()
     return target.snapshot()
 
@@ -362,4 +374,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_upsert_guarded": stream_upsert_guarded,
     "stream_upsert_delete": stream_upsert_delete,
     "stream_upsert_compacted": stream_upsert_compacted,
+    "stream_upsert_bucketed": stream_upsert_bucketed,
 }

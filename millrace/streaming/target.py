@@ -5,16 +5,20 @@ table. Reading joins the log into the base; ``compact`` folds the log into a new
 
     <root>/base/upto=<batch id>    the table after that batch (-1: before the first)
     <root>/log/_batch_id=<id>      the latest row per key of one micro-batch
+
+A log too large to broadcast makes every reading shuffle the base. A base kept in ``buckets`` by
+key avoids that: then only the log is shuffled, to the buckets, also when compacting.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace import storage
 from millrace.functions.columns import columns_of, name
@@ -32,6 +36,8 @@ class MergeTarget:
     change feed, whose ``delete`` rows remove their key. Between batches the last one wins, even
     if its row is older. With ``order_guard`` the greatest ``order_by`` columns win there too,
     which then must be columns of the table; batches only break ties.
+
+    ``buckets`` should be at least ``spark.sql.shuffle.partitions``, or Spark prefers to shuffle.
     """
 
     spark: SparkSession
@@ -41,6 +47,7 @@ class MergeTarget:
     order_by: tuple[str, ...]
     delete: bool = False
     order_guard: bool = False
+    buckets: int | None = None
 
     @classmethod
     def open(
@@ -53,6 +60,7 @@ class MergeTarget:
         base: DataFrame | None = None,
         delete: bool = False,
         order_guard: bool = False,
+        buckets: int | None = None,
     ) -> MergeTarget:
         """The target under ``root``, created on first use from ``base`` or empty from ``schema``.
 
@@ -60,10 +68,10 @@ class MergeTarget:
         """
         if base is None and schema is None:
             raise ValueError("give the schema of the table or its initial rows")
-        columns = StructType([f for f in (schema or base.schema).fields])
+        columns = StructType(list((schema or base.schema).fields))
         target = cls(
             spark, root.rstrip("/"), columns, tuple(columns_of(keys)), tuple(columns_of(order_by)),
-            delete, order_guard,
+            delete, order_guard, buckets,
         )
         target._create(base)
         return target
@@ -78,14 +86,17 @@ class MergeTarget:
 
     def snapshot(self, upto: int | None = None) -> DataFrame:
         """The table now, or after the batch ``upto`` (not before the current base)."""
-        last = self._last_batch() if upto is None else upto
         base_id = self._base_id()
-        base = self.spark.read.schema(self.schema).parquet(f"{self.root}/base/upto={base_id}")
-        log = self._log().filter(F.col("_batch_id").between(base_id + 1, last))
+        base = self._base(base_id)
+        log = self._log(base_id, self._last_batch() if upto is None else upto)
         if self.order_guard:
             return self._guarded(base, log)
-        latest = latest_per_key(log, list(self.keys), "_batch_id")
-        return replace_keys(base, log, self._rows(latest), list(self.keys))
+        arriving = self._rows(latest_per_key(log, list(self.keys), "_batch_id"))
+        if self.buckets is None:
+            return replace_keys(base, log, arriving, list(self.keys))
+        # One task per bucket, so that compacting adds one file to each bucket.
+        arriving = arriving.repartition(self.buckets, *self._key_columns())
+        return replace_keys(base, log, arriving, list(self.keys), bucketed=True)
 
     def compact(self) -> int:
         """Write the table after the last logged batch as the next base; returns that batch's id.
@@ -96,7 +107,7 @@ class MergeTarget:
             raise ValueError("the log must keep deletes while older rows may still arrive")
         last = self._last_batch()
         if last > self._base_id():
-            self.snapshot(last).write.mode("overwrite").parquet(f"{self.root}/base/upto={last}")
+            self._write_base(self.snapshot(last), last)
         return last
 
     def remove(self, checkpoint: str) -> None:
@@ -104,6 +115,9 @@ class MergeTarget:
 
         They go together: without its checkpoint a stream numbers its batches from 0 again.
         """
+        if self.buckets is not None:
+            for batch_id in self._ids(self._base_folder, "upto"):
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._base_table(batch_id)}")
         storage.delete(self.spark, checkpoint)
         storage.delete(self.spark, self.root)
 
@@ -125,25 +139,70 @@ class MergeTarget:
         columns = StructType(list(self.schema.fields))
         return columns.add("_change_type", StringType()) if self.delete else columns
 
-    def _log(self) -> DataFrame:
+    def _log(self, after: int, upto: int) -> DataFrame:
         columns = self._log_schema().add("_batch_id", LongType())
-        return self.spark.read.schema(columns).parquet(f"{self.root}/log")
+        log = self.spark.read.schema(columns).parquet(f"{self.root}/log")
+        return log.filter(F.col("_batch_id").between(after + 1, upto))
+
+    def _key_columns(self) -> list[Column]:
+        return [name(k) for k in self.keys]
 
     def _create(self, base: DataFrame | None) -> None:
         spark, root = self.spark, self.root
-        first = f"{root}/base/upto={BEFORE_FIRST_BATCH}"
+        storage.make_dir(spark, root)
+        for folder in storage.folder_names(spark, root):
+            if folder.startswith("base") and folder != self._base_folder:
+                raise ValueError(f"the table is kept in {folder}, not in {self._base_folder}")
         empty_log = f"{root}/log/_batch_id={BEFORE_FIRST_BATCH}"
         if not storage.exists(spark, f"{empty_log}/_SUCCESS"):
             spark.createDataFrame([], self._log_schema()).write.mode("overwrite").parquet(empty_log)
-        if storage.exists(spark, f"{first}/_SUCCESS"):
+        if storage.exists(spark, f"{self._base_path(BEFORE_FIRST_BATCH)}/_SUCCESS"):
             return
         if base is None:
             base = spark.createDataFrame([], self.schema)
         else:
-            keyed = base.groupBy(*[name(k) for k in self.keys]).agg(F.count(F.lit(1)).alias("_n"))
+            keyed = base.groupBy(*self._key_columns()).agg(F.count(F.lit(1)).alias("_n"))
             if not keyed.filter("_n > 1").isEmpty():
                 raise ValueError(f"the initial rows repeat a key {list(self.keys)}")
-        base.write.mode("overwrite").parquet(first)
+            if self.buckets is not None:
+                base = base.repartition(self.buckets, *self._key_columns())
+        self._write_base(base, BEFORE_FIRST_BATCH)
+
+    @property
+    def _base_folder(self) -> str:
+        return "base" if self.buckets is None else f"base-buckets={self.buckets}"
+
+    def _base_path(self, batch_id: int) -> str:
+        return f"{self.root}/{self._base_folder}/upto={batch_id}"
+
+    def _base_table(self, batch_id: int) -> str:
+        """Buckets are known to Spark only for catalog tables, so each base is one."""
+        return f"millrace_{hashlib.md5(self.root.encode()).hexdigest()}_{batch_id + 1}"
+
+    def _write_base(self, rows: DataFrame, batch_id: int) -> None:
+        path = self._base_path(batch_id)
+        writer = rows.write.mode("overwrite").format("parquet")
+        if self.buckets is None:
+            writer.save(path)
+        else:
+            writer.option("path", path).bucketBy(self.buckets, *self.keys).sortBy(
+                *self.keys
+            ).saveAsTable(self._base_table(batch_id))
+
+    def _base(self, batch_id: int) -> DataFrame:
+        path = self._base_path(batch_id)
+        if self.buckets is None:
+            return self.spark.read.schema(self.schema).parquet(path)
+        columns = StructType([StructField(f.name, f.dataType) for f in self.schema]).toDDL()
+        keys = ", ".join("`" + k.replace("`", "``") + "`" for k in self.keys)
+        table = self._base_table(batch_id)
+        location = path.replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
+            f"LOCATION '{location}'"
+        )
+        return self.spark.table(table)
 
     def _ids(self, folder: str, label: str) -> list[int]:
         """Ids of the completely written folders."""
@@ -156,7 +215,7 @@ class MergeTarget:
         return max(self._ids("log", "_batch_id"))
 
     def _base_id(self) -> int:
-        return max(self._ids("base", "upto"))
+        return max(self._ids(self._base_folder, "upto"))
 
 
 def stream_merge(

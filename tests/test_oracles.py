@@ -1,0 +1,39 @@
+"""Every registered query against its SQL on the given tables."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from conftest import TABLES
+
+
+@pytest.fixture(scope="module")
+def sql(sf_dir):
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return connection
+
+
+def exact(rows, order):
+    return sorted(repr([(type(row[i]).__name__, row[i]) for i in order]) for row in rows)
+
+
+def test_every_query_has_an_oracle():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("key", list(contract.queries()))
+def test_query_equals_sql(spark, sf_dir, sql, key):
+    result = contract.queries()[key](spark, sf_dir)
+    cursor = sql.execute(contract.oracle_sql()[key])
+    columns = [c[0] for c in cursor.description]
+    expected = cursor.fetchall()
+    assert sorted(result.columns) == sorted(columns)
+    assert expected, "an empty result proves nothing"
+    order = range(len(columns))
+    assert exact(result.select(columns).collect(), order) == exact(expected, order)
+
+
+def test_entry(spark, sf_dir):
+    assert contract.entry(spark).count() > 0

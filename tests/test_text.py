@@ -1,0 +1,64 @@
+from conftest import executed_plan, rows
+
+from millrace.functions import decode_message, token_count, token_frequency, tokens
+
+LINES = [("one two  two",), ("3 4th",), ("",), (None,), ("ü – x",)]
+
+
+def lines(spark):
+    return spark.createDataFrame(LINES, "value string")
+
+
+def test_tokens_need_an_ascii_letter(spark):
+    assert rows(tokens(lines(spark))) == [("4th",), ("one",), ("two",), ("two",), ("x",)]
+
+
+def test_all_tokens_include_empty_ones(spark):
+    found = [r.token for r in tokens(lines(spark), pattern=None).collect()]
+    assert sorted(found) == sorted(["one", "two", "", "two", "3", "4th", "", "ü", "–", "x"])
+
+
+def test_token_count(spark):
+    assert rows(token_count(lines(spark))) == [(5,)]
+    assert rows(token_count(lines(spark), pattern=None)) == [(10,)]
+    assert rows(token_count(lines(spark).limit(0))) == [(0,)]
+
+
+def test_token_frequency(spark):
+    df = spark.createDataFrame([("en", "a b a"), ("de", "a"), (None, "a")], "lang string, t string")
+    assert rows(token_frequency(df, "t")) == [("a", 4), ("b", 1)]
+    assert rows(token_frequency(df, "t", by="lang"), "lang", "token", "n") == [
+        (None, "a", 1), ("de", "a", 1), ("en", "a", 2), ("en", "b", 1),
+    ]
+
+
+def test_tokens_are_counted_before_the_shuffle(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plan = executed_plan(token_frequency(documents, "text"))
+    assert plan.count("HashAggregate") == 2
+    assert "ReadSchema: struct<text:string>" in plan
+    assert "Exchange" not in executed_plan(tokens(documents, "text"))
+
+
+def test_payload_is_parsed_permissively(spark):
+    payloads = [
+        (1, b'{"k": 5, "items": [{"id": "x", "q": 2}]}'),
+        (2, b'{"k": "bad", "items": []}'),
+        (3, b"not json"),
+        (4, None),
+        (5, b'{"other": 1}'),
+    ]
+    df = spark.createDataFrame(payloads, "n int, value binary")
+    schema = "k bigint, items array<struct<id: string, q: bigint>>"
+    decoded = {r.n: r.message for r in decode_message(df, schema).collect()}
+    assert decoded[1].k == 5 and decoded[1]["items"][0].asDict() == {"id": "x", "q": 2}
+    assert decoded[2].k is None and decoded[2]["items"] == []
+    assert decoded[3].asDict() == {"k": None, "items": None}
+    assert decoded[4] is None
+    assert decoded[5].k is None
+
+
+def test_only_used_payload_fields_are_parsed(spark):
+    df = spark.createDataFrame([(b'{"a": 1, "b": 2}',)], "value binary")
+    plan = executed_plan(decode_message(df, "a int, b int").select("message.a"))
+    assert "StructField(a,IntegerType,true)" in plan and "StructField(b" not in plan
