@@ -1,0 +1,159 @@
+from pathlib import Path
+
+import pytest
+from conftest import rows
+from pyspark.sql import types as T
+
+from millrace import workspace
+from millrace.sources import FormatSpec, pin_schema, scan_csv, scan_text, struct_from_columns
+from millrace.sources import stream_changes, stream_files
+
+TURBINE = [
+    ("timestamp", "timestamp"),
+    ("turbine_id", "int"),
+    ("wind_speed", "float"),
+    ("wind_direction", "INT"),
+    ("power_output", "Float"),
+]
+
+
+def put(folder, name, text):
+    path = Path(folder) / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text, encoding="utf-8")
+    return path
+
+
+@pytest.fixture
+def turbines(tmp_path):
+    head = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
+    put(tmp_path, "data_group_1.csv", head + "2022-03-01 00:00:00,1,11.8,169,2.7\n")
+    put(tmp_path, "data_group_2.csv", head + "2022-03-01 01:00:00,2,,bad,2.5\n")
+    put(tmp_path, "other.csv", "x\n1\n")
+    return tmp_path
+
+
+def test_struct_from_columns():
+    schema = struct_from_columns(
+        [
+            ("a", "String"), ("b", "int"), ("c", "INTEGER"), ("d", "bigint"), ("e", "float"),
+            ("f", "double"), ("g", "decimal"), ("h", "boolean"), ("i", "timestamp"), ("j", "date"),
+            ("k", "binary"), ("l", "geometry"),
+        ]
+    )
+    assert [f.dataType for f in schema] == [
+        T.StringType(), T.IntegerType(), T.IntegerType(), T.LongType(), T.FloatType(),
+        T.DoubleType(), T.DecimalType(10, 2), T.BooleanType(), T.TimestampType(), T.DateType(),
+        T.BinaryType(), T.StringType(),
+    ]
+    assert all(f.nullable for f in schema)
+    assert struct_from_columns([]) == T.StructType()
+
+
+def test_csv_without_schema_is_strings(spark, turbines):
+    df = scan_csv(spark, turbines / "data_group_*.csv")
+    assert [t for _, t in df.dtypes] == ["string"] * 5
+    assert rows(df, "turbine_id", "wind_speed", "wind_direction") == [
+        ("1", "11.8", "169"), ("2", None, "bad"),
+    ]
+
+
+def test_csv_with_schema_is_typed(spark, turbines):
+    df = scan_csv(spark, str(turbines / "data_group_*.csv"), struct_from_columns(TURBINE))
+    assert [t for _, t in df.dtypes] == ["timestamp", "int", "float", "int", "float"]
+    assert rows(df.selectExpr("turbine_id", "wind_direction", "hour(timestamp)")) == [
+        (1, 169, 0), (2, None, 1),
+    ]
+
+
+def test_csv_separator_header_and_path_list(spark, tmp_path):
+    paths = [put(tmp_path, "a.csv", "1;x\n"), str(put(tmp_path, "b.csv", "2;\n"))]
+    df = scan_csv(spark, paths, "n int, s string", header=False, sep=";")
+    assert rows(df) == [(1, "x"), (2, None)]
+
+
+def test_text_lines_filter_and_recursion(spark, tmp_path):
+    put(tmp_path, "a.txt", "one\ntwo")
+    put(tmp_path, "deep/er/b.txt", "three\r\n")
+    put(tmp_path, "c.log", "no")
+    assert rows(scan_text(spark, tmp_path)) == [("one",), ("three\r",), ("two",)]
+    assert rows(scan_text(spark, tmp_path, line_sep=None)) == [("one",), ("three",), ("two",)]
+    assert rows(scan_text(spark, tmp_path, name_filter="*.log", recursive=False)) == [("no",)]
+    assert rows(scan_text(spark, tmp_path, name_filter=None)).count(("no",)) == 1
+    assert rows(scan_text(spark, tmp_path / "a.txt", line_sep="w")) == [("o",), ("one\nt",)]
+
+
+def test_format_options():
+    assert FormatSpec("csv").options == {"header": False, "sep": ","}
+    assert FormatSpec("json", {"multiLine": "false"}).options == {
+        "multiLine": "false", "mode": "PERMISSIVE",
+    }
+    assert FormatSpec("csv", {"header": True}).reader_options() == {
+        "header": "true", "sep": ",", "pathGlobFilter": "*.csv", "recursiveFileLookup": "true",
+    }
+    assert FormatSpec("parquet").options == {}
+    with pytest.raises(TypeError):
+        FormatSpec("json", {"header": True})
+    with pytest.raises(TypeError):
+        FormatSpec("parquet", {"mode": "x"})
+    for unknown in ("avro", "xml", "CSV"):
+        with pytest.raises(ValueError):
+            FormatSpec(unknown)
+
+
+def test_pinned_schema_is_found_once(spark, tmp_path):
+    put(tmp_path, "in/a.json", '{"topic": "t", "value": "e30=", "offset": 1}\n')
+    put(tmp_path, "in/sub/b.json", '{"late": true, "offset": "x"}\n')
+    location = str(tmp_path / "schemas" / "db" / "t")
+    first = pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location)
+    assert {f.name: f.dataType.simpleString() for f in first} == {
+        "topic": "string", "value": "binary", "offset": "string", "late": "string",
+    }
+    put(tmp_path, "in/c.json", '{"new": 1}\n')
+    assert pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location) == first
+
+
+def test_pinned_schema_with_types_and_hints(spark, tmp_path):
+    put(tmp_path, "a.csv", "n,d\n1,2024-01-01\n")
+    spec = FormatSpec("csv", {"header": True})
+    schema = pin_schema(
+        spark, str(tmp_path), spec, str(tmp_path / "s"), {"d": "string", "x": "int"}, infer_types=True
+    )
+    assert schema.simpleString() == "struct<n:int,d:string,x:int>"
+
+
+def test_pinned_schema_of_parquet_joins_all_files(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "in" / "1"))
+    spark.range(1).selectExpr("id", "'x' AS more").write.parquet(str(tmp_path / "in" / "2"))
+    schema = pin_schema(
+        spark, str(tmp_path / "in"), FormatSpec("parquet"), str(tmp_path / "s"), hints={}
+    )
+    assert schema.simpleString() == "struct<id:bigint,more:string>"
+
+
+def test_stream_limits_exclude_each_other(spark, tmp_path):
+    with pytest.raises(ValueError):
+        stream_files(
+            spark, str(tmp_path), FormatSpec("csv"), T.StructType().add("a", "string"), 1, "1g"
+        )
+
+
+def test_change_feed_needs_its_columns(spark, tmp_path):
+    with pytest.raises(ValueError, match="_commit_version"):
+        stream_changes(spark, path=str(tmp_path), schema=T.StructType().add("_change_type", "string"))
+    with pytest.raises(ValueError):
+        stream_changes(spark, path=str(tmp_path))
+    with pytest.raises(ValueError):
+        stream_changes(spark)
+
+
+def test_shared_folder_is_the_clusters(spark):
+    assert workspace.new_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_size_check_measures_rows_and_bytes(spark):
+    df = spark.range(100).selectExpr("id", "repeat('x', 100) AS s")
+    assert workspace.fits_broadcast(df)
+    assert not workspace.fits_broadcast(df, max_rows=99)
+    assert not workspace.fits_broadcast(df, max_bytes=5000)
+    assert workspace.fits_broadcast(df.limit(0), max_rows=0, max_bytes=0)
