@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace import operators as op
 from millrace.functions import decode_message, token_count, token_frequency
-from millrace.plans.load import load_batch, qualified, write_table
+from millrace.plans.load import ensure_layers, load_batch, qualified, write_table
 from millrace.sources import FormatSpec, scan_csv, scan_text, struct_from_columns
 from millrace.sources import stream_changes, stream_table
 from millrace.streaming import MergeTarget, ingest_files, stream_merge
@@ -32,11 +32,11 @@ LOADED_BEFORE = "o_orderdate < TIMESTAMP_NTZ '1997-01-01'"
 CHANGED_SINCE = "o_orderdate >= TIMESTAMP_NTZ '1996-01-01'"
 CANCELLED = "o_orderpriority = '5-LOW'"
 # Events in the order in which their batches arrive: the newest days come first.
-EVENT_BATCHES = [
-    ("2024-01-21", "2024-02-01"),
-    ("2024-01-01", "2024-01-11"),
-    ("2024-01-11", "2024-01-21"),
-]
+EVENT_BATCHES = (
+    "ts >= TIMESTAMP_NTZ '2024-01-21'",
+    "ts < TIMESTAMP_NTZ '2024-01-11'",
+    "ts >= TIMESTAMP_NTZ '2024-01-11' AND ts < TIMESTAMP_NTZ '2024-01-21'",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +45,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def new_database(spark: SparkSession) -> str:
     """A database of its own for one run, stored in the shared folder."""
-    location = new_dir(spark, "database")
-    database = "run_" + location.rpartition("-")[2]
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
+    root = new_dir(spark, "databases")
+    database = "run_" + root.rpartition("-")[2]
+    ensure_layers(spark, root, {database: "tables"})
     return database
 
 
@@ -260,10 +260,8 @@ def stream_events(spark: SparkSession, sf_dir: str, order_guard: bool) -> DataFr
         spark, f"{state}/table", "user_id", ["ts", "event_id"], schema=events.schema,
         order_guard=order_guard,
     )
-    for first, end in EVENT_BATCHES:
-        day = F.col("ts").cast("date")
-        batch = events.filter((day >= F.lit(first).cast("date")) & (day < F.lit(end).cast("date")))
-        write_table(batch, arriving)
+    for condition in EVENT_BATCHES:
+        write_table(events.filter(condition), arriving)
         stream_merge(stream_table(spark, arriving), target, f"{state}/checkpoint")
     return target.snapshot()
 

@@ -26,6 +26,7 @@ from millrace.operators.changes import DELETE, latest_per_key
 from millrace.operators.merge import replace_keys
 
 BEFORE_FIRST_BATCH = -1
+RESERVED = {"_batch_id", "_change_type"}
 
 
 @dataclass(frozen=True)
@@ -68,6 +69,9 @@ class MergeTarget:
         """
         if base is None and schema is None:
             raise ValueError("give the schema of the table or its initial rows")
+        taken = sorted(RESERVED.intersection((schema or base.schema).names))
+        if taken:
+            raise ValueError(f"the log needs the column names {taken} for itself")
         columns = StructType(list((schema or base.schema).fields))
         target = cls(
             spark, root.rstrip("/"), columns, tuple(columns_of(keys)), tuple(columns_of(order_by)),
@@ -82,13 +86,13 @@ class MergeTarget:
         kind = ["_change_type"] if self.delete else []
         latest.select(
             *[name(f.name).cast(f.dataType).alias(f.name) for f in self.schema], *kind
-        ).write.mode("overwrite").parquet(f"{self.root}/log/_batch_id={batch_id}")
+        ).write.mode("overwrite").parquet(self._log_path(batch_id))
 
     def snapshot(self, upto: int | None = None) -> DataFrame:
         """The table now, or after the batch ``upto`` (not before the current base)."""
         base_id = self._base_id()
         base = self._base(base_id)
-        log = self._log(base_id, self._last_batch() if upto is None else upto)
+        log = self._log([b for b in self._logged(base_id) if upto is None or b <= upto])
         if self.order_guard:
             return self._guarded(base, log)
         arriving = self._rows(latest_per_key(log, list(self.keys), "_batch_id"))
@@ -105,19 +109,31 @@ class MergeTarget:
         """
         if self.order_guard and self.delete:
             raise ValueError("the log must keep deletes while older rows may still arrive")
-        last = self._last_batch()
+        last = max([self._base_id(), *self._logged(self._base_id())])
         if last > self._base_id():
             self._write_base(self.snapshot(last), last)
         return last
 
+    def drop_folded(self) -> None:
+        """Delete earlier bases and the log folded into the current one.
+
+        Snapshots taken before the last ``compact`` can no longer be read.
+        """
+        base_id = self._base_id()
+        for batch_id in self._ids(self._base_folder, "upto"):
+            if batch_id < base_id:
+                self._drop_base(batch_id)
+        for batch_id in self._ids("log", "_batch_id"):
+            if BEFORE_FIRST_BATCH < batch_id <= base_id:
+                storage.delete(self.spark, self._log_path(batch_id))
+
     def remove(self, checkpoint: str) -> None:
         """Delete the table with its log, and the progress of the stream that feeds it.
 
         They go together: without its checkpoint a stream numbers its batches from 0 again.
         """
-        if self.buckets is not None:
-            for batch_id in self._ids(self._base_folder, "upto"):
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._base_table(batch_id)}")
+        for batch_id in self._ids(self._base_folder, "upto"):
+            self._drop_base(batch_id)
         storage.delete(self.spark, checkpoint)
         storage.delete(self.spark, self.root)
 
@@ -139,10 +155,15 @@ class MergeTarget:
         columns = StructType(list(self.schema.fields))
         return columns.add("_change_type", StringType()) if self.delete else columns
 
-    def _log(self, after: int, upto: int) -> DataFrame:
+    def _log_path(self, batch_id: int) -> str:
+        return f"{self.root}/log/_batch_id={batch_id}"
+
+    def _log(self, batch_ids: list[int]) -> DataFrame:
+        """The given batches; other folders are not even listed."""
+        paths = [self._log_path(b) for b in batch_ids or [BEFORE_FIRST_BATCH]]
         columns = self._log_schema().add("_batch_id", LongType())
-        log = self.spark.read.schema(columns).parquet(f"{self.root}/log")
-        return log.filter(F.col("_batch_id").between(after + 1, upto))
+        reader = self.spark.read.schema(columns).option("basePath", f"{self.root}/log")
+        return reader.parquet(*paths)
 
     def _key_columns(self) -> list[Column]:
         return [name(k) for k in self.keys]
@@ -153,10 +174,10 @@ class MergeTarget:
         for folder in storage.folder_names(spark, root):
             if folder.startswith("base") and folder != self._base_folder:
                 raise ValueError(f"the table is kept in {folder}, not in {self._base_folder}")
-        empty_log = f"{root}/log/_batch_id={BEFORE_FIRST_BATCH}"
+        empty_log = self._log_path(BEFORE_FIRST_BATCH)
         if not storage.exists(spark, f"{empty_log}/_SUCCESS"):
             spark.createDataFrame([], self._log_schema()).write.mode("overwrite").parquet(empty_log)
-        if storage.exists(spark, f"{self._base_path(BEFORE_FIRST_BATCH)}/_SUCCESS"):
+        if storage.exists(spark, f"{root}/{self._base_folder}") and self._bases():
             return
         if base is None:
             base = spark.createDataFrame([], self.schema)
@@ -204,18 +225,29 @@ class MergeTarget:
         )
         return self.spark.table(table)
 
+    def _drop_base(self, batch_id: int) -> None:
+        if self.buckets is not None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._base_table(batch_id)}")
+        storage.delete(self.spark, self._base_path(batch_id))
+
     def _ids(self, folder: str, label: str) -> list[int]:
-        """Ids of the completely written folders."""
-        parent = f"{self.root}/{folder}"
-        found = [n for n in storage.folder_names(self.spark, parent) if n.startswith(f"{label}=")]
-        complete = [n for n in found if storage.exists(self.spark, f"{parent}/{n}/_SUCCESS")]
-        return [int(n.partition("=")[2]) for n in complete]
+        names = storage.folder_names(self.spark, f"{self.root}/{folder}")
+        return [int(n.partition("=")[2]) for n in names if n.startswith(f"{label}=")]
 
-    def _last_batch(self) -> int:
-        return max(self._ids("log", "_batch_id"))
+    def _complete(self, path: str) -> bool:
+        return storage.exists(self.spark, f"{path}/_SUCCESS")
+
+    def _bases(self) -> list[int]:
+        ids = self._ids(self._base_folder, "upto")
+        return [b for b in ids if self._complete(self._base_path(b))]
 
     def _base_id(self) -> int:
-        return max(self._ids(self._base_folder, "upto"))
+        return max(self._bases())
+
+    def _logged(self, after: int) -> list[int]:
+        """Completely written batches later than ``after``."""
+        ids = [b for b in self._ids("log", "_batch_id") if b > after]
+        return sorted(b for b in ids if self._complete(self._log_path(b)))
 
 
 def stream_merge(

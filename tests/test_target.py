@@ -1,6 +1,7 @@
 import pytest
 from conftest import executed_plan, rows
 from hypothesis import given, settings as limits, strategies as st
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace import storage
@@ -107,6 +108,14 @@ def test_compact(spark, root, buckets):
     assert target.compact() == 2
     reopened = open_target(spark, root, delete=True, buckets=buckets)
     assert rows(reopened.snapshot()) == before
+    reopened.drop_folded()
+    assert storage.folder_names(spark, f"{root}/log") == ["_batch_id=-1"]
+    assert storage.folder_names(spark, f"{root}/{target._base_folder}") == ["upto=2"]
+    assert rows(reopened.snapshot()) == before and reopened.compact() == 2
+    again = open_target(spark, root, delete=True, buckets=buckets, base=base)
+    again.apply(change(spark, (2, 9, "more", "update_postimage", 9)), 3)
+    expected[2] = (2, 9, "more")
+    assert set(rows(again.snapshot())) == set(expected.values())
 
 
 def test_bucketed_base_is_not_shuffled(spark, root, settings):
@@ -144,6 +153,42 @@ def test_repeated_keys_are_refused_at_the_start(spark, root):
         MergeTarget.open(spark, root, "k", "t")
 
 
+def test_reserved_names_are_refused(spark, root):
+    with pytest.raises(ValueError, match="_batch_id"):
+        MergeTarget.open(spark, root, "k", "t", schema=schema_of(spark, "k int, t int, _batch_id int"))
+
+
+@pytest.mark.parametrize("logged_before_the_failure", [True, False])
+def test_a_failed_batch_is_replayed(spark, root, database, monkeypatch, logged_before_the_failure):
+    table = qualified(database, "upstream")
+    write_table(spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], TABLE), table)
+    target = open_target(spark, root + "/table")
+    whole = MergeTarget.apply
+
+    def failing(self, batch, batch_id):
+        if logged_before_the_failure:
+            whole(self, batch, batch_id)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(MergeTarget, "apply", failing)
+    with pytest.raises(StreamingQueryException):
+        stream_merge(stream_table(spark, table), target, root + "/checkpoint")
+    monkeypatch.setattr(MergeTarget, "apply", whole)
+    write_table(spark.createDataFrame([(2, 0, "c"), (3, 1, "d")], TABLE), table)
+    stream_merge(stream_table(spark, table), target, root + "/checkpoint")
+    assert rows(target.snapshot()) == [(1, 1, "a"), (2, 0, "c"), (3, 1, "d")]
+
+
+def test_unfinished_folders_are_not_read(spark, root):
+    target = open_target(spark, root)
+    target.apply(spark.createDataFrame([(1, 1, "a")], TABLE), 0)
+    target.apply(spark.createDataFrame([(1, 2, "b")], TABLE), 1)
+    target.compact()
+    storage.delete(spark, f"{root}/log/_batch_id=1/_SUCCESS")
+    storage.delete(spark, f"{root}/base/upto=1/_SUCCESS")
+    assert rows(target.snapshot()) == [(1, 1, "a")]
+
+
 def test_stream_with_several_batches(spark, root, database):
     """Each append is a file of its own and, limited to one file, a micro-batch of its own."""
     table = qualified(database, "upstream")
