@@ -6,13 +6,13 @@ row, with partial aggregation in every task, and that row is joined back.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import columns_of, matches, name
-from millrace.workspace import BROADCAST_ROWS, broadcast_if_small, written
+from millrace.workspace import BROADCAST_ROWS, broadcast_if_small, fits_broadcast, written
 
 # A group with more rows is never gathered in one task.
 HOT_ROWS = 2_000_000
@@ -25,29 +25,63 @@ def compare_to_group_avg(
     avg_column: str | None = None,
     label_column: str = "comparision",
     broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the average of ``value`` in the row's group and how the row compares with it.
 
     The label is ``Higher``, ``equal`` (null-safe, so NULL equals the NULL average of an all-NULL
     group) or ``lower`` (also a NULL value in a group that has an average). NULL groups are one
-    group. Averages are computed when this is called, and their size decides the join.
+    group.
+
+    The averages are computed when this is called. If they are small, they are broadcast and the
+    rows are not shuffled. If not, a window does groups of at most ``hot_rows`` rows, and only
+    the averages of larger groups, few by their size, are joined to the rows: by broadcast if
+    that is small now, else by a join that adaptive execution splits where it is skewed.
     """
     keys = columns_of(group)
     average = avg_column or f"avg_{value}"
+    renamed = {k: f"_group_{i}" for i, k in enumerate(keys)}
+    pairs = list(renamed.items())
     averages = written(
-        df.groupBy(*[name(k) for k in keys]).agg(F.avg(name(value)).alias(average)), "averages"
-    ).withColumnsRenamed({k: f"_group_{i}" for i, k in enumerate(keys)})
-    side = broadcast_if_small(averages, broadcast_rows)
-    pairs = [(k, f"_group_{i}") for i, k in enumerate(keys)]
+        df.groupBy(*[name(k) for k in keys]).agg(
+            F.avg(name(value)).alias(average), F.count(F.lit(1)).alias("_rows")
+        ),
+        "averages",
+    ).withColumnsRenamed(renamed)
+    if fits_broadcast(averages, broadcast_rows):
+        side = F.broadcast(averages.drop("_rows"))
+        compared = df.join(side, matches(df, side, pairs), "left").drop(*renamed.values())
+    else:
+        hot = averages.filter(F.col("_rows") > hot_rows).drop("_rows")
+        compared = _apart(
+            df, hot, pairs, broadcast_rows, lambda rows: _windowed(rows, keys, value, average)
+        )
     own, mean = name(value), name(average)
-    return df.join(side, matches(df, side, pairs), "left").select(
-        *[df[f"`{c}`"] for c in df.columns],
-        mean,
-        F.when(own > mean, "Higher")
-        .when(own.eqNullSafe(mean), "equal")
-        .otherwise("lower")
-        .alias(label_column),
+    label = (
+        F.when(own > mean, "Higher").when(own.eqNullSafe(mean), "equal").otherwise("lower")
     )
+    return compared.withColumn(label_column, label)
+
+
+def _windowed(df: DataFrame, keys: Sequence[str], value: str, average: str) -> DataFrame:
+    group = Window.partitionBy(*[name(k) for k in keys])
+    return df.withColumn(average, F.avg(name(value)).over(group))
+
+
+def _apart(
+    df: DataFrame,
+    hot: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    broadcast_rows: int,
+    others: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``others`` applied to the rows outside the ``hot`` groups, plus the rows joined to those."""
+    if hot.isEmpty():
+        return others(df)
+    hot = broadcast_if_small(hot, broadcast_rows)
+    on_group = matches(df, hot, pairs)
+    joined = df.join(hot, on_group).drop(*[r for _, r in pairs])
+    return others(df.join(hot, on_group, "left_anti")).unionByName(joined)
 
 
 def nth_highest(

@@ -14,12 +14,18 @@ def numbered(spark, pairs, kind="int"):
     )
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_labels(spark, broadcast_rows):
+WAYS = [
+    {},
+    {"broadcast_rows": 0},
+    {"broadcast_rows": 0, "hot_rows": 2},
+    {"broadcast_rows": 0, "hot_rows": 0},
+]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_labels(spark, way):
     pairs = [("a", 1), ("a", 3), ("a", 2), ("a", None), ("b", None), (None, 5), (None, 7)]
-    compared = compare_to_group_avg(
-        numbered(spark, pairs), "g", "v", broadcast_rows=broadcast_rows
-    )
+    compared = compare_to_group_avg(numbered(spark, pairs), "g", "v", **way)
     assert compared.columns == ["id", "g", "v", "avg_v", "comparision"]
     assert rows(compared, "id", "avg_v", "comparision") == [
         (0, 2.0, "lower"),
@@ -49,7 +55,31 @@ def test_few_groups_need_no_shuffle_of_the_rows(spark, sf_dir):
     assert "hashpartitioning" not in plan
 
 
-def test_hot_group_is_split(spark, settings, tmp_path):
+def skewed_rows(spark, path):
+    """120,000 rows in 2,001 groups; a third of them in the NULL group."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2000)
+    spark.range(0, 120_000, 1, 8).select(
+        hot.alias("g"), F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("t")
+    ).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def is_whole(compared):
+    nulls = compared.filter("g IS NULL").agg(F.count("v"), F.min("avg_v"), F.max("avg_v")).first()
+    return compared.count() == 120_000 and nulls == (40_000, 59_998.5, 59_998.5)
+
+
+def test_hot_group_stays_out_of_the_window(spark, tmp_path):
+    df = skewed_rows(spark, tmp_path / "rows")
+    compared = compare_to_group_avg(df, "g", "v", broadcast_rows=100, hot_rows=1000)
+    plan = executed_plan(compared)
+    assert "Window" in plan and plan.count("BroadcastHashJoin") == 2
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert is_whole(compared)
+
+
+def test_many_hot_groups_are_split(spark, settings, tmp_path):
+    """Where even the hot groups were too many to broadcast, their join splits skewed tasks."""
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__shuffle__partitions="16",
@@ -57,16 +87,10 @@ def test_hot_group_is_split(spark, settings, tmp_path):
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100k",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
     )
-    hot = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2000)
-    spark.range(0, 120_000, 1, 8).select(
-        hot.alias("g"), F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("t")
-    ).write.parquet(str(tmp_path / "rows"))
-    df = spark.read.parquet(str(tmp_path / "rows"))
-    compared = compare_to_group_avg(df, "g", "v", broadcast_rows=0)
+    df = skewed_rows(spark, tmp_path / "rows")
+    compared = compare_to_group_avg(df, "g", "v", broadcast_rows=0, hot_rows=1000)
     assert "SortMergeJoin(skew=true)" in executed_plan(compared)
-    assert compared.count() == 120_000
-    nulls = compared.filter("g IS NULL").agg(F.min("avg_v"), F.max("avg_v")).first()
-    assert nulls[0] == nulls[1] == sum(range(0, 120_000, 3)) / 40_000
+    assert is_whole(compared)
 
 
 @pytest.mark.parametrize("hot_rows", [1000, 2, 0])
