@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from millrace.sources.files import PathLike, scan_csv, scan_text
 
@@ -31,6 +31,16 @@ def write_table(df: DataFrame, table: str, mode: str = "append", fmt: str = "par
     df.write.mode(mode).format(fmt).saveAsTable(table)
 
 
+def add_missing_columns(spark: SparkSession, table: str, schema: StructType) -> None:
+    """Give an existing table the columns of ``schema`` it lacks; they are NULL in its rows."""
+    if not spark.catalog.tableExists(table):
+        return
+    present = spark.table(table).columns
+    missing = StructType([StructField(f.name, f.dataType) for f in schema if f.name not in present])
+    if missing.fields:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({missing.toDDL()})")
+
+
 def load_batch(
     spark: SparkSession,
     file_type: str,

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
+from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.sources.formats import FormatSpec
@@ -48,24 +50,29 @@ def pin_schema(
     location: str,
     hints: Mapping[str, str] = ENVELOPE_HINTS,
     infer_types: bool = False,
+    evolve: bool = True,
 ) -> T.StructType:
-    """The schema of the files under ``path``, found once and then kept at ``location``.
+    """The schema of the files under ``path``, kept at ``location``.
 
-    The first call looks at all matching files, so no column is missed, and stores the schema;
-    later calls only read it. Columns of formats without types are strings, as no value can fail
-    to parse later; ``infer_types`` makes Spark choose types instead. ``hints`` sets the types
-    (as DDL) of single columns, adding those not found.
+    The first call looks at all matching files, so no column is missed. Later calls look only at
+    files modified since, and add their new columns; a column never changes its type. Without
+    ``evolve`` they look at none.
+
+    Columns of formats without types are strings, as no value can fail to parse later;
+    ``infer_types`` makes Spark choose types instead. ``hints`` sets the types (as DDL) of single
+    columns, adding those not found.
     """
-    try:
-        stored = spark.read.text(location, wholetext=True).first()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = None
-    if stored is not None:
-        return T.StructType.fromJson(json.loads(stored.value))
+    pinned, inspected = _stored(spark, location)
+    if pinned is not None and not evolve:
+        return pinned
+    newest = _newest(spark, path, spec)
+    if pinned is not None and (newest is None or newest < inspected):
+        return pinned
 
     reader = spark.read.format(spec.fmt).options(**spec.reader_options())
+    if pinned is not None:
+        # The option counts whole seconds, so the files of the last second are looked at again.
+        reader = reader.option("modifiedAfter", _utc(inspected - 1)).option("timeZone", "UTC")
     match spec.fmt:
         case "json":
             reader = reader.option("primitivesAsString", not infer_types)
@@ -73,10 +80,43 @@ def pin_schema(
             reader = reader.option("inferSchema", infer_types)
         case "parquet":
             reader = reader.option("mergeSchema", True)
-    found = {f.name: f.dataType for f in reader.load(path).schema}
-    found.update({c: T.DataType.fromDDL(ddl) for c, ddl in hints.items()})
-    schema = T.StructType([T.StructField(c, t, True) for c, t in found.items()])
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(location)
+    columns = {f.name: f.dataType for f in reader.load(path).schema}
+    if pinned is None:
+        columns.update({c: T.DataType.fromDDL(ddl) for c, ddl in hints.items()})
+    else:
+        columns = {f.name: f.dataType for f in pinned} | {
+            c: t for c, t in columns.items() if c not in pinned.names
+        }
+    schema = T.StructType([T.StructField(c, t, True) for c, t in columns.items()])
+    state = json.dumps({"schema": schema.jsonValue(), "inspected": newest})
+    spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(
+        location
+    )
     return schema
+
+
+def _stored(spark: SparkSession, location: str) -> tuple[T.StructType | None, int]:
+    """The pinned schema and the modification time (epoch second) up to which files were seen."""
+    try:
+        stored = spark.read.text(location, wholetext=True).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = None
+    if stored is None:
+        return None, 0
+    state = json.loads(stored.value)
+    return T.StructType.fromJson(state["schema"]), state["inspected"]
+
+
+def _newest(spark: SparkSession, path: str, spec: FormatSpec) -> int | None:
+    """Latest modification time of the matching files, found without reading them."""
+    files = spark.read.format("binaryFile").options(
+        pathGlobFilter=f"*.{spec.fmt}", recursiveFileLookup="true"
+    )
+    newest = files.load(path).agg(F.max(F.unix_seconds("modificationTime")))
+    return newest.first()[0]
+
+
+def _utc(seconds: int) -> str:
+    return datetime.fromtimestamp(seconds, UTC).strftime("%Y-%m-%dT%H:%M:%S")

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from millrace.functions.messages import decode_message
-from millrace.plans.load import qualified
+from millrace.plans.load import add_missing_columns, qualified
 from millrace.sources.formats import FormatSpec
 from millrace.sources.schemas import ENVELOPE_HINTS, pin_schema
 from millrace.sources.streams import stream_files
@@ -30,6 +30,7 @@ def ingest_files(
     schema: StructType | None = None,
     hints: Mapping[str, str] = ENVELOPE_HINTS,
     infer_types: bool = False,
+    evolve: bool = True,
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: str | None = None,
     catalog: str = "spark_catalog",
@@ -41,23 +42,27 @@ def ingest_files(
     condition that may use ``message``, keeps the rows for which it is true. A failing cast in
     it fails the job, so write ``try_cast`` for data that is not trusted.
 
-    Without ``schema`` the files' schema is pinned on first use (see ``pin_schema``). The query
-    handle is returned, after the input is used up unless ``wait`` is false.
+    Without ``schema`` the files' schema is pinned on first use and takes up new columns in later
+    runs if ``evolve`` (see ``pin_schema``); the table gets them too. A known schema saves
+    looking at the files twice. The query handle is returned, after the input is used up unless
+    ``wait`` is false.
     """
     paths = TargetPaths.under(checkpoint_root, schema_root, database, table)
     if schema is None:
-        schema = pin_schema(spark, path, spec, paths.schema, hints, infer_types)
+        schema = pin_schema(spark, path, spec, paths.schema, hints, infer_types, evolve)
     rows = stream_files(spark, path, spec, schema, max_files_per_trigger, max_bytes_per_trigger)
     if message_schema is not None:
         rows = decode_message(rows, message_schema)
     if filter_expr is not None:
         rows = rows.filter(F.expr(filter_expr))
+    full_name = qualified(database, table, catalog)
+    add_missing_columns(spark, full_name, rows.schema)
     query = (
         rows.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", paths.checkpoint)
         .trigger(availableNow=True)
-        .toTable(qualified(database, table, catalog))
+        .toTable(full_name)
     )
     if wait:
         query.awaitTermination()

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace import storage
-from millrace.functions.columns import columns_of, name
+from millrace.functions.columns import columns_of, matches, name
 from millrace.operators.changes import DELETE, latest_per_key
 from millrace.operators.merge import replace_keys
 
@@ -93,14 +93,19 @@ class MergeTarget:
         base_id = self._base_id()
         base = self._base(base_id)
         log = self._log([b for b in self._logged(base_id) if upto is None or b <= upto])
+        keys, bucketed = list(self.keys), self.buckets is not None
         if self.order_guard:
-            return self._guarded(base, log)
-        arriving = self._rows(latest_per_key(log, list(self.keys), "_batch_id"))
-        if self.buckets is None:
-            return replace_keys(base, log, arriving, list(self.keys))
-        # One task per bucket, so that compacting adds one file to each bucket.
-        arriving = arriving.repartition(self.buckets, *self._key_columns())
-        return replace_keys(base, log, arriving, list(self.keys), bucketed=True)
+            changed = self._not_stale(
+                latest_per_key(log, keys, [*self.order_by, "_batch_id"]), base
+            )
+            arriving = self._rows(changed)
+        else:
+            changed = log
+            arriving = self._rows(latest_per_key(log, keys, "_batch_id"))
+        if bucketed:
+            # One task per bucket, so that compacting adds one file to each bucket.
+            arriving = arriving.repartition(self.buckets, *self._key_columns())
+        return replace_keys(base, changed, arriving, keys, bucketed)
 
     def compact(self) -> int:
         """Write the table after the last logged batch as the next base; returns that batch's id.
@@ -137,14 +142,17 @@ class MergeTarget:
         storage.delete(self.spark, checkpoint)
         storage.delete(self.spark, self.root)
 
-    def _guarded(self, base: DataFrame, log: DataFrame) -> DataFrame:
-        rows = base.withColumn("_batch_id", F.lit(BEFORE_FIRST_BATCH).cast("bigint"))
-        newest = latest_per_key(
-            rows.unionByName(log, allowMissingColumns=True),
-            list(self.keys),
-            [*self.order_by, "_batch_id"],
+    def _not_stale(self, newest: DataFrame, base: DataFrame) -> DataFrame:
+        """Rows of ``newest`` that the base has no greater order for. Their keys are unique."""
+        pairs = [(k, f"_key_{i}") for i, k in enumerate(self.keys)]
+        change = newest.select(
+            *[name(k).alias(r) for k, r in pairs],
+            F.struct(*[name(c) for c in self.order_by]).alias("_order"),
         )
-        return self._rows(newest)
+        in_base = F.struct(*[base["`" + c.replace("`", "``") + "`"] for c in self.order_by])
+        stale = base.join(change, matches(base, change, pairs)).filter(in_base > F.col("_order"))
+        stale = stale.select(*[r for _, r in pairs])
+        return newest.join(stale, matches(newest, stale, pairs), "left_anti")
 
     def _rows(self, latest: DataFrame) -> DataFrame:
         if self.delete:

@@ -112,6 +112,16 @@ def test_reset_starts_over(spark, job):
     assert "new_column" in spark.table(job.table).columns
 
 
+def test_new_columns_reach_the_table(spark, job):
+    job.put("a.json", envelope("t", {"a": 1}, 0))
+    job.run(message_schema="a int")
+    job.put("b.json", json.dumps({"topic": "u", "region": "north"}) + "\n")
+    job.run(message_schema="a int")
+    assert rows(spark.table(job.table).select("topic", "region", "message.a")) == [
+        ("t", None, 1), ("u", "north", None),
+    ]
+
+
 def test_a_failed_run_is_taken_up_again(spark, job):
     job.put("a.json", envelope("t", {"a": 1}, "7"), envelope("t", {"a": 1}, "x"))
     with pytest.raises(StreamingQueryException):

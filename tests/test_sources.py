@@ -1,3 +1,4 @@
+import os
 from pathlib import Path
 
 import pytest
@@ -109,8 +110,24 @@ def test_pinned_schema_is_found_once(spark, tmp_path):
     assert {f.name: f.dataType.simpleString() for f in first} == {
         "topic": "string", "value": "binary", "offset": "string", "late": "string",
     }
-    put(tmp_path, "in/c.json", '{"new": 1}\n')
     assert pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location) == first
+    put(tmp_path, "in/c.json", '{"new": {"deep": 1}, "value": 3}\n')
+    kept = pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location, evolve=False)
+    assert kept == first
+    later = pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location)
+    assert later.fields[:-1] == first.fields
+    assert later.fields[-1].simpleString() == "new:struct<deep:string>"
+
+
+def test_only_files_modified_since_are_looked_at(spark, tmp_path):
+    old = put(tmp_path, "in/a.json", '{"a": 1}\n')
+    location = str(tmp_path / "s")
+    pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location, hints={})
+    old.write_text('{"a": 1, "unseen": 2}\n')
+    os.utime(old, (1000, 1000))
+    put(tmp_path, "in/b.json", '{"b": 1}\n')
+    schema = pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location, hints={})
+    assert schema.names == ["a", "b"]
 
 
 def test_pinned_schema_with_types_and_hints(spark, tmp_path):
