@@ -1,7 +1,8 @@
 """Queries that set a row against its group.
 
-A window over a group puts the whole group into one task. Instead a group is reduced to one small
-row, with partial aggregation in every task, and that row is joined back.
+A window over a group puts the whole group into one task, which suits groups of moderate size. A
+larger group is reduced to one small row instead, with partial aggregation in every task, and that
+row is joined back.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from millrace.workspace import BROADCAST_ROWS, broadcast_if_small, fits_broadcas
 
 # A group with more rows is never gathered in one task.
 HOT_ROWS = 2_000_000
+SIZE_BUCKETS = 65_536
 
 
 def compare_to_group_avg(
@@ -33,55 +35,38 @@ def compare_to_group_avg(
     group) or ``lower`` (also a NULL value in a group that has an average). NULL groups are one
     group.
 
-    The averages are computed when this is called. If they are small, they are broadcast and the
-    rows are not shuffled. If not, a window does groups of at most ``hot_rows`` rows, and only
-    the averages of larger groups, few by their size, are joined to the rows: by broadcast if
-    that is small now, else by a join that adaptive execution splits where it is skewed.
+    Few groups: their averages are measured and broadcast, and the rows are not shuffled. Many
+    groups: a window does those of at most ``hot_rows`` rows, and only the averages of larger
+    ones are joined to the rows. Groups are counted and averaged when this is called.
     """
     keys = columns_of(group)
     average = avg_column or f"avg_{value}"
-    renamed = {k: f"_group_{i}" for i, k in enumerate(keys)}
-    pairs = list(renamed.items())
-    averages = written(
-        df.groupBy(*[name(k) for k in keys]).agg(
-            F.avg(name(value)).alias(average), F.count(F.lit(1)).alias("_rows")
-        ),
-        "averages",
-    ).withColumnsRenamed(renamed)
-    if fits_broadcast(averages, broadcast_rows):
-        side = F.broadcast(averages.drop("_rows"))
-        compared = df.join(side, matches(df, side, pairs), "left").drop(*renamed.values())
-    else:
-        hot = averages.filter(F.col("_rows") > hot_rows).drop("_rows")
-        compared = _apart(
-            df, hot, pairs, broadcast_rows, lambda rows: _windowed(rows, keys, value, average)
-        )
-    own, mean = name(value), name(average)
-    label = (
-        F.when(own > mean, "Higher").when(own.eqNullSafe(mean), "equal").otherwise("lower")
-    )
-    return compared.withColumn(label_column, label)
+    pairs = [(k, f"_group_{i}") for i, k in enumerate(keys)]
 
+    def averages(rows: DataFrame) -> DataFrame:
+        groups = rows.groupBy(*[name(k).alias(r) for k, r in pairs])
+        return written(groups.agg(F.avg(name(value)).alias(average)), "averages")
 
-def _windowed(df: DataFrame, keys: Sequence[str], value: str, average: str) -> DataFrame:
-    group = Window.partitionBy(*[name(k) for k in keys])
-    return df.withColumn(average, F.avg(name(value)).over(group))
+    def windowed(rows: DataFrame) -> DataFrame:
+        whole_group = Window.partitionBy(*[name(k) for k in keys])
+        return rows.withColumn(average, F.avg(name(value)).over(whole_group))
 
+    def with_averages(rows: DataFrame, side: DataFrame) -> DataFrame:
+        side = broadcast_if_small(side, broadcast_rows)
+        joined = rows.join(side, matches(rows, side, pairs))
+        return joined.drop(*[r for _, r in pairs])
 
-def _apart(
-    df: DataFrame,
-    hot: DataFrame,
-    pairs: Sequence[tuple[str, str]],
-    broadcast_rows: int,
-    others: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """``others`` applied to the rows outside the ``hot`` groups, plus the rows joined to those."""
-    if hot.isEmpty():
-        return others(df)
-    hot = broadcast_if_small(hot, broadcast_rows)
-    on_group = matches(df, hot, pairs)
-    joined = df.join(hot, on_group).drop(*[r for _, r in pairs])
-    return others(df.join(hot, on_group, "left_anti")).unionByName(joined)
+    groups = df.agg(F.approx_count_distinct(F.struct(*[name(k) for k in keys]))).first()[0]
+    few = averages(df) if groups <= broadcast_rows else None
+    if few is not None and fits_broadcast(few, broadcast_rows):
+        compared = with_averages(df, few)
+    else:
+        compared = _hot_apart(
+            df, pairs, hot_rows, windowed, lambda rows: with_averages(rows, averages(rows))
+        )
+    own, mean = name(value), name(average)
+    label = F.when(own > mean, "Higher").when(own.eqNullSafe(mean), "equal").otherwise("lower")
+    return compared.withColumn(label_column, label)
 
 
 def nth_highest(
@@ -103,22 +88,59 @@ def nth_highest(
     if n < 1:
         raise ValueError("n counts from 1")
     keys = columns_of(group)
+    pairs = [(k, f"_group_{i}") for i, k in enumerate(keys)]
     output = [name(c) for c in (columns or df.columns)]
-    sizes = df.groupBy(*[name(k).alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
-    smallest, largest = sizes.agg(F.min("_rows"), F.max("_rows")).first()
-    if (largest or 0) <= hot_rows:
-        return _ranked(df, keys, value, n).select(*output)
 
-    renamed = {k: f"_group_{i}" for i, k in enumerate(keys)}
-    pairs = list(renamed.items())
-    hot = written(sizes.filter(F.col("_rows") > hot_rows).drop("_rows"), "hot-groups")
-    hot = broadcast_if_small(hot.withColumnsRenamed(renamed))
-    wanted = broadcast_if_small(_nth_values(df, hot, pairs, value, n))
-    of_hot = df.join(wanted, matches(df, wanted, [*pairs, (value, "_value")]), "left_semi")
-    if smallest > hot_rows:
-        return of_hot.select(*output)
-    others = df.join(hot, matches(df, hot, pairs), "left_anti")
-    return _ranked(others, keys, value, n).select(*output).unionByName(of_hot.select(*output))
+    def ranked(rows: DataFrame) -> DataFrame:
+        return _ranked(rows, keys, value, n).select(*output)
+
+    def joined(rows: DataFrame) -> DataFrame:
+        wanted = broadcast_if_small(_nth_values(rows, pairs, value, n))
+        same_value = matches(rows, wanted, [*pairs, (value, "_value")])
+        return rows.join(wanted, same_value, "left_semi").select(*output)
+
+    return _hot_apart(df, pairs, hot_rows, ranked, joined)
+
+
+def _hot_apart(
+    df: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    hot_rows: int,
+    moderate: Callable[[DataFrame], DataFrame],
+    hot: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``moderate`` of the rows in groups up to ``hot_rows``, and ``hot`` of the other rows.
+
+    A hash bucket of group keys holds at least as many rows as any group in it. So one pass, which
+    shuffles no more than the sizes of the buckets, mostly proves that no group is hot; only
+    groups in larger buckets are counted one by one.
+    """
+    keys = [k for k, _ in pairs]
+    bucket = F.pmod(F.xxhash64(*[name(k) for k in keys]), F.lit(SIZE_BUCKETS))
+    count = F.count(F.lit(1)).alias("_rows")
+    sizes = df.groupBy(bucket.alias("_bucket")).agg(count)
+    total, largest = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
+    if (largest or 0) <= hot_rows:
+        return moderate(df)
+    crowded = F.broadcast(sizes.filter(F.col("_rows") > hot_rows).select("_bucket"))
+    found = written(
+        df.select(*[name(k).alias(r) for k, r in pairs], bucket.alias("_bucket"))
+        .join(crowded, "_bucket", "left_semi")
+        .groupBy(*[r for _, r in pairs])
+        .agg(count)
+        .filter(F.col("_rows") > hot_rows),
+        "hot-groups",
+    )
+    covered = found.agg(F.sum("_rows")).first()[0]
+    if covered is None:
+        return moderate(df)
+    if covered == total:
+        return hot(df)
+    found = broadcast_if_small(found.drop("_rows"))
+    in_hot = matches(df, found, pairs)
+    return moderate(df.join(found, in_hot, "left_anti")).unionByName(
+        hot(df.join(found, in_hot, "left_semi"))
+    )
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
@@ -127,33 +149,27 @@ def _ranked(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame
 
 
 def _nth_values(
-    df: DataFrame, groups: DataFrame, pairs: Sequence[tuple[str, str]], value: str, n: int
+    df: DataFrame, pairs: Sequence[tuple[str, str]], value: str, n: int
 ) -> DataFrame:
-    """The ``n``-th highest value of each of the ``groups``, by aggregation only.
+    """The ``n``-th highest value of each group, by aggregation only.
 
     Values are dealt into hash buckets. The ``n``-th highest of the buckets' maxima is a value of
     the group, so the ``n``-th highest of the group is no lower. Few distinct values pass this
     floor, and those are ranked. A group with fewer maxima has no floor.
     """
     values = df.select(*[name(k).alias(r) for k, r in pairs], name(value).alias("_value"))
-    group_columns = [r for _, r in pairs]
-    same = [(r, r) for r in group_columns]
+    group = [r for _, r in pairs]
     bucket = F.pmod(F.xxhash64("_value"), F.lit(max(64, 8 * n))).alias("_bucket")
-    maxima = (
-        values.join(groups, matches(values, groups, same), "left_semi")
-        .groupBy(*group_columns, bucket)
-        .agg(F.max("_value").alias("_top"))
-    )
+    maxima = values.groupBy(*group, bucket).agg(F.max("_value").alias("_top"))
     highest = F.sort_array(F.collect_set("_top"), asc=False)
     floors = written(
-        maxima.groupBy(*group_columns).agg(F.try_element_at(highest, F.lit(n)).alias("_floor")),
-        "floors",
-    ).withColumnsRenamed({r: f"{r}_of_floor" for r in group_columns})
+        maxima.groupBy(*group).agg(F.try_element_at(highest, F.lit(n)).alias("_floor")), "floors"
+    ).withColumnsRenamed({r: f"{r}_of_floor" for r in group})
     floors = broadcast_if_small(floors)
     candidates = (
-        values.join(floors, matches(values, floors, [(r, f"{r}_of_floor") for r in group_columns]))
+        values.join(floors, matches(values, floors, [(r, f"{r}_of_floor") for r in group]))
         .filter(F.col("_floor").isNull() | (F.col("_value") >= F.col("_floor")))
-        .select(*group_columns, "_value")
+        .select(*group, "_value")
         .distinct()
     )
-    return written(_ranked(candidates, group_columns, "_value", n).drop("_rank"), "nth-highest")
+    return written(_ranked(candidates, group, "_value", n).drop("_rank"), "nth-highest")

@@ -49,10 +49,10 @@ def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
     """Measure ``df``: true when its rows and its bytes (as JSON text) are within the limits."""
-    rows, size = df.agg(
-        F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    ).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    if df.count() > max_rows:
+        return False
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    return (size or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
