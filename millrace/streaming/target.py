@@ -163,6 +163,10 @@ class MergeTarget:
         columns = StructType(list(self.schema.fields))
         return columns.add("_change_type", StringType()) if self.delete else columns
 
+    def is_fed(self) -> bool:
+        """Whether a stream has logged a batch here."""
+        return max(*self._ids("log", "_batch_id"), self._base_id(), BEFORE_FIRST_BATCH) >= 0
+
     def _log_path(self, batch_id: int) -> str:
         return f"{self.root}/log/_batch_id={batch_id}"
 
@@ -265,7 +269,12 @@ def stream_merge(
 
     A batch that is run again after a failure has the same id and the same rows, so it has no
     further effect. The query handle is returned, after the input is used up if ``wait``.
+
+    A target stays with its checkpoint: a stream without one would number its batches from 0
+    again, and they would be taken for replays.
     """
+    if target.is_fed() and not storage.exists(target.spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{target.root} was fed by a stream whose progress is not in {checkpoint}")
     query = (
         stream.writeStream.foreachBatch(target.apply)
         .outputMode("update")

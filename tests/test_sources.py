@@ -168,6 +168,30 @@ def test_shared_folder_is_the_clusters(spark):
     assert workspace.new_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+class Unset:
+    """A session in which nothing names a shared folder."""
+
+    def __init__(self, master):
+        self.conf, self.sparkContext = self, self
+        self.master, self.folder = master, None
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_a_local_session_may_use_a_folder_of_its_own():
+    local = Unset("local[2]")
+    assert workspace.shared_dir(local) == workspace.shared_dir(local) == local.folder
+    with pytest.raises(RuntimeError):
+        workspace.shared_dir(Unset("yarn"))
+
+
 def test_size_check_measures_rows_and_bytes(spark):
     df = spark.range(100).selectExpr("id", "repeat('x', 100) AS s")
     assert workspace.fits_broadcast(df)

@@ -153,6 +153,35 @@ def test_repeated_keys_are_refused_at_the_start(spark, root):
         MergeTarget.open(spark, root, "k", "t")
 
 
+def test_a_new_checkpoint_is_refused(spark, root, database):
+    table = qualified(database, "upstream")
+    write_table(spark.createDataFrame([(1, 1, "a")], TABLE), table)
+    target = open_target(spark, root + "/table")
+    stream_merge(stream_table(spark, table), target, root + "/checkpoint")
+    for _ in range(2):
+        with pytest.raises(ValueError, match="progress"):
+            stream_merge(stream_table(spark, table), target, root + "/other")
+        target.compact()
+        target.drop_folded()
+    stream_merge(stream_table(spark, table), target, root + "/checkpoint")
+    assert rows(target.snapshot()) == [(1, 1, "a")]
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_keys_of_several_columns_with_nulls(spark, root, buckets):
+    ddl = "a int, b string, v int"
+    base = [(1, "x", 0), (1, None, 0), (None, "x", 0), (None, None, 0), (2, "y", 0)]
+    target = MergeTarget.open(
+        spark, root, ["a", "b"], "v", base=spark.createDataFrame(base, ddl), buckets=buckets
+    )
+    news = [(1, None, 5), (None, None, 6), (None, "y", 7), (2, "y", 8)]
+    target.apply(spark.createDataFrame(news, ddl), 0)
+    expected = sorted([(1, "x", 0), (None, "x", 0), *news], key=str)
+    assert sorted(rows(target.snapshot()), key=str) == expected
+    target.compact()
+    assert sorted(rows(target.snapshot()), key=str) == expected
+
+
 def test_reserved_names_are_refused(spark, root):
     with pytest.raises(ValueError, match="_batch_id"):
         MergeTarget.open(spark, root, "k", "t", schema=schema_of(spark, "k int, t int, _batch_id int"))
