@@ -1,4 +1,4 @@
-from millrace.functions.columns import columns_of, equal, matches, name
+from millrace.functions.columns import columns_of, equal, matches, name, quoted
 from millrace.functions.messages import decode_message
 from millrace.functions.text import token_count, token_frequency, tokens
 
@@ -8,6 +8,7 @@ __all__ = [
     "equal",
     "matches",
     "name",
+    "quoted",
     "token_count",
     "token_frequency",
     "tokens",

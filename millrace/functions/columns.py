@@ -10,9 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(column: str) -> str:
+    """The exact name in backticks, for names holding a dot, a blank or a backtick."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def name(column: str) -> Column:
-    """Column by its exact name, also when the name holds a dot or a blank."""
-    return F.col(_q(column))
+    """Column by its exact name."""
+    return F.col(quoted(column))
 
 
 def columns_of(columns: str | Iterable[str]) -> list[str]:
@@ -25,13 +30,9 @@ def columns_of(columns: str | Iterable[str]) -> list[str]:
 
 def matches(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     """Null-safe equality on every pair of (left, right) columns: NULL equals NULL."""
-    return reduce(and_, [left[_q(l)].eqNullSafe(right[_q(r)]) for l, r in pairs])
+    return reduce(and_, [left[quoted(l)].eqNullSafe(right[quoted(r)]) for l, r in pairs])
 
 
 def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     """Plain equality on every pair of (left, right) columns: NULL matches nothing."""
-    return reduce(and_, [left[_q(l)] == right[_q(r)] for l, r in pairs])
-
-
-def _q(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
+    return reduce(and_, [left[quoted(l)] == right[quoted(r)] for l, r in pairs])

@@ -4,15 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import columns_of, equal, matches, name
+from millrace.functions.columns import columns_of, equal, matches, name, quoted
 from millrace.operators.changes import DELETE
 
 
+def join_by_key(
+    target: DataFrame,
+    other: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    how: str,
+    bucketed: bool = False,
+) -> DataFrame:
+    """Join on null-safe equality of key ``pairs``; ``how`` keeps no unmatched row of ``other``.
+
+    The null-safe condition hides a bucketing of the target by its keys from Spark. With
+    ``bucketed``, complete keys are therefore compared by plain equality, which needs no shuffle
+    of the target, and only rows with a NULL in their key are compared apart.
+    """
+    if not bucketed:
+        return target.join(other, matches(target, other, pairs), how)
+    nulls = reduce(or_, [name(k).isNull() for k, _ in pairs])
+    other_nulls = reduce(or_, [name(k).isNull() for _, k in pairs])
+    complete, other_complete = target.filter(~nulls), other.filter(~other_nulls)
+    partial, other_partial = target.filter(nulls), other.filter(other_nulls)
+    return complete.join(
+        other_complete, equal(complete, other_complete, pairs), how
+    ).unionByName(partial.join(other_partial, matches(partial, other_partial, pairs), how))
+
+
 def replace_keys(
     target: DataFrame,
     changed: DataFrame,
@@ -24,31 +48,11 @@ def replace_keys(
 
     Only key columns of ``changed`` meet the target. They are broadcast by Catalyst where the
     files they come from are small; a target with one row per key has no skew otherwise.
-
-    The null-safe condition hides a bucketing of the target by ``keys`` from Spark. With
-    ``bucketed``, complete keys are therefore compared by plain equality, which needs no shuffle
-    of the target, and only rows with a NULL in their key are compared apart.
     """
     pairs = [(k, f"_key_{i}") for i, k in enumerate(keys)]
     changed_keys = changed.select(*[name(k).alias(r) for k, r in pairs]).distinct()
-    if not bucketed:
-        untouched = target.join(changed_keys, matches(target, changed_keys, pairs), "left_anti")
-        return untouched.unionByName(arriving)
-    kept = []
-    for rows, other, condition in (
-        (_keyed(target, keys), _keyed(changed_keys, [r for _, r in pairs]), equal),
-        (_keyless(target, keys), _keyless(changed_keys, [r for _, r in pairs]), matches),
-    ):
-        kept.append(rows.join(other, condition(rows, other, pairs), "left_anti"))
-    return kept[0].unionByName(kept[1]).unionByName(arriving)
-
-
-def _keyless(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.filter(reduce(or_, [name(k).isNull() for k in keys]))
-
-
-def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.filter(reduce(and_, [name(k).isNotNull() for k in keys]))
+    untouched = join_by_key(target, changed_keys, pairs, "left_anti", bucketed)
+    return untouched.unionByName(arriving)
 
 
 def merge(
@@ -90,7 +94,7 @@ def merge(
         F.struct(*[name(f.name) for f in fields]).alias("_new"),
         "_gone",
     )
-    old = F.struct(*[target[f"`{f.name}`"] for f in fields])
+    old = F.struct(*[target[quoted(f.name)] for f in fields])
     kept = (
         target.join(lookup, matches(target, lookup, pairs), "left")
         .filter(~F.coalesce("_gone", F.lit(False)))

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
+from millrace.functions.columns import quoted
 from millrace.sources.files import PathLike, scan_csv, scan_text
 
 # Layer database to its folder. The ``clean`` layer lives in ``silver``.
@@ -16,14 +17,14 @@ LAYERS = {"bronze": "bronze", "clean": "silver"}
 
 def qualified(database: str, table: str, catalog: str = "spark_catalog") -> str:
     """Three-part table name with every part quoted; parts already in backticks stay."""
-    return ".".join(_quoted(part) for part in (catalog, database, table))
+    return ".".join(_part(part) for part in (catalog, database, table))
 
 
 def ensure_layers(spark: SparkSession, root: str, layers: Mapping[str, str] = LAYERS) -> None:
     """Create the layer databases that do not exist yet, each in its folder under ``root``."""
     for database, folder in layers.items():
         location = f"{root.rstrip('/')}/{folder}".replace("'", "\\'")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION '{location}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_part(database)} LOCATION '{location}'")
 
 
 def write_table(df: DataFrame, table: str, mode: str = "append", fmt: str = "parquet") -> None:
@@ -68,7 +69,5 @@ def load_batch(
     return full_name
 
 
-def _quoted(part: str) -> str:
-    if len(part) > 1 and part.startswith("`") and part.endswith("`"):
-        return part
-    return "`" + part.replace("`", "``") + "`"
+def _part(part: str) -> str:
+    return part if len(part) > 1 and part[0] == part[-1] == "`" else quoted(part)

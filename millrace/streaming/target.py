@@ -21,9 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace import storage
-from millrace.functions.columns import columns_of, matches, name
+from millrace.functions.columns import columns_of, matches, name, quoted
 from millrace.operators.changes import DELETE, latest_per_key
-from millrace.operators.merge import replace_keys
+from millrace.operators.merge import join_by_key, replace_keys
 
 BEFORE_FIRST_BATCH = -1
 RESERVED = {"_batch_id", "_change_type"}
@@ -107,6 +107,10 @@ class MergeTarget:
             arriving = arriving.repartition(self.buckets, *self._key_columns())
         return replace_keys(base, changed, arriving, keys, bucketed)
 
+    def is_fed(self) -> bool:
+        """Whether a stream has logged a batch here."""
+        return max(*self._ids("log", "_batch_id"), self._base_id(), BEFORE_FIRST_BATCH) >= 0
+
     def compact(self) -> int:
         """Write the table after the last logged batch as the next base; returns that batch's id.
 
@@ -149,9 +153,9 @@ class MergeTarget:
             *[name(k).alias(r) for k, r in pairs],
             F.struct(*[name(c) for c in self.order_by]).alias("_order"),
         )
-        in_base = F.struct(*[base["`" + c.replace("`", "``") + "`"] for c in self.order_by])
-        stale = base.join(change, matches(base, change, pairs)).filter(in_base > F.col("_order"))
-        stale = stale.select(*[r for _, r in pairs])
+        in_base = F.struct(*[name(c) for c in self.order_by])
+        both = join_by_key(base, change, pairs, "inner", self.buckets is not None)
+        stale = both.filter(in_base > F.col("_order")).select(*[r for _, r in pairs])
         return newest.join(stale, matches(newest, stale, pairs), "left_anti")
 
     def _rows(self, latest: DataFrame) -> DataFrame:
@@ -163,10 +167,6 @@ class MergeTarget:
         columns = StructType(list(self.schema.fields))
         return columns.add("_change_type", StringType()) if self.delete else columns
 
-    def is_fed(self) -> bool:
-        """Whether a stream has logged a batch here."""
-        return max(*self._ids("log", "_batch_id"), self._base_id(), BEFORE_FIRST_BATCH) >= 0
-
     def _log_path(self, batch_id: int) -> str:
         return f"{self.root}/log/_batch_id={batch_id}"
 
@@ -227,7 +227,7 @@ class MergeTarget:
         if self.buckets is None:
             return self.spark.read.schema(self.schema).parquet(path)
         columns = StructType([StructField(f.name, f.dataType) for f in self.schema]).toDDL()
-        keys = ", ".join("`" + k.replace("`", "``") + "`" for k in self.keys)
+        keys = ", ".join(quoted(k) for k in self.keys)
         table = self._base_table(batch_id)
         location = path.replace("'", "\\'")
         self.spark.sql(

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from millrace.operators import change_rows, latest_per_key
 
-FEED = "k int, s string, t int, _change_type string, _commit_version bigint, _commit_timestamp timestamp_ntz"
+FEED = (
+    "k int, s string, t int, "
+    "_change_type string, _commit_version bigint, _commit_timestamp timestamp_ntz"
+)
 
 
 def test_latest_compares_columns_in_order(spark):

@@ -43,8 +43,9 @@ def test_last_batch_wins_and_replay_changes_nothing(spark, root):
     assert rows(target.snapshot(upto=0)) == [(None, 1, "n"), (1, 9, "a")]
 
 
-def test_order_guard(spark, root):
-    target = open_target(spark, root, order_guard=True)
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_order_guard(spark, root, buckets):
+    target = open_target(spark, root, order_guard=True, buckets=buckets)
     target.apply(spark.createDataFrame([(1, 9, "newest"), (2, 1, "old")], TABLE), 0)
     target.apply(spark.createDataFrame([(1, 2, "older"), (2, 1, "same time")], TABLE), 1)
     assert rows(target.snapshot()) == [(1, 9, "newest"), (2, 1, "same time")]
@@ -263,6 +264,33 @@ def test_remove_bucketed(spark, root):
 
 
 keys = st.one_of(st.none(), st.integers(0, 4))
+
+
+@limits(max_examples=6, deadline=None)
+@given(
+    batches=st.lists(
+        st.lists(st.tuples(keys, st.one_of(st.none(), st.integers(0, 3))), max_size=6),
+        min_size=1,
+        max_size=4,
+    ),
+    compact_after=st.integers(0, 3),
+    buckets=st.sampled_from([None, 4]),
+)
+def test_guard_equals_latest_of_all(spark, batches, compact_after, buckets):
+    numbers = iter(range(100))
+    news = [[(k, t, f"row {next(numbers):02d}") for k, t in batch] for batch in batches]
+    target = MergeTarget.open(
+        spark, new_dir(spark, "property"), "k", ["t", "s"], schema=schema_of(spark, TABLE),
+        order_guard=True, buckets=buckets,
+    )
+    for batch_id, batch in enumerate(news):
+        target.apply(spark.createDataFrame(batch, TABLE), batch_id)
+        if batch_id == compact_after:
+            target.compact()
+    everything = spark.createDataFrame([row for batch in news for row in batch], TABLE)
+    assert rows(target.snapshot()) == rows(latest_per_key(everything, "k", ["t", "s"]))
+
+
 kinds = st.sampled_from(["insert", "update_preimage", "update_postimage", "delete"])
 
 
