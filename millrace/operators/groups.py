@@ -7,9 +7,11 @@ row is joined back.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import columns_of, matches, name
@@ -17,6 +19,7 @@ from millrace.workspace import BROADCAST_ROWS, broadcast_if_small, fits_broadcas
 
 # A group with more rows is never gathered in one task.
 HOT_ROWS = 2_000_000
+# Bounds the sizes that are broadcast, one number per bucket.
 SIZE_BUCKETS = 65_536
 
 
@@ -56,13 +59,13 @@ def compare_to_group_avg(
         joined = rows.join(side, matches(rows, side, pairs))
         return joined.drop(*[r for _, r in pairs])
 
-    groups = df.agg(F.approx_count_distinct(F.struct(*[name(k) for k in keys]))).first()[0]
-    few = averages(df) if groups <= broadcast_rows else None
+    sizes = _bucket_sizes(df, keys)
+    few = averages(df) if sizes.groups <= broadcast_rows else None
     if few is not None and fits_broadcast(few, broadcast_rows):
         compared = with_averages(df, few)
     else:
         compared = _hot_apart(
-            df, pairs, hot_rows, windowed, lambda rows: with_averages(rows, averages(rows))
+            df, pairs, sizes, hot_rows, windowed, lambda rows: with_averages(rows, averages(rows))
         )
     own, mean = name(value), name(average)
     label = F.when(own > mean, "Higher").when(own.eqNullSafe(mean), "equal").otherwise("lower")
@@ -99,42 +102,65 @@ def nth_highest(
         same_value = matches(rows, wanted, [*pairs, (value, "_value")])
         return rows.join(wanted, same_value, "left_semi").select(*output)
 
-    return _hot_apart(df, pairs, hot_rows, ranked, joined)
+    return _hot_apart(df, pairs, _bucket_sizes(df, keys), hot_rows, ranked, joined)
+
+
+@dataclass(frozen=True)
+class _BucketSizes:
+    """Hash buckets of group keys, each with at least the rows of any group in it."""
+
+    per_bucket: DataFrame
+    total: int
+    largest: int
+    groups: float
+
+
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[name(k) for k in keys]), F.lit(SIZE_BUCKETS)).alias("_bucket")
+
+
+def _bucket_sizes(df: DataFrame, keys: Sequence[str]) -> _BucketSizes:
+    """One pass over the keys, which shuffles no more than the sizes of the buckets.
+
+    The number of groups is estimated from the buckets in use (linear counting).
+    """
+    per_bucket = df.groupBy(_bucket(keys)).agg(F.count(F.lit(1)).alias("_rows"))
+    used, total, largest = per_bucket.agg(
+        F.count(F.lit(1)), F.sum("_rows"), F.max("_rows")
+    ).first()
+    free = SIZE_BUCKETS - used
+    groups = SIZE_BUCKETS * math.log(SIZE_BUCKETS / free) if free else math.inf
+    return _BucketSizes(per_bucket, total or 0, largest or 0, groups)
 
 
 def _hot_apart(
     df: DataFrame,
     pairs: Sequence[tuple[str, str]],
+    sizes: _BucketSizes,
     hot_rows: int,
     moderate: Callable[[DataFrame], DataFrame],
     hot: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """``moderate`` of the rows in groups up to ``hot_rows``, and ``hot`` of the other rows.
 
-    A hash bucket of group keys holds at least as many rows as any group in it. So one pass, which
-    shuffles no more than the sizes of the buckets, mostly proves that no group is hot; only
-    groups in larger buckets are counted one by one.
+    Mostly the sizes of the buckets prove that no group is hot. Only groups in larger buckets
+    are counted one by one.
     """
-    keys = [k for k, _ in pairs]
-    bucket = F.pmod(F.xxhash64(*[name(k) for k in keys]), F.lit(SIZE_BUCKETS))
-    count = F.count(F.lit(1)).alias("_rows")
-    sizes = df.groupBy(bucket.alias("_bucket")).agg(count)
-    total, largest = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
-    if (largest or 0) <= hot_rows:
+    if sizes.largest <= hot_rows:
         return moderate(df)
-    crowded = F.broadcast(sizes.filter(F.col("_rows") > hot_rows).select("_bucket"))
+    crowded = sizes.per_bucket.filter(F.col("_rows") > hot_rows).select("_bucket")
     found = written(
-        df.select(*[name(k).alias(r) for k, r in pairs], bucket.alias("_bucket"))
-        .join(crowded, "_bucket", "left_semi")
+        df.select(*[name(k).alias(r) for k, r in pairs], _bucket([k for k, _ in pairs]))
+        .join(F.broadcast(crowded), "_bucket", "left_semi")
         .groupBy(*[r for _, r in pairs])
-        .agg(count)
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > hot_rows),
         "hot-groups",
     )
     covered = found.agg(F.sum("_rows")).first()[0]
     if covered is None:
         return moderate(df)
-    if covered == total:
+    if covered == sizes.total:
         return hot(df)
     found = broadcast_if_small(found.drop("_rows"))
     in_hot = matches(df, found, pairs)
