@@ -56,7 +56,7 @@ def compare_to_group_avg(
 
     def with_averages(rows: DataFrame, side: DataFrame) -> DataFrame:
         side = broadcast_if_small(side, broadcast_rows)
-        joined = rows.join(side, matches(rows, side, pairs))
+        joined = rows.join(side, matches(rows, side, pairs), "left")
         return joined.drop(*[r for _, r in pairs])
 
     sizes = _bucket_sizes(df, keys)

@@ -106,6 +106,8 @@ SELECT event_type AS topic, event_id AS "offset", CAST(json_extract(props, '$.k'
 FROM events WHERE event_type = 'click'""",
     "ingest_csv_files": """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_totalprice FROM orders""",
+    "ingest_after_reset": """
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders""",
     "stream_upsert": """
 SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY

@@ -16,7 +16,7 @@ from millrace.functions import decode_message, token_count, token_frequency
 from millrace.plans.load import ensure_layers, load_batch, qualified, write_table
 from millrace.sources import FormatSpec, scan_csv, scan_text, struct_from_columns
 from millrace.sources import stream_changes, stream_table
-from millrace.streaming import MergeTarget, ingest_files, stream_merge
+from millrace.streaming import MergeTarget, TargetPaths, ingest_files, reset, stream_merge
 from millrace.workspace import new_dir
 
 CUSTOMER_COLUMNS = [
@@ -252,6 +252,22 @@ def ingested_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(qualified(database, "orders"))
 
 
+def ingested_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet files loaded, forgotten with their table, progress and schema, and loaded again."""
+    folder, database = new_dir(spark, "arriving"), new_database(spark)
+    table(spark, sf_dir, "orders").select(ORDER_COLUMNS).write.parquet(folder)
+    state = new_dir(spark, "state")
+    roots = (f"{state}/checkpoints", f"{state}/schemas")
+    name = qualified(database, "orders")
+    for _ in range(2):
+        reset(spark, name, TargetPaths.under(*roots, database, "orders"))
+        ingest_files(
+            spark, folder, FormatSpec("parquet"), database, "orders", *roots, hints={},
+            max_files_per_trigger=1000,
+        )
+    return spark.table(name)
+
+
 def stream_events(spark: SparkSession, sf_dir: str, order_guard: bool) -> DataFrame:
     events = table(spark, sf_dir, "events")
     arriving = qualified(new_database(spark), "events")
@@ -368,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_repeated_keys": merge_repeated_keys,
     "ingest_files": ingested_files,
     "ingest_csv_files": ingested_csv_files,
+    "ingest_after_reset": ingested_after_reset,
     "stream_upsert": stream_upsert,
     "stream_upsert_guarded": stream_upsert_guarded,
     "stream_upsert_delete": stream_upsert_delete,

@@ -122,6 +122,14 @@ def test_new_columns_reach_the_table(spark, job):
     ]
 
 
+def test_lines_that_are_not_json_are_kept(spark, job):
+    job.put("a.json", envelope("t", {"a": 1}, 0), "{broken\n")
+    job.run()
+    assert rows(spark.table(job.table).select("topic", "_corrupt_record")) == [
+        (None, "{broken"), ("t", None),
+    ]
+
+
 def test_a_failed_run_is_taken_up_again(spark, job):
     job.put("a.json", envelope("t", {"a": 1}, "7"), envelope("t", {"a": 1}, "x"))
     with pytest.raises(StreamingQueryException):
