@@ -80,7 +80,7 @@ SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "change_feed_latest": """
 SELECT o_orderkey,
-       CASE WHEN o_orderpriority <> '5-LOW' AND o_orderdate >= TIMESTAMP '1996-01-01'
+       CASE WHEN o_orderpriority IS DISTINCT FROM '5-LOW' AND o_orderdate >= TIMESTAMP '1996-01-01'
             THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
        CASE WHEN o_orderpriority = '5-LOW' THEN 'delete'
             WHEN o_orderdate >= TIMESTAMP '1996-01-01' THEN 'update_postimage'
@@ -90,7 +90,7 @@ UNION ALL
 SELECT -o_orderkey - 1, o_orderstatus, 'delete' FROM orders""",
     "merge_upsert": MERGED,
     "merge_upsert_delete": f"""
-{MERGED} WHERE o_orderdate < TIMESTAMP '1996-01-01' OR o_orderpriority <> '5-LOW'""",
+{MERGED} WHERE o_orderdate < TIMESTAMP '1996-01-01' OR o_orderpriority IS DISTINCT FROM '5-LOW'""",
     "merge_repeated_keys": """
 WITH changes AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01')
 SELECT l_orderkey AS o_orderkey,
@@ -116,7 +116,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY
     "stream_upsert_guarded": """
 SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
-    "stream_upsert_delete": f"{MERGED} WHERE o_orderpriority <> '5-LOW'",
+    "stream_upsert_delete": f"{MERGED} WHERE o_orderpriority IS DISTINCT FROM '5-LOW'",
     "stream_upsert_compacted": MERGED,
     "stream_upsert_bucketed": MERGED,
 }

@@ -56,7 +56,8 @@ def new_database(spark: SparkSession) -> str:
 
 def customer_csv(spark: SparkSession, sf_dir: str) -> str:
     folder = new_dir(spark, "customer-csv")
-    table(spark, sf_dir, "customer").write.option("header", True).csv(folder)
+    as_they_are = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    table(spark, sf_dir, "customer").write.options(header=True, **as_they_are).csv(folder)
     return folder
 
 

@@ -2,6 +2,7 @@ import pytest
 from conftest import executed_plan, rows
 from hypothesis import given, settings as limits, strategies as st
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from millrace.operators import merge
 
@@ -86,6 +87,32 @@ def test_small_source_leaves_the_target_unshuffled(spark, sf_dir, tmp_path):
     assert "SortMergeJoin" not in plan
 
 
+def test_hot_target_key_is_split(spark, settings, tmp_path):
+    """A third of the target rows share the NULL key, and nothing may be broadcast."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="16",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50k",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    hot = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id"))
+    text = F.sha2(F.col("id").cast("string"), 256)
+    spark.range(0, 90_000, 1, 8).select(hot.alias("k"), text.alias("v")).write.parquet(
+        str(tmp_path / "target")
+    )
+    spark.range(89_000, 91_000).select(
+        F.when(F.col("id") < 90_999, F.col("id")).alias("k"), F.lit("new").alias("v")
+    ).write.parquet(str(tmp_path / "source"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    merged = merge(target, spark.read.parquet(str(tmp_path / "source")), "k")
+    assert executed_plan(merged).count("SortMergeJoin(skew=true)") >= 1
+    counts = merged.groupBy("v").count().filter("v = 'new'").first()["count"]
+    matched = sum(1 for i in range(89_000, 90_000) if i % 3)
+    assert counts == 30_000 + 1_999
+    assert merged.count() == 90_000 + 1_999 - matched
+
+
 keys = st.one_of(st.none(), st.integers(0, 6))
 
 
