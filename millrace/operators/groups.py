@@ -124,7 +124,8 @@ def _bucket_sizes(df: DataFrame, keys: Sequence[str]) -> _BucketSizes:
 
     The number of groups is estimated from the buckets in use (linear counting).
     """
-    per_bucket = df.groupBy(_bucket(keys)).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = df.groupBy(_bucket(keys)).agg(F.count(F.lit(1)).alias("_rows"))
+    per_bucket = written(counted, "bucket-sizes")
     used, total, largest = per_bucket.agg(
         F.count(F.lit(1)), F.sum("_rows"), F.max("_rows")
     ).first()
