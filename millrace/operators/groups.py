@@ -55,18 +55,18 @@ def compare_to_group_avg(
         return rows.withColumn(average, F.avg(name(value)).over(whole_group))
 
     def with_averages(rows: DataFrame, side: DataFrame) -> DataFrame:
-        side = broadcast_if_small(side, broadcast_rows)
         joined = rows.join(side, matches(rows, side, pairs), "left")
         return joined.drop(*[r for _, r in pairs])
 
+    def with_own_averages(rows: DataFrame) -> DataFrame:
+        return with_averages(rows, broadcast_if_small(averages(rows), broadcast_rows))
+
     sizes = _bucket_sizes(df, keys)
     few = averages(df) if sizes.groups <= broadcast_rows else None
     if few is not None and fits_broadcast(few, broadcast_rows):
-        compared = with_averages(df, few)
+        compared = with_averages(df, F.broadcast(few))
     else:
-        compared = _hot_apart(
-            df, pairs, sizes, hot_rows, windowed, lambda rows: with_averages(rows, averages(rows))
-        )
+        compared = _hot_apart(df, pairs, sizes, hot_rows, windowed, with_own_averages)
     own, mean = name(value), name(average)
     label = F.when(own > mean, "Higher").when(own.eqNullSafe(mean), "equal").otherwise("lower")
     return compared.withColumn(label_column, label)
@@ -124,8 +124,7 @@ def _bucket_sizes(df: DataFrame, keys: Sequence[str]) -> _BucketSizes:
 
     The number of groups is estimated from the buckets in use (linear counting).
     """
-    counted = df.groupBy(_bucket(keys)).agg(F.count(F.lit(1)).alias("_rows"))
-    per_bucket = written(counted, "bucket-sizes")
+    per_bucket = df.groupBy(_bucket(keys)).agg(F.count(F.lit(1)).alias("_rows"))
     used, total, largest = per_bucket.agg(
         F.count(F.lit(1)), F.sum("_rows"), F.max("_rows")
     ).first()
