@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import lines, packing, personal, quality, simhash
-from millrace.llm.common import column, free_name, read_table
+from millrace.llm.common import column, free_name, read_table, show_workers
 from millrace.workspace import written
 
 
@@ -19,6 +19,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Learns from the labels of the documents it is given; without any labels all score a half and stay.
     """
+    show_workers(spark)
     model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
     score = free_name(docs, "_score")
     return quality.score(docs, model, out=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
@@ -26,6 +27,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: repeated and nearly repeated lines go, all but the first; ``n_chars`` follows the text."""
+    show_workers(spark)
     report = free_name(docs, "_report")
     left = lines.dedup_lines(docs, report=report)
     if "n_chars" in docs.columns:
@@ -37,16 +39,19 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: one document of each component stays, the one with the smallest doc_id."""
+    show_workers(spark)
     return simhash.keep_one(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """PII: every span is replaced by its kind; ``n_chars`` follows the text."""
+    show_workers(spark)
     return personal.mask(docs, personal.fit(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the batch and the place in it of every document that is left."""
+    show_workers(spark)
     import public_tokenizers
 
     return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
@@ -54,6 +56,18 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def show_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Workers on other machines need it installed or shipped (``--py-files``); there this does nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

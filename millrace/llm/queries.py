@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import lines, multiset, packing, personal, pieces, quality, simhash, token_files, topk, warc
-from millrace.llm.common import read_table
+from millrace.llm.common import read_table, show_workers
 
 
 def vocabulary(name: str) -> str:
@@ -67,18 +69,27 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def _query(function):
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        show_workers(spark)
+        return function(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    "op1_topk_search": op1_topk_search,
-    "op2_sentencepiece": op2_sentencepiece,
-    "op3_personal_data": op3_personal_data,
-    "op4_warc": op4_warc,
-    "op5_simhash": op5_simhash,
-    "op6_quality": op6_quality,
-    "op7_fingerprints": op7_fingerprints,
-    "op8_token_ids": op8_token_ids,
-    "op9_line_dedup": op9_line_dedup,
-    "op10_packing": op10_packing,
-    "pipeline": corpus_pipeline.run,
+    "op1_topk_search": _query(op1_topk_search),
+    "op2_sentencepiece": _query(op2_sentencepiece),
+    "op3_personal_data": _query(op3_personal_data),
+    "op4_warc": _query(op4_warc),
+    "op5_simhash": _query(op5_simhash),
+    "op6_quality": _query(op6_quality),
+    "op7_fingerprints": _query(op7_fingerprints),
+    "op8_token_ids": _query(op8_token_ids),
+    "op9_line_dedup": _query(op9_line_dedup),
+    "op10_packing": _query(op10_packing),
+    "pipeline": _query(corpus_pipeline.run),
 }
 
 # Eight lanes of a paragraph's SHA-256 and 64 of its sentences, summed; see ``multiset``.
