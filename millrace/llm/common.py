@@ -7,7 +7,9 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 from urllib.parse import unquote, urlparse
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +45,38 @@ def chunks(texts: pa.Array, max_chars: int = CHUNK_CHARS) -> Iterator[tuple[int,
         yield start, run
 
 
+# Stands between segments while a text is cut; a text that holds it must be cut in another way.
+CUT = "\x1f"
+
+
+def count_segments(texts: list[str], marks: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Cut texts in columns: replace each mark in turn, then split at CUT.
+
+    The distinct segments, the number of the segment at each place of all texts in a row, and the place
+    at which each text begins (and the last one ends).
+    """
+    column = pa.array(texts, pa.large_string())
+    for old, new in marks:
+        column = pc.replace_substring(column, old, new)
+    lists = pc.split_pattern(column, CUT)
+    coded = lists.flatten().dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
+
+
+def put_together(parts: list[bytes], numbers: np.ndarray, begins: np.ndarray, unit: int = 1) -> list[memoryview]:
+    """Of each text the joined parts of its segments; every part's size is a multiple of ``unit``."""
+    kind = np.dtype(f"V{unit}") if unit not in (1, 2, 4, 8) else np.dtype(f"u{unit}")
+    flat = np.frombuffer(b"".join(parts), kind)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // unit
+    starts = np.cumsum(sizes) - sizes
+    own = sizes[numbers]
+    ends = np.concatenate([[0], np.cumsum(own)])
+    whole = flat[np.repeat(starts[numbers] - ends[:-1], own) + np.arange(ends[-1])]
+    view = memoryview(np.ascontiguousarray(whole)).cast("B")
+    at = (ends[begins] * unit).tolist()
+    return [view[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
 ) -> DataFrame:

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections import ChainMap
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import chunks, column
+from millrace.llm.common import CUT, chunks, column, count_segments, put_together
 
 SPACE = "▁"
 # Distinct segments remembered in a generation. A full generation becomes the old one, from which
@@ -74,8 +74,8 @@ class PieceCodec:
         # No piece reaches from another character to a space, or across a line end, so cut there.
         self.cuts = not joined and not lines and "\n" not in self.ids
         self.segment = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
-        self.known: dict[str, tuple[str, str]] = {}
-        self.old: dict[str, tuple[str, str]] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def segments(self, text: str) -> list[str]:
         if not text:
@@ -194,39 +194,59 @@ class PieceCodec:
         if self.library.decode(expected) != "\n" + "\n".join(surfaces):
             raise AssertionError("the decoder and the sentencepiece library differ")
 
-    def learn(self, cut: list[list[str]]) -> Mapping[str, tuple[str, str]]:
-        """Ids (as text, each with a comma after it) and surface of every segment in ``cut``."""
+    def learn(self, wanted: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids (as text, each with a comma after it) and surface, in UTF-8, of distinct segments."""
         if len(self.known) > REMEMBERED:
             self.old, self.known = self.known, {}
         known, old = self.known, self.old
-        unseen = set().union(*cut).difference(known)
+        found = [known.get(segment) for segment in wanted]
         fresh = []
-        for segment in unseen:
-            entry = old.get(segment)
+        for number, entry in enumerate(found):
             if entry is None:
-                fresh.append(segment)
-            else:
-                known[segment] = entry
-        encoded = [self.merge(segment) for segment in fresh]
+                segment = wanted[number]
+                entry = found[number] = old.get(segment)
+                if entry is None:
+                    fresh.append(number)
+                else:
+                    known[segment] = entry
+        segments = [wanted[number] for number in fresh]
+        encoded = [self.merge(segment) for segment in segments]
         surfaces = [self.surface(ids) for ids in encoded]
-        self.check(fresh, encoded, surfaces)
-        extra = {}
-        for segment, ids, surface in zip(fresh, encoded, surfaces, strict=True):
-            entry = ("".join([f"{number}," for number in ids]), surface)
-            (known if len(segment) <= LONGEST_REMEMBERED else extra)[segment] = entry
-        return ChainMap(known, extra) if extra else known
-
-    def round_trip(self, texts: list[str]) -> list[tuple[str, str]]:
-        """Of each text its ids as decimal numbers joined by commas, and what they decode to."""
-        cut = [self.segments(text) for text in texts]
-        known = self.learn(cut)
-        out = []
-        for segments in cut:
-            pairs = [known[segment] for segment in segments]
-            ids = "".join([pair[0] for pair in pairs])
-            out.append((ids[:-1], "".join([pair[1] for pair in pairs]).removeprefix(" ")))
+        self.check(segments, encoded, surfaces)
+        for number, segment, ids, surface in zip(fresh, segments, encoded, surfaces, strict=True):
+            entry = found[number] = ("".join([f"{n}," for n in ids]).encode(), surface.encode())
+            if len(segment) <= LONGEST_REMEMBERED:
+                known[segment] = entry
+        return found
+
+    def round_trip(self, texts: list[str]) -> list[tuple[memoryview, memoryview]]:
+        """Of each text its ids as decimal numbers joined by commas, and the UTF-8 of what they decode to."""
+        # Runs of spaces are segments of their own, which marks cannot tell.
+        plain = [
+            self.cuts and text[:1] != " " and not any(s in text for s in ("  ", SPACE, CUT)) for text in texts
+        ]
+        out: list[tuple[memoryview, memoryview]] = [(memoryview(b""), memoryview(b""))] * len(texts)
+        cut = [n for n, ok in enumerate(plain) if ok and texts[n]]
+        if cut:
+            marks = [(" ", CUT + SPACE), ("\n", CUT + "\n" + CUT)]
+            self._fill(out, cut, *count_segments([SPACE + texts[n] for n in cut], marks))
+        rest = [n for n, ok in enumerate(plain) if not ok and texts[n]]
+        if rest:
+            lists = [self.segments(texts[n]) for n in rest]
+            coded = pa.array([s for segments in lists for s in segments], pa.large_string()).dictionary_encode()
+            begins = np.concatenate([[0], np.cumsum([len(segments) for segments in lists])])
+            self._fill(out, rest, coded.dictionary.to_pylist(), coded.indices.to_numpy(), begins)
         return out
 
+    def _fill(self, out: list, places: list[int], segments: list[str], numbers: np.ndarray, begins: np.ndarray) -> None:
+        # An empty segment between two marks has neither ids nor a surface.
+        entries = dict(zip([s for s in segments if s], self.learn([s for s in segments if s]), strict=True))
+        pairs = [entries.get(s, (b"", b"")) for s in segments]
+        ids = put_together([pair[0] for pair in pairs], numbers, begins)
+        texts = put_together([pair[1] for pair in pairs], numbers, begins)
+        for place, one, two in zip(places, ids, texts, strict=True):
+            out[place] = one[:-1], two[1:] if two[:1] == b" " else two
+
 
 def _utf8(raw: bytes) -> str:
     """Bytes as text; each byte that is not part of a valid character becomes U+FFFD."""
@@ -276,7 +296,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
         for batch in batches:
             for start, texts in chunks(batch.column(at)):
                 found = [
-                    [int(n) for n in joined.split(",")] if joined else []
+                    [int(n) for n in bytes(joined).split(b",")] if joined else []
                     for joined, _ in pieces.round_trip(texts)
                 ]
                 yield _append(batch.slice(start, len(texts)), [pa.array(found, pa.list_(pa.int32()))], [ids])
@@ -322,9 +342,9 @@ def token_digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "te
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, len(texts)),
-                        pa.array([ids.count(",") + 1 if ids else 0 for ids, _ in pairs], pa.int64()),
-                        pa.array([sha256(ids.encode()).hexdigest() for ids, _ in pairs], pa.string()),
-                        pa.array([sha256(out.encode()).hexdigest() for _, out in pairs], pa.string()),
+                        pa.array([bytes(ids).count(b",") + 1 if ids else 0 for ids, _ in pairs], pa.int64()),
+                        pa.array([sha256(ids).hexdigest() for ids, _ in pairs], pa.string()),
+                        pa.array([sha256(out).hexdigest() for _, out in pairs], pa.string()),
                     ],
                     ["key", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, column, file_system, write_file
+from millrace.llm.common import CUT, chunks, column, count_segments, file_system, put_together, write_file
 from millrace.workspace import new_dir
 
 MAGIC, END = b"MRIDS\x01\x00\x00", b"MRIDSEND"
@@ -38,8 +38,13 @@ SAMPLE_DOCS = 400
 SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
-# Distinct segments remembered in a generation; see ``IdEncoder``.
-REMEMBERED = 300_000
+# Distinct segments remembered in a generation. A full generation becomes the old one, from which
+# segments still in use come back, and the one before it is forgotten. Results do not depend on it.
+REMEMBERED = 500_000
+# Longer segments are encoded without being remembered.
+LONGEST_REMEMBERED = 64
+# White space of ASCII besides the space and the line end.
+OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
 class IdEncoder:
@@ -68,7 +73,7 @@ class IdEncoder:
         self.line_end = line_end[0] if len(line_end) == 1 else None
         self.cuts = self.cuts and self.line_end is not None
         self.other_space = re.compile(r"[^\S \n]")
-        self.segment = re.compile(r"[ \n]+(?![^ \n])| ?[^ \n]+|\n")
+        self.long_space = re.compile(r"[ \n]{3}|[ \n]{2}\Z")
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -78,7 +83,7 @@ class IdEncoder:
 
     def _segments(self, fresh: list[str]) -> list[bytes]:
         """Ids of segments: in one text, each behind a line end that is taken off again."""
-        words = [s for s in fresh if "\n" not in s and s.strip(" ")]
+        words = [s for s in fresh if "\n" not in s and s not in ("", " ")]
         found = {}
         if words:
             raw = self._library(["\n" + "\n".join(words)])[0]
@@ -92,34 +97,55 @@ class IdEncoder:
         found.update(zip(rest, self._library(rest), strict=True))
         return [found[s] for s in fresh]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        cut: list[list[str] | None] = []
-        whole = []
-        for number, text in enumerate(texts):
-            if self.cuts and not self.other_space.search(text):
-                cut.append(self.segment.findall(text))
-            else:
-                cut.append(None)
-                whole.append(number)
-        for number, ids in zip(whole, self._library([texts[n] for n in whole]), strict=True):
-            out[number] = ids
+    def learn(self, wanted: list[str]) -> list[bytes]:
+        """Ids of distinct segments."""
         if len(self.known) > REMEMBERED:
             self.old, self.known = self.known, {}
         known, old = self.known, self.old
+        found = [known.get(segment) for segment in wanted]
         fresh = []
-        for segment in set().union(*(c for c in cut if c)).difference(known):
-            if segment in old:
-                known[segment] = old[segment]
-            else:
-                fresh.append(segment)
-        known.update(zip(fresh, self._segments(fresh), strict=True))
-        for number, segments in enumerate(cut):
-            if segments is not None:
-                out[number] = b"".join([known[s] for s in segments])
-        for segment in fresh:
-            if len(segment) > 64:
-                del known[segment]
+        for number, ids in enumerate(found):
+            if ids is None:
+                segment = wanted[number]
+                ids = found[number] = old.get(segment)
+                if ids is None:
+                    fresh.append(number)
+                else:
+                    known[segment] = ids
+        for number, ids in zip(fresh, self._segments([wanted[n] for n in fresh]), strict=True):
+            found[number] = ids
+            if len(wanted[number]) <= LONGEST_REMEMBERED:
+                known[wanted[number]] = ids
+        return found
+
+    def plain(self, text: str) -> bool:
+        """Whether single spaces and line ends are the only white space, so that CUT marks all words.
+
+        Of two in a row the tokenizer splits the first off, as cutting does; of more, or two at the end,
+        it makes one word.
+        """
+        if not self.cuts or any(sign in text for sign in OTHER_SPACE):
+            return False
+        if not text.isascii() and self.other_space.search(text):
+            return False
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+            return not self.long_space.search(text)
+        return True
+
+    def encode(self, texts: list[str]) -> list[bytes | memoryview]:
+        """Ids of each text."""
+        out: list[bytes | memoryview] = [b""] * len(texts)
+        plain = [self.plain(text) for text in texts]
+        whole = [n for n, ok in enumerate(plain) if not ok]
+        for number, ids in zip(whole, self._library([texts[n] for n in whole]), strict=True):
+            out[number] = ids
+        cut = [n for n, ok in enumerate(plain) if ok]
+        if cut:
+            segments, numbers, begins = count_segments(
+                [texts[n] for n in cut], [(" ", CUT + " "), ("\n", CUT + "\n" + CUT)]
+            )
+            for number, ids in zip(cut, put_together(self.learn(segments), numbers, begins, 4), strict=True):
+                out[number] = ids
         return out
 
 
@@ -172,13 +198,16 @@ def write_ids(
     spark = df.sparkSession
     folder = folder or new_dir(spark, "token-ids")
     rows = df.select(column(key).cast("bigint").alias("key"), F.coalesce(column(text), F.lit("")).alias("text"))
+    # At most SAMPLE_DOCS keys, and then their texts.
+    keys = rows.where("key IS NOT NULL").select("key").orderBy(F.xxhash64("key"), "key").limit(SAMPLE_DOCS)
     sample = (
-        rows.select("key", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        rows.join(F.broadcast(keys.distinct()), "key", "left_semi")
+        .select("key", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
         .orderBy(F.xxhash64("key"), "key", "text")
         .limit(SAMPLE_DOCS)
         .collect()
     )
-    dictionary = train_dictionary(encoder(path).encode([r.text for r in sample]))
+    dictionary = train_dictionary([bytes(ids) for ids in encoder(path).encode([r.text for r in sample])])
     token = uuid.uuid4().hex
     write_file(folder, "dictionary", token, lambda stream: stream.write(dictionary))
     digest = sha256(dictionary).digest()
@@ -200,7 +229,7 @@ def write_ids(
             for batch in _chain(first, batches):
                 for start, texts in chunks(batch.column(1)):
                     for raw in ids.encode(texts):
-                        frame = pack.compress(raw + tail)
+                        frame = pack.compress(bytes(raw) + tail)
                         stream.write(frame)
                         offsets.append(offsets[-1] + len(frame))
                         counts.append(len(raw) // 4 + 1)
