@@ -164,7 +164,7 @@ def token_lengths(df: DataFrame, path: str, text: str = "text", out: str = "n_to
     an end id included; null texts count as empty."""
     from pyspark.sql.types import StructType
 
-    from millrace.llm.token_files import encoder
+    from millrace.llm.token_files import CUT_CHARS, encoder
 
     kept = df.drop(out)
     at = kept.columns.index(text)
@@ -172,10 +172,10 @@ def token_lengths(df: DataFrame, path: str, text: str = "text", out: str = "n_to
 
     def run(batch):
         ids = encoder(path)
-        for start, texts in chunks(batch.column(at)):
+        for start, texts in chunks(batch.column(at), CUT_CHARS):
             own = batch.slice(start, len(texts))
             columns = [c for k, c in enumerate(own.columns) if k != at]
-            counts = pa.array([len(raw) // 4 + 1 for raw in ids.encode(texts)], pa.int64())
+            counts = pa.array([count + 1 for count in ids.counts(texts)], pa.int64())
             yield pa.RecordBatch.from_arrays([*columns, counts], [*[f.name for f in rest], out])
 
     return map_batches(kept, run, StructType([*rest, *StructType.fromDDL(f"`{out}` bigint").fields]))

@@ -43,6 +43,10 @@ LEVEL = 3
 REMEMBERED = 500_000
 # Longer segments are encoded without being remembered.
 LONGEST_REMEMBERED = 64
+# New segments that the library gets in one text, and characters that are cut at a time.
+GROUP, CUT_CHARS = 100, 1 << 21
+# Where texts are cut.
+MARKS = [(" ", CUT + " "), ("\n", CUT + "\n" + CUT)]
 # White space of ASCII besides the space and the line end.
 OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
@@ -82,21 +86,38 @@ class IdEncoder:
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
     def _segments(self, fresh: list[str]) -> list[bytes]:
-        """Ids of segments: in one text, each behind a line end that is taken off again."""
+        """Ids of segments: many in one text, each behind a line end that is taken off again."""
         words = [s for s in fresh if "\n" not in s and s not in ("", " ")]
         found = {}
         if words:
-            raw = self._library(["\n" + "\n".join(words)])[0]
-            whole = np.frombuffer(raw, "<u4")
-            at = np.append(np.flatnonzero(whole == self.line_end), len(whole)).tolist()
-            if len(at) != len(words) + 1:
-                raise AssertionError("a line end was joined with a word")
-            for number, word in enumerate(words):
-                found[word] = raw[4 * (at[number] + 1) : 4 * at[number + 1]]
+            groups = [words[k : k + GROUP] for k in range(0, len(words), GROUP)]
+            for group, raw in zip(groups, self._library(["\n" + "\n".join(g) for g in groups]), strict=True):
+                whole = np.frombuffer(raw, "<u4")
+                at = (4 * np.append(np.flatnonzero(whole == self.line_end), len(whole))).tolist()
+                if len(at) != len(group) + 1:
+                    raise AssertionError("a line end was joined with a word")
+                for word, low, high in zip(group, at, at[1:], strict=False):
+                    found[word] = raw[low + 4 : high]
         rest = [s for s in fresh if s not in found]
         found.update(zip(rest, self._library(rest), strict=True))
         return [found[s] for s in fresh]
 
+    def counts(self, texts: list[str]) -> list[int]:
+        """Numbers of ids, without the ids."""
+        out = [0] * len(texts)
+        plain = [self.plain(text) for text in texts]
+        whole = [n for n, ok in enumerate(plain) if not ok]
+        for number, ids in zip(whole, self._library([texts[n] for n in whole]), strict=True):
+            out[number] = len(ids) // 4
+        cut = [n for n, ok in enumerate(plain) if ok]
+        if cut:
+            segments, numbers, begins = count_segments([texts[n] for n in cut], MARKS)
+            sizes = np.fromiter(map(len, self.learn(segments)), np.int64, len(segments)) // 4
+            ends = np.concatenate([[0], np.cumsum(sizes[numbers])])[begins]
+            for number, size in zip(cut, np.diff(ends).tolist(), strict=True):
+                out[number] = size
+        return out
+
     def learn(self, wanted: list[str]) -> list[bytes]:
         """Ids of distinct segments."""
         if len(self.known) > REMEMBERED:
@@ -104,14 +125,13 @@ class IdEncoder:
         known, old = self.known, self.old
         found = [known.get(segment) for segment in wanted]
         fresh = []
-        for number, ids in enumerate(found):
+        for number in [n for n, ids in enumerate(found) if ids is None]:
+            segment = wanted[number]
+            ids = found[number] = old.get(segment)
             if ids is None:
-                segment = wanted[number]
-                ids = found[number] = old.get(segment)
-                if ids is None:
-                    fresh.append(number)
-                else:
-                    known[segment] = ids
+                fresh.append(number)
+            else:
+                known[segment] = ids
         for number, ids in zip(fresh, self._segments([wanted[n] for n in fresh]), strict=True):
             found[number] = ids
             if len(wanted[number]) <= LONGEST_REMEMBERED:
@@ -141,9 +161,7 @@ class IdEncoder:
             out[number] = ids
         cut = [n for n, ok in enumerate(plain) if ok]
         if cut:
-            segments, numbers, begins = count_segments(
-                [texts[n] for n in cut], [(" ", CUT + " "), ("\n", CUT + "\n" + CUT)]
-            )
+            segments, numbers, begins = count_segments([texts[n] for n in cut], MARKS)
             for number, ids in zip(cut, put_together(self.learn(segments), numbers, begins, 4), strict=True):
                 out[number] = ids
         return out
@@ -227,7 +245,7 @@ def write_ids(
             stream.write(MAGIC + digest)
             offsets, keys, counts, present = [len(MAGIC) + 32], [], [], []
             for batch in _chain(first, batches):
-                for start, texts in chunks(batch.column(1)):
+                for start, texts in chunks(batch.column(1), CUT_CHARS):
                     for raw in ids.encode(texts):
                         frame = pack.compress(bytes(raw) + tail)
                         stream.write(frame)
@@ -249,8 +267,10 @@ def write_ids(
             ["number", "name", "n_tokens"],
         )
 
+    # Bounds between rows of one key need the beginning of their texts only.
+    front = F.substring("text", 1, 32)
     found = (
-        rows.repartitionByRange("key", "text")
+        rows.repartitionByRange("key", front)
         .sortWithinPartitions("key", "text")
         .mapInArrow(write, "number int, name string, n_tokens bigint")
         .collect()
