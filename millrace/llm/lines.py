@@ -18,8 +18,8 @@ from millrace.workspace import broadcast_if_small, written
 THRESHOLD = 2
 # Shorter lines are only the same as lines that equal them.
 MIN_CHARS = 24
-# Indexed lines under one key that a task holds at once; more are split over several groups.
-TILE = 2_048
+# Lines under one key, indexed and probing, that meet in one group; more are split over a grid of groups.
+TILE = 512
 
 
 def segments(size: int, threshold: int) -> list[tuple[int, int]]:
@@ -239,12 +239,16 @@ def _links(active: DataFrame, threshold: int, tile: int) -> DataFrame:
         F.count(F.when(~F.col("probe"), 1)).alias("indexed"), F.count(F.when(F.col("probe"), 1)).alias("probes")
     )
     shared = written(sizes.where("indexed > 0 AND probes > 0 AND indexed + probes > 2"), "line-shared")
-    parts = F.ceil(F.col("indexed") / tile).cast("int")
+    # A frequent key is a grid of cells: each part of its indexed lines meets each part of its probes.
+    down, across = (F.ceil(F.col(c) / tile).cast("int") for c in ("indexed", "probes"))
+    mark = F.xxhash64("h", "g")
+    row = F.pmod(mark, down).cast("int") * across
+    place = F.pmod(mark, across).cast("int")
     met = rows.join(broadcast_if_small(shared), "key").select(
         "key",
         F.explode(
-            F.when(F.col("probe"), F.sequence(F.lit(0), parts - 1)).otherwise(
-                F.array(F.pmod(F.xxhash64("h", "g"), parts).cast("int"))
+            F.when(F.col("probe"), F.transform(F.sequence(F.lit(0), down - 1), lambda k: k * across + place)).otherwise(
+                F.transform(F.sequence(F.lit(0), across - 1), lambda k: row + k)
             )
         ).alias("part"),
         "segment",

@@ -219,7 +219,7 @@ def line_table():
     return [*table, (200, table[5][1]), (201, table[5][1]), (202, table[6][1]), (202, table[6][1])]
 
 
-@pytest.mark.parametrize("tile", [2048, 2])
+@pytest.mark.parametrize("tile", [512, 2])
 def test_line_dedup_equals_brute_force(docs, line_table, monkeypatch, tile):
     classes = lines.line_classes
     monkeypatch.setattr(lines, "line_classes", lambda d, t: classes(d, t, tile))
