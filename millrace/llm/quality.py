@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, column, map_batches
+from millrace.llm.common import chunks, column, hash_sample, map_batches
 
 WORDS = 1 << 14
 DIMENSIONS = 32
@@ -254,13 +254,12 @@ def fit(
     """
     spark = df.sparkSession
     vectors = word_vectors(df, text)
-    chosen = (
+    usable = (
         labels.select(column(key).alias("key"), column(label).cast("int").alias("label"))
         .where(~held_out("key") & F.col("key").isNotNull() & F.col("label").isin(0, 1))
         .distinct()
-        .orderBy(F.xxhash64("key"), "key", "label")
-        .limit(sample)
     )
+    chosen = hash_sample(usable, ["key", "label"], sample)
     # At most ``sample`` rows of two numbers.
     texts = df.select(column(key).alias("key"), column(text).alias("text")).join(F.broadcast(chosen), "key")
     shared = spark.sparkContext.broadcast(vectors)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import CUT, chunks, column, count_segments, file_system, put_together, write_file
+from millrace.llm.common import CUT, chunks, column, count_segments, file_system, hash_sample, put_together, write_file
 from millrace.workspace import new_dir
 
 MAGIC, END = b"MRIDS\x01\x00\x00", b"MRIDSEND"
@@ -217,7 +217,7 @@ def write_ids(
     folder = folder or new_dir(spark, "token-ids")
     rows = df.select(column(key).cast("bigint").alias("key"), F.coalesce(column(text), F.lit("")).alias("text"))
     # At most SAMPLE_DOCS keys, and then their texts.
-    keys = rows.where("key IS NOT NULL").select("key").orderBy(F.xxhash64("key"), "key").limit(SAMPLE_DOCS)
+    keys = hash_sample(rows.where("key IS NOT NULL").select("key"), ["key"], SAMPLE_DOCS)
     sample = (
         rows.join(F.broadcast(keys.distinct()), "key", "left_semi")
         .select("key", F.substring("text", 1, SAMPLE_CHARS).alias("text"))

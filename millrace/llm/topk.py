@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column
+from millrace.llm.common import column, hash_sample
 from millrace.workspace import written
 
 TOP, SCALE, EVERY = 5, 256, 50
@@ -117,7 +117,7 @@ def search(
     length = F.aggregate("v", F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x.cast("decimal(19,0)") * x).cast("decimal(38,0)"))
     most = vectors.agg(F.max(F.size("v")).alias("size"), F.max(length).alias("longest")).first()
     size, longest = most["size"] or 0, int(most["longest"] or 0)
-    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()["v"].combine_chunks()
+    sample = hash_sample(vectors, ["id"], SAMPLE).select("v").toArrow()["v"].combine_chunks()
     centres = choose_pivots(_lifted(_matrix(sample, size), longest), pivots)
     # Rounding of the distances, and of squares of them, stays far below this.
     slack = 1e-9 * (1 + float(longest))
