@@ -28,6 +28,14 @@ def columns_of(columns: str | Iterable[str]) -> list[str]:
     return names
 
 
+def free(df: DataFrame, base: str) -> str:
+    """``base``, extended until no column of ``df`` has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def matches(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     """Null-safe equality on every pair of (left, right) columns: NULL equals NULL."""
     return reduce(and_, [left[quoted(l)].eqNullSafe(right[quoted(r)]) for l, r in pairs])

@@ -14,13 +14,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import columns_of, matches, name
+from millrace.functions.columns import columns_of, free, matches, name
 from millrace.workspace import BROADCAST_ROWS, broadcast_if_small, fits_broadcast, written
 
 # A group with more rows is never gathered in one task.
 HOT_ROWS = 2_000_000
 # Bounds the sizes that are broadcast, one number per bucket.
 SIZE_BUCKETS = 65_536
+MOST_BUCKETS = 1 << 25
 
 
 def compare_to_group_avg(
@@ -44,7 +45,11 @@ def compare_to_group_avg(
     """
     keys = columns_of(group)
     average = avg_column or f"avg_{value}"
-    pairs = [(k, f"_group_{i}") for i, k in enumerate(keys)]
+    # The columns to be replaced go first, so that every way gives the same result.
+    if {average, label_column} & {*keys, value}:
+        raise ValueError("the average and the label need names of their own")
+    df = df.drop(average, label_column)
+    pairs = [(k, free(df, f"_group_{i}")) for i, k in enumerate(keys)]
 
     def averages(rows: DataFrame) -> DataFrame:
         groups = rows.groupBy(*[name(k).alias(r) for k, r in pairs])
@@ -61,7 +66,7 @@ def compare_to_group_avg(
     def with_own_averages(rows: DataFrame) -> DataFrame:
         return with_averages(rows, broadcast_if_small(averages(rows), broadcast_rows))
 
-    sizes = _bucket_sizes(df, keys)
+    sizes = _bucket_sizes(df, keys, hot_rows)
     few = averages(df) if sizes.groups <= broadcast_rows else None
     if few is not None and fits_broadcast(few, broadcast_rows):
         compared = with_averages(df, F.broadcast(few))
@@ -91,46 +96,55 @@ def nth_highest(
     if n < 1:
         raise ValueError("n counts from 1")
     keys = columns_of(group)
-    pairs = [(k, f"_group_{i}") for i, k in enumerate(keys)]
+    pairs = [(k, free(df, f"_group_{i}")) for i, k in enumerate(keys)]
     output = [name(c) for c in (columns or df.columns)]
 
     def ranked(rows: DataFrame) -> DataFrame:
-        return _ranked(rows, keys, value, n).select(*output)
+        return _ranked(rows, keys, value, n, free(rows, "_rank")).select(*output)
 
     def joined(rows: DataFrame) -> DataFrame:
-        wanted = broadcast_if_small(_nth_values(rows, pairs, value, n))
-        same_value = matches(rows, wanted, [*pairs, (value, "_value")])
+        own_value = free(rows, "_value")
+        nth = _nth_values(rows, pairs, value, n).withColumnRenamed("_value", own_value)
+        wanted = broadcast_if_small(nth)
+        same_value = matches(rows, wanted, [*pairs, (value, own_value)])
         return rows.join(wanted, same_value, "left_semi").select(*output)
 
-    return _hot_apart(df, pairs, _bucket_sizes(df, keys), hot_rows, ranked, joined)
+    return _hot_apart(df, pairs, _bucket_sizes(df, keys, hot_rows), hot_rows, ranked, joined)
 
 
 @dataclass(frozen=True)
 class _BucketSizes:
     """Hash buckets of group keys, each with at least the rows of any group in it."""
 
+    buckets: int
     per_bucket: DataFrame
     total: int
     largest: int
     groups: float
 
 
-def _bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*[name(k) for k in keys]), F.lit(SIZE_BUCKETS)).alias("_bucket")
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[name(k) for k in keys]), F.lit(buckets)).alias("_bucket")
 
 
-def _bucket_sizes(df: DataFrame, keys: Sequence[str]) -> _BucketSizes:
+def _bucket_sizes(
+    df: DataFrame, keys: Sequence[str], hot_rows: int, buckets: int = SIZE_BUCKETS
+) -> _BucketSizes:
     """One pass over the keys, which shuffles no more than the sizes of the buckets.
 
-    The number of groups is estimated from the buckets in use (linear counting).
+    The number of groups is estimated from the buckets in use (linear counting). If the average
+    bucket comes near ``hot_rows``, a second pass takes as many buckets as the rows call for.
     """
-    per_bucket = df.groupBy(_bucket(keys)).agg(F.count(F.lit(1)).alias("_rows"))
+    per_bucket = df.groupBy(_bucket(keys, buckets)).agg(F.count(F.lit(1)).alias("_rows"))
     used, total, largest = per_bucket.agg(
         F.count(F.lit(1)), F.sum("_rows"), F.max("_rows")
     ).first()
-    free = SIZE_BUCKETS - used
-    groups = SIZE_BUCKETS * math.log(SIZE_BUCKETS / free) if free else math.inf
-    return _BucketSizes(per_bucket, total or 0, largest or 0, groups)
+    wanted = min(MOST_BUCKETS, 8 * (total or 0) // max(1, hot_rows))
+    if buckets == SIZE_BUCKETS and wanted > buckets and hot_rows >= SIZE_BUCKETS:
+        return _bucket_sizes(df, keys, hot_rows, wanted)
+    free_buckets = buckets - used
+    groups = buckets * math.log(buckets / free_buckets) if free_buckets else math.inf
+    return _BucketSizes(buckets, per_bucket, total or 0, largest or 0, groups)
 
 
 def _hot_apart(
@@ -150,7 +164,7 @@ def _hot_apart(
         return moderate(df)
     crowded = sizes.per_bucket.filter(F.col("_rows") > hot_rows).select("_bucket")
     found = written(
-        df.select(*[name(k).alias(r) for k, r in pairs], _bucket([k for k, _ in pairs]))
+        df.select(*[name(k).alias(r) for k, r in pairs], _bucket([k for k, _ in pairs], sizes.buckets))
         .join(F.broadcast(crowded), "_bucket", "left_semi")
         .groupBy(*[r for _, r in pairs])
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -169,9 +183,11 @@ def _hot_apart(
     )
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+def _ranked(
+    df: DataFrame, keys: Sequence[str], value: str, n: int, rank: str = "_rank"
+) -> DataFrame:
     highest_first = Window.partitionBy(*[name(k) for k in keys]).orderBy(name(value).desc())
-    return df.withColumn("_rank", F.dense_rank().over(highest_first)).filter(F.col("_rank") == n)
+    return df.withColumn(rank, F.dense_rank().over(highest_first)).filter(F.col(rank) == n)
 
 
 def _nth_values(
@@ -187,9 +203,12 @@ def _nth_values(
     group = [r for _, r in pairs]
     bucket = F.pmod(F.xxhash64("_value"), F.lit(max(64, 8 * n))).alias("_bucket")
     maxima = values.groupBy(*group, bucket).agg(F.max("_value").alias("_top"))
-    highest = F.sort_array(F.collect_set("_top"), asc=False)
+    # A value is in one bucket only, so the maxima are distinct; a task keeps the highest n of a group.
+    highest_first = Window.partitionBy(*group).orderBy(F.col("_top").desc_nulls_last())
+    top = maxima.withColumn("_at", F.row_number().over(highest_first)).filter(F.col("_at") <= n)
     floors = written(
-        maxima.groupBy(*group).agg(F.try_element_at(highest, F.lit(n)).alias("_floor")), "floors"
+        top.groupBy(*group).agg(F.max(F.when(F.col("_at") == n, F.col("_top"))).alias("_floor")),
+        "floors",
     ).withColumnsRenamed({r: f"{r}_of_floor" for r in group})
     floors = broadcast_if_small(floors)
     candidates = (

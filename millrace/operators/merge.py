@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import columns_of, equal, matches, name, quoted
+from millrace.functions.columns import columns_of, equal, free, matches, name, quoted
 from millrace.operators.changes import DELETE
 
 
@@ -67,7 +67,8 @@ def merge(
     Keys match null-safely. ``source`` holds one row per key (see ``latest_per_key``) and all of
     the target's columns, which are cast to the target's types; its other columns are ignored.
     With ``delete``, source rows whose ``_change_type`` is ``delete`` remove their key and are
-    never added.
+    never added. A source that repeats a key is an error, found by counting its keys when this is
+    called.
 
     Target rows sharing a key are each replaced. Where the target is known to have one row per
     key, ``unique_target`` saves the second look at it: the result is then the untouched target
@@ -79,10 +80,14 @@ def merge(
     key_names = columns_of(keys)
     gone = F.col("_change_type").eqNullSafe(DELETE) if delete else F.lit(False)
     fields = target.schema.fields
+    gone_name, new_name = free(target, "_gone"), free(target, "_new")
     changes = source.select(
-        *[name(f.name).cast(f.dataType).alias(f.name) for f in fields], gone.alias("_gone")
+        *[name(f.name).cast(f.dataType).alias(f.name) for f in fields], gone.alias(gone_name)
     )
-    arriving = changes.filter(~F.col("_gone")).drop("_gone")
+    repeated = changes.groupBy(*[name(k) for k in key_names]).agg(F.count(F.lit(1)).alias("_n"))
+    if not repeated.filter("_n > 1").isEmpty():
+        raise ValueError(f"the source repeats a key {key_names}")
+    arriving = changes.filter(~F.col(gone_name)).drop(gone_name)
     if unique_target:
         return replace_keys(target, changes, arriving, key_names)
 
@@ -91,14 +96,14 @@ def merge(
 
     lookup = changes.select(
         *[name(k).alias(r) for k, r in pairs],
-        F.struct(*[name(f.name) for f in fields]).alias("_new"),
-        "_gone",
+        F.struct(*[name(f.name) for f in fields]).alias(new_name),
+        gone_name,
     )
     old = F.struct(*[target[quoted(f.name)] for f in fields])
     kept = (
         target.join(lookup, matches(target, lookup, pairs), "left")
-        .filter(~F.coalesce("_gone", F.lit(False)))
-        .select(F.coalesce("_new", old).alias("_row"))
+        .filter(~F.coalesce(gone_name, F.lit(False)))
+        .select(F.coalesce(new_name, old).alias("_row"))
         .select("_row.*")
     )
     found_keys = (

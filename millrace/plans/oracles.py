@@ -29,16 +29,21 @@ QUALIFY dense_rank() OVER (PARTITION BY {group} ORDER BY {value} DESC NULLS LAST
 
 
 def _null_counts(prefix: str) -> str:
-    columns = ("event_id", "event_type", "value", "props")
+    columns = ("event_id", "user_id", "ts", "event_type", "value", "props")
     counts = ", ".join(f"count(*) - count({c}) AS {prefix}{c}" for c in columns)
     return f"""
 SELECT {counts} FROM (
-    SELECT event_id, nullif(event_type, 'error') AS event_type,
+    SELECT event_id, user_id, CASE WHEN event_type <> 'click' THEN ts END AS ts,
+           nullif(event_type, 'error') AS event_type,
            CASE WHEN event_type <> 'view' THEN value END AS value,
            CASE WHEN event_type <> 'error' THEN props END AS props
     FROM events)"""
 
 
+LINES_WITH_NULLS = """(
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'N' THEN l_suppkey END AS l_suppkey,
+           CASE WHEN l_linenumber <> 1 THEN l_quantity END AS l_quantity FROM lineitem)"""
+
 MERGED_STATUS = """CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01' THEN 'U' ELSE o_orderstatus END"""
 
 MERGED = f"SELECT o_orderkey, {MERGED_STATUS} AS o_orderstatus, o_totalprice, o_orderdate FROM orders"
@@ -68,6 +73,9 @@ SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal BETWEEN 1000 AND 2000"
         "l_extendedprice",
         3,
     ),
+    "group_avg_window": _group_avg(LINES_WITH_NULLS, "*", "l_suppkey", "l_quantity"),
+    "group_avg_hot": _group_avg(LINES_WITH_NULLS, "*", "l_suppkey", "l_quantity"),
+    "nth_highest_hot": _nth_highest(LINES_WITH_NULLS, "*", "l_suppkey", "l_quantity", 3),
     "null_counts": _null_counts("null_cnt_"),
     "null_counts_cast": _null_counts("cnt_"),
     "token_count": f"SELECT count(*) AS n FROM ({TOKENS})",
@@ -100,14 +108,38 @@ SELECT l_orderkey AS o_orderkey,
 FROM lineitem LEFT JOIN changes ON l_orderkey = o_orderkey
 UNION ALL
 SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM changes
-WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+UNION ALL
+SELECT CASE WHEN o_orderstatus <> 'P' THEN -o_orderkey - 1 END, o_orderstatus, o_totalprice, o_orderdate
+FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'""",
+    "merge_null_keys": """
+WITH source AS (SELECT * FROM orders WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders))
+SELECT CASE WHEN o.o_orderstatus <> 'F' THEN o.o_orderkey END AS o_orderkey,
+       CASE WHEN o.o_orderstatus <> 'F' THEN o.o_orderstatus ELSE 'N' END AS o_orderstatus,
+       CASE WHEN o.o_orderstatus <> 'F' THEN o.o_totalprice ELSE s.o_totalprice END AS o_totalprice,
+       CASE WHEN o.o_orderstatus <> 'F' THEN o.o_orderdate ELSE s.o_orderdate END AS o_orderdate
+FROM orders o, source s""",
     "ingest_files": """
 SELECT event_type AS topic, event_id AS "offset", CAST(json_extract(props, '$.k') AS BIGINT) AS k
 FROM events WHERE event_type = 'click'""",
     "ingest_csv_files": """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_totalprice FROM orders""",
     "ingest_after_reset": """
-SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders""",
+SELECT o_orderkey, 'second' AS o_orderstatus, o_totalprice, o_orderdate FROM orders""",
+    "ingest_late_files": """
+SELECT o_orderkey, o_orderstatus,
+       CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01' THEN o_orderpriority END AS o_orderpriority
+FROM orders""",
+    "ingest_csv_evolving": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority
+FROM orders""",
+    "ingest_and_batch": """
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, first
+FROM orders, (VALUES ('batch'), ('stream')) AS arrivals(first)""",
+    "ingest_nested": """
+SELECT l_orderkey AS order_id, l_partkey AS book_id, l_quantity AS quantity, l_extendedprice AS subtotal
+FROM lineitem""",
     "stream_upsert": """
 SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY

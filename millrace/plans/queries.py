@@ -132,10 +132,43 @@ def nth_highest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.nth_highest(lines, "l_returnflag", "l_extendedprice", 3)
 
 
+def lines_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by a group that is NULL for a third of them, and with NULL values."""
+    returned = F.col("l_returnflag") == "N"
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(~returned, F.col("l_suppkey")).alias("l_suppkey"),
+        F.when(F.col("l_linenumber") != 1, F.col("l_quantity")).alias("l_quantity"),
+    )
+
+
+def group_avg_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way of many moderate groups."""
+    lines = lines_with_nulls(spark, sf_dir)
+    return op.compare_to_group_avg(lines, "l_suppkey", "l_quantity", "avg_v", broadcast_rows=0)
+
+
+def group_avg_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way of many groups, of which the NULL group is taken for too large for one task."""
+    lines = lines_with_nulls(spark, sf_dir)
+    return op.compare_to_group_avg(
+        lines, "l_suppkey", "l_quantity", "avg_v", broadcast_rows=0, hot_rows=lines.count() // 10
+    )
+
+
+def nth_highest_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way of groups too large for one task, by a floor under the value in question."""
+    lines = lines_with_nulls(spark, sf_dir)
+    return op.nth_highest(lines, "l_suppkey", "l_quantity", 3, hot_rows=lines.count() // 10)
+
+
 def events_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = F.col("event_type") == "error"
     return table(spark, sf_dir, "events").select(
         "event_id",
+        "user_id",
+        F.when(F.col("event_type") != "click", F.col("ts")).alias("ts"),
         F.when(~failed, F.col("event_type")).alias("event_type"),
         F.when(F.col("event_type") != "view", F.col("value")).alias("value"),
         F.when(~failed, F.col("props")).alias("props"),
@@ -189,7 +222,7 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     target = orders.filter(LOADED_BEFORE).select(ORDER_COLUMNS)
     source = orders.filter(CHANGED_SINCE).withColumn("o_orderstatus", F.lit("U"))
-    return op.merge(target, source, "o_orderkey")
+    return op.merge(target, source, "o_orderkey", unique_target=True)
 
 
 def merge_upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,8 +244,25 @@ def merge_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("o_totalprice"),
         F.col("l_shipdate").alias("o_orderdate"),
     )
-    orders = table(spark, sf_dir, "orders").filter(CHANGED_SINCE)
-    return op.merge(lines, orders, "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(ORDER_COLUMNS)
+    changed = orders.filter(CHANGED_SINCE)
+    # Earlier orders are in the target under keys of their own, some of them NULL.
+    own_key = F.when(F.col("o_orderstatus") != "P", -F.col("o_orderkey") - 1)
+    earlier = orders.filter(LOADED_BEFORE).withColumn("o_orderkey", own_key)
+    return op.merge(lines.unionByName(earlier), changed, "o_orderkey")
+
+
+def merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and source with a NULL key; the source's row replaces all of the target's."""
+    orders = table(spark, sf_dir, "orders").select(ORDER_COLUMNS)
+    key = F.col("o_orderkey")
+    target = orders.withColumn("o_orderkey", F.when(F.col("o_orderstatus") != "F", key))
+    least = orders.agg(F.min("o_orderkey").alias("least"))
+    source = orders.join(F.broadcast(least), key == F.col("least")).select(
+        F.lit(None).cast("bigint").alias("o_orderkey"),
+        F.lit("N").alias("o_orderstatus"), "o_totalprice", "o_orderdate",
+    )
+    return op.merge(target, source, "o_orderkey")
 
 
 # --- streams ----------------------------------------------------------------------------------
@@ -254,13 +304,17 @@ def ingested_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingested_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parquet files loaded, forgotten with their table, progress and schema, and loaded again."""
+    """Parquet files loaded, forgotten with their table, progress and schema, and loaded again.
+
+    In between the files of the first run are replaced by others.
+    """
     folder, database = new_dir(spark, "arriving"), new_database(spark)
-    table(spark, sf_dir, "orders").select(ORDER_COLUMNS).write.parquet(folder)
+    orders = table(spark, sf_dir, "orders").select(ORDER_COLUMNS)
     state = new_dir(spark, "state")
     roots = (f"{state}/checkpoints", f"{state}/schemas")
     name = qualified(database, "orders")
-    for _ in range(2):
+    for status in ("first", "second"):
+        orders.withColumn("o_orderstatus", F.lit(status)).write.mode("overwrite").parquet(folder)
         reset(spark, name, TargetPaths.under(*roots, database, "orders"))
         ingest_files(
             spark, folder, FormatSpec("parquet"), database, "orders", *roots, hints={},
@@ -269,6 +323,96 @@ def ingested_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def set_age(spark: SparkSession, folder: str, days: int) -> None:
+    """Date all files of a folder back."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in files.listStatus(location):
+        files.setTimes(entry.getPath(), entry.getModificationTime() - days * 86_400_000, -1)
+
+
+def ingested_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive second, are a month older, and bring a new column."""
+    folder, database = new_dir(spark, "arriving"), new_database(spark)
+    orders, state = table(spark, sf_dir, "orders"), new_dir(spark, "state")
+    arrivals = [
+        (orders.filter(LOADED_BEFORE).select("o_orderkey", "o_orderstatus"), 0),
+        (orders.filter(CHANGED_SINCE).select("o_orderkey", "o_orderstatus", "o_orderpriority"), 30),
+    ]
+    for number, (rows, days) in enumerate(arrivals):
+        rows.write.parquet(f"{folder}/{number}")
+        set_age(spark, f"{folder}/{number}", days)
+        ingest_files(
+            spark, folder, FormatSpec("parquet"), database, "orders", f"{state}/checkpoints",
+            f"{state}/schemas", hints={},
+        )
+    return spark.table(qualified(database, "orders"))
+
+
+def ingested_csv_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files whose headers have moved, inserted and appended columns, with the usual hints."""
+    folder, database = new_dir(spark, "arriving"), new_database(spark)
+    orders, state = table(spark, sf_dir, "orders"), new_dir(spark, "state")
+    arrivals = [
+        ("F", ["o_orderkey", "o_orderstatus", "o_custkey"]),
+        ("O", ["o_orderstatus", "o_custkey", "o_orderkey"]),
+        ("P", ["o_orderkey", "o_orderpriority", "o_orderstatus", "o_custkey"]),
+    ]
+    for status, columns in arrivals:
+        rows = orders.filter(F.col("o_orderstatus") == status).select(columns)
+        rows.write.option("header", True).csv(f"{folder}/{status}")
+        ingest_files(
+            spark, folder, FormatSpec("csv", {"header": True}), database, "orders",
+            f"{state}/checkpoints", f"{state}/schemas",
+        )
+    return spark.table(qualified(database, "orders"))
+
+
+def ingested_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables, each with half of the orders from a stream and half from a batch load."""
+    database, state = new_database(spark), new_dir(spark, "state")
+    orders = table(spark, sf_dir, "orders").select(ORDER_COLUMNS)
+    folder = new_dir(spark, "arriving")
+    orders.filter(CHANGED_SINCE).write.parquet(folder)
+    found = []
+    for first in ("batch", "stream"):
+        name = qualified(database, f"{first}_first")
+        steps = {
+            "batch": lambda name=name: write_table(orders.filter(LOADED_BEFORE), name),
+            "stream": lambda first=first: ingest_files(
+                spark, folder, FormatSpec("parquet"), database, f"{first}_first",
+                f"{state}/checkpoints", f"{state}/schemas", hints={},
+            ),
+        }
+        steps.pop(first)()
+        next(iter(steps.values()))()
+        found.append(spark.table(name).withColumn("first", F.lit(first)))
+    return found[0].unionByName(found[1])
+
+
+def ingested_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as messages with an array of their lines, loaded, decoded and taken apart again."""
+    folder, database = new_dir(spark, "envelopes"), new_database(spark)
+    state = new_dir(spark, "state")
+    line = F.struct(
+        F.col("l_partkey").alias("book_id"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("subtotal"),
+    )
+    messages = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("books"))
+    payload = F.to_json(F.struct(F.col("l_orderkey").alias("order_id"), "books"))
+    messages.select(F.lit("orders").alias("topic"), F.base64(payload.cast("binary")).alias("value")).write.json(
+        f"{folder}/dump"
+    )
+    ingest_files(
+        spark, folder, FormatSpec("json"), database, "orders", f"{state}/checkpoints", f"{state}/schemas",
+        message_schema="order_id bigint, books array<struct<book_id: bigint, quantity: double, subtotal: double>>",
+    )
+    loaded = spark.table(qualified(database, "orders"))
+    books = loaded.select("message.order_id", F.explode("message.books").alias("book"))
+    return books.select("order_id", "book.book_id", "book.quantity", "book.subtotal")
+
+
 def stream_events(spark: SparkSession, sf_dir: str, order_guard: bool) -> DataFrame:
     events = table(spark, sf_dir, "events")
     arriving = qualified(new_database(spark), "events")
@@ -373,6 +517,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_to_group_avg_lines": compare_to_group_avg_lines,
     "nth_highest": nth_highest,
     "nth_highest_lines": nth_highest_lines,
+    "group_avg_window": group_avg_window,
+    "group_avg_hot": group_avg_hot,
+    "nth_highest_hot": nth_highest_hot,
     "null_counts": null_counts,
     "null_counts_cast": null_counts_cast,
     "token_count": document_token_count,
@@ -383,9 +530,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_upsert": merge_upsert,
     "merge_upsert_delete": merge_upsert_delete,
     "merge_repeated_keys": merge_repeated_keys,
+    "merge_null_keys": merge_null_keys,
     "ingest_files": ingested_files,
     "ingest_csv_files": ingested_csv_files,
     "ingest_after_reset": ingested_after_reset,
+    "ingest_late_files": ingested_late_files,
+    "ingest_csv_evolving": ingested_csv_evolving,
+    "ingest_and_batch": ingested_and_batch,
+    "ingest_nested": ingested_nested,
     "stream_upsert": stream_upsert,
     "stream_upsert_guarded": stream_upsert_guarded,
     "stream_upsert_delete": stream_upsert_delete,

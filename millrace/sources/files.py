@@ -26,13 +26,14 @@ def scan_csv(
 ) -> DataFrame:
     """Rows of CSV files, which stay splittable.
 
-    With ``schema`` the columns are typed by position and a field that does not parse is NULL.
+    With ``schema`` the columns are typed by position and a field that does not parse is NULL; a
+    header that names other columns, or these in another order, is an error.
     Without it every column is a string named by the header; nothing is inferred, so the data
     is read once. An empty field is NULL.
     """
     reader = spark.read.format("csv").options(header=header, sep=sep)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", not header)
     return reader.load(path_list(paths))
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Iterable, Mapping
-from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.columns import name
+from millrace.sources.files import PathLike, path_list
 from millrace.sources.formats import FormatSpec
 
 # Type names of a column list. The decimal has no parameters.
@@ -28,7 +31,7 @@ TYPE_NAMES: dict[str, T.DataType] = {
     "binary": T.BinaryType(),
 }
 
-# The payload column of a message envelope: binary, so that base64 text in JSON is decoded.
+# Fixed value. The payload column of a message envelope: binary, so that base64 text in JSON is decoded.
 ENVELOPE_HINTS: dict[str, str] = {"value": "binary"}
 
 
@@ -45,7 +48,7 @@ def struct_from_columns(columns: Iterable[tuple[str, str]]) -> T.StructType:
 
 def pin_schema(
     spark: SparkSession,
-    path: str,
+    path: PathLike,
     spec: FormatSpec,
     location: str,
     hints: Mapping[str, str] = ENVELOPE_HINTS,
@@ -54,25 +57,33 @@ def pin_schema(
 ) -> T.StructType:
     """The schema of the files under ``path``, kept at ``location``.
 
-    The first call looks at all matching files, so no column is missed. Later calls look only at
-    files modified since, and add their new columns; a column never changes its type. Without
-    ``evolve`` they look at none.
+    All matching files are looked at, so no column is missed. Columns that are not pinned yet are
+    added, and so are new fields of structs at any depth; a value's type never changes. Without
+    ``evolve`` a pinned schema is returned as it is and no file is looked at.
 
     Columns of formats without types are strings, as no value can fail to parse later;
     ``infer_types`` makes Spark choose types instead. ``hints`` sets the types (as DDL) of single
-    columns, adding those not found.
+    columns. For JSON, where a file need not show all its columns, those not found are added.
     """
-    pinned, inspected = _stored(spark, location)
+    pinned = stored_schema(spark, location)
     if pinned is not None and not evolve:
         return pinned
-    newest = _newest(spark, path, spec)
-    if pinned is not None and (newest is None or newest < inspected):
-        return pinned
+    schema = extended_schema(spark, path, spec, pinned, hints, infer_types)
+    if schema != pinned:
+        store_schema(spark, schema, location)
+    return schema
 
+
+def extended_schema(
+    spark: SparkSession,
+    path: PathLike,
+    spec: FormatSpec,
+    pinned: T.StructType | None,
+    hints: Mapping[str, str] = ENVELOPE_HINTS,
+    infer_types: bool = False,
+) -> T.StructType:
+    """``pinned`` with what the files under ``path`` add; see ``pin_schema``."""
     reader = spark.read.format(spec.fmt).options(**spec.reader_options())
-    if pinned is not None:
-        # The option counts whole seconds, so the files of the last second are looked at again.
-        reader = reader.option("modifiedAfter", _utc(inspected - 1)).option("timeZone", "UTC")
     match spec.fmt:
         case "json":
             reader = reader.option("primitivesAsString", not infer_types)
@@ -80,43 +91,102 @@ def pin_schema(
             reader = reader.option("inferSchema", infer_types)
         case "parquet":
             reader = reader.option("mergeSchema", True)
-    columns = {f.name: f.dataType for f in reader.load(path).schema}
-    if pinned is None:
-        columns.update({c: T.DataType.fromDDL(ddl) for c, ddl in hints.items()})
-    else:
-        columns = {f.name: f.dataType for f in pinned} | {
-            c: t for c, t in columns.items() if c not in pinned.names
-        }
-    schema = T.StructType([T.StructField(c, t, True) for c, t in columns.items()])
-    state = json.dumps({"schema": schema.jsonValue(), "inspected": newest})
-    spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(
-        location
+    found = T.StructType()
+    for files in files_by_header(spark, path, spec).values():
+        found = merged_type(found, reader.load(files).schema)
+    hinted = {c: T.DataType.fromDDL(ddl) for c, ddl in hints.items()}
+    columns = {f.name: hinted.get(f.name, f.dataType) for f in found}
+    if spec.fmt == "json":
+        columns |= hinted
+    found = T.StructType([T.StructField(c, t, True) for c, t in columns.items()])
+    return found if pinned is None else merged_type(pinned, found)
+
+
+def merged_type(old: T.DataType, new: T.DataType) -> T.DataType:
+    """``old`` with the fields that only ``new`` has, inside structs, arrays and maps too."""
+    match old, new:
+        case T.StructType(), T.StructType():
+            found = {f.name: f for f in new}
+            kept = [
+                T.StructField(f.name, merged_type(f.dataType, found[f.name].dataType), True)
+                if f.name in found
+                else f
+                for f in old
+            ]
+            added = [T.StructField(f.name, f.dataType, True) for f in new if f.name not in old.names]
+            return T.StructType([*kept, *added])
+        case T.ArrayType(), T.ArrayType():
+            return T.ArrayType(merged_type(old.elementType, new.elementType), True)
+        case T.MapType(), T.MapType():
+            return T.MapType(old.keyType, merged_type(old.valueType, new.valueType), True)
+    return old
+
+
+def files_by_header(
+    spark: SparkSession, path: PathLike, spec: FormatSpec
+) -> dict[tuple[str, ...] | None, list[str]]:
+    """The files to read together: those of a CSV header, or for other formats all, under None.
+
+    Spark takes the header of a CSV read from one of its files only. Headers come from the
+    beginning of each file, so a column name must not hold a line end.
+    """
+    if spec.fmt != "csv" or not spec.options["header"]:
+        return {None: path_list(path)}
+    options = {k: v for k, v in spec.reader_options().items() if k in ("pathGlobFilter", "recursiveFileLookup")}
+    lines = spark.read.options(**options).text(path_list(path))
+    first = (
+        lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+        .where("file_block_start = 0 AND trim(value) <> ''")
+        .withColumn("at", F.monotonically_increasing_id())
+        .groupBy("file_path")
+        .agg(F.min_by("value", "at").alias("header"))
+        .groupBy("header")
+        .agg(F.collect_list("file_path").alias("files"))
+        .collect()
     )
-    return schema
+    groups: dict[tuple[str, ...] | None, list[str]] = {}
+    for row in sorted(first, key=lambda r: min(r.files)):
+        header = tuple(next(csv.reader([row.header], delimiter=spec.options["sep"])))
+        if len({c.lower() for c in header}) < len(header):
+            raise ValueError(f"the header {header} of {min(row.files)} repeats a column")
+        groups.setdefault(header, []).extend(sorted(row.files))
+    return groups
 
 
-def _stored(spark: SparkSession, location: str) -> tuple[T.StructType | None, int]:
-    """The pinned schema and the modification time (epoch second) up to which files were seen."""
+def read_files(spark: SparkSession, path: PathLike, spec: FormatSpec, schema: T.StructType) -> DataFrame:
+    """The files' rows with the columns of ``schema``; CSV files with a header are read by name."""
+    reader = spark.read.format(spec.fmt).options(**spec.reader_options())
+    parts = []
+    for header, files in files_by_header(spark, path, spec).items():
+        if header is None:
+            parts.append(reader.schema(schema).load(files))
+            continue
+        own = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in header])
+        rows = reader.schema(own).load(files)
+        parts.append(
+            rows.select(
+                *[
+                    name(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+                    for f in schema
+                ]
+            )
+        )
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionAll, parts)
+
+
+def store_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
+    state = json.dumps({"schema": schema.jsonValue()})
+    spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(location)
+
+
+def stored_schema(spark: SparkSession, location: str) -> T.StructType | None:
+    """The schema kept at ``location``, if there is one."""
     try:
         stored = spark.read.text(location, wholetext=True).first()
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         stored = None
-    if stored is None:
-        return None, 0
-    state = json.loads(stored.value)
-    return T.StructType.fromJson(state["schema"]), state["inspected"]
-
-
-def _newest(spark: SparkSession, path: str, spec: FormatSpec) -> int | None:
-    """Latest modification time of the matching files, found without reading them."""
-    files = spark.read.format("binaryFile").options(
-        pathGlobFilter=f"*.{spec.fmt}", recursiveFileLookup="true"
-    )
-    newest = files.load(path).agg(F.max(F.unix_seconds("modificationTime")))
-    return newest.first()[0]
-
-
-def _utc(seconds: int) -> str:
-    return datetime.fromtimestamp(seconds, UTC).strftime("%Y-%m-%dT%H:%M:%S")
+    return None if stored is None else T.StructType.fromJson(json.loads(stored.value)["schema"])

@@ -9,6 +9,11 @@ from millrace.operators.changes import CHANGE_COLUMNS
 from millrace.sources.formats import FormatSpec
 
 
+# Spark forgets files that are older than the newest by this much, and would never load them.
+# Long enough for any file, so the driver remembers all names.
+KEEP_ALL = "36500d"
+
+
 def stream_files(
     spark: SparkSession,
     path: str,
@@ -19,13 +24,34 @@ def stream_files(
 ) -> DataFrame:
     """New files ``*.<format>`` anywhere under ``path``; the checkpoint remembers those seen.
 
+    Files count as new by name, however old they are. The driver keeps the names of all files of
+    the folder, so a lasting one should be emptied now and then (``cleanSource`` of the reader).
     The two limits (at most one of them) bound a micro-batch, for a first run over a large
     backlog.
     """
     reader = spark.readStream.format(spec.fmt).schema(schema).options(**spec.reader_options())
+    reader = reader.option("maxFileAge", KEEP_ALL)
     return _limited(reader, max_files_per_trigger, max_bytes_per_trigger).load(path)
 
 
+def stream_file_names(
+    spark: SparkSession,
+    path: str,
+    spec: FormatSpec,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: str | None = None,
+) -> DataFrame:
+    """Names (``path``) of the new files that ``stream_files`` would read, without their content."""
+    found = spec.reader_options()
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length bigint, content binary"
+    )
+    reader = reader.options(
+        pathGlobFilter=found["pathGlobFilter"], recursiveFileLookup="true", maxFileAge=KEEP_ALL
+    )
+    return _limited(reader, max_files_per_trigger, max_bytes_per_trigger).load(path).select("path")
+
+
 def stream_table(
     spark: SparkSession,
     table: str,

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from millrace import storage
 from millrace.functions.messages import decode_message
-from millrace.plans.load import add_missing_columns, qualified
+from millrace.plans.load import add_missing_columns, ensure_table, qualified
 from millrace.sources.formats import FormatSpec
-from millrace.sources.schemas import ENVELOPE_HINTS, pin_schema
-from millrace.sources.streams import stream_files
-from millrace.streaming.jobs import TargetPaths
+from millrace.sources.schemas import (
+    ENVELOPE_HINTS,
+    extended_schema,
+    read_files,
+    store_schema,
+    stored_schema,
+)
+from millrace.sources.streams import stream_file_names
+from millrace.streaming.jobs import TargetPaths, stream_id
 
 
 def ingest_files(
@@ -42,27 +49,51 @@ def ingest_files(
     condition that may use ``message``, keeps the rows for which it is true. A failing cast in
     it fails the job, so write ``try_cast`` for data that is not trusted.
 
-    Without ``schema`` the files' schema is pinned on first use and takes up new columns in later
-    runs if ``evolve`` (see ``pin_schema``); the table gets them too. A known schema saves
-    looking at the files twice. The query handle is returned, after the input is used up unless
-    ``wait`` is false.
+    Without ``schema`` it is found for exactly the files of each micro-batch and pinned; with
+    ``evolve`` later files may add columns (see ``pin_schema``), and the table gets them too. A
+    change that the table cannot take, such as new fields in a struct, fails the job before
+    anything of that batch is written. A known schema saves looking at the files twice. CSV files
+    with a header are read by column name.
+
+    A batch is written to a folder of its own inside the table's, once: running it again after a
+    failure writes nothing more. Batch loads may append to the same table. The query handle is
+    returned, after the input is used up unless ``wait`` is false.
     """
     paths = TargetPaths.under(checkpoint_root, schema_root, database, table)
-    if schema is None:
-        schema = pin_schema(spark, path, spec, paths.schema, hints, infer_types, evolve)
-    rows = stream_files(spark, path, spec, schema, max_files_per_trigger, max_bytes_per_trigger)
-    if message_schema is not None:
-        rows = decode_message(rows, message_schema)
-    if filter_expr is not None:
-        rows = rows.filter(F.expr(filter_expr))
     full_name = qualified(database, table, catalog)
-    add_missing_columns(spark, full_name, rows.schema)
+
+    def load(names: DataFrame, batch_id: int) -> None:
+        session = names.sparkSession
+        files = [r.path for r in names.collect()]
+        columns = schema
+        if columns is None:
+            pinned = stored_schema(session, paths.schema)
+            if pinned is None or evolve:
+                columns = extended_schema(session, files, spec, pinned, hints, infer_types)
+            else:
+                columns = pinned
+        rows = read_files(session, files, spec, columns)
+        if message_schema is not None:
+            rows = decode_message(rows, message_schema)
+        if filter_expr is not None:
+            rows = rows.filter(F.expr(filter_expr))
+        add_missing_columns(session, full_name, rows.schema)
+        location = ensure_table(session, full_name, rows.schema)
+        if schema is None and columns != pinned:
+            store_schema(session, columns, paths.schema)
+        folder = f"{location.rstrip('/')}/ingested-{stream_id(session, paths.checkpoint)}-{batch_id}"
+        if not storage.exists(session, f"{folder}/_SUCCESS"):
+            rows.write.mode("overwrite").parquet(folder)
+        # The stream runs in a session of its own; the caller's must see the new files too.
+        spark.catalog.refreshTable(full_name)
+
+    names = stream_file_names(spark, path, spec, max_files_per_trigger, max_bytes_per_trigger)
     query = (
-        rows.writeStream.format("parquet")
+        names.writeStream.foreachBatch(load)
         .outputMode("append")
         .option("checkpointLocation", paths.checkpoint)
         .trigger(availableNow=True)
-        .toTable(full_name)
+        .start()
     )
     if wait:
         query.awaitTermination()

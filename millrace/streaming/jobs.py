@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -36,6 +37,11 @@ class TargetPaths:
         storage.delete(spark, self.schema)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint, the same in every run."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first().value)["id"]
+
+
 def reset(spark: SparkSession, table: str, paths: TargetPaths) -> None:
     """Drop the table and forget its progress and schema, so that a rerun starts from nothing."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")

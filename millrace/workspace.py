@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import storage
+
 # A side is broadcast only after both of these limits were measured to hold.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -16,23 +20,46 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where the driver's
-    disk is the executors' disk, may fall back to a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. A session without it uses its checkpoint
+    folder or, if it is local and has none, a folder beside its warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
-    return context.getCheckpointDir()
+    if context.getCheckpointDir() is not None:
+        return context.getCheckpointDir()
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-shared"
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate data of everything called inside, at the end.
+
+    Results that read it must be written or collected inside. Without a scope it stays.
+    """
+    made: list[str] = []
+    outer = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(outer)
+        for path in made:
+            storage.delete(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

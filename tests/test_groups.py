@@ -154,3 +154,26 @@ def test_floor_prunes_only_lower_values(spark):
     for n in (1, 5, 40):
         hot = nth_highest(df, "g", "v", n, hot_rows=10)
         assert rows(hot) == [("0", 5000 - 2 * n), ("1", 5001 - 2 * n)]
+
+
+CLASHING = "id int, g string, v int, avg_v string, _group_0 int, _bucket int, _rank int, _value int, _rows int"
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_columns_named_like_the_operators_own_average(spark, way):
+    df = spark.createDataFrame([(n, "ab"[n % 2], n, "mine", 1, 2, 3, 4, 5) for n in range(8)], CLASHING)
+    compared = compare_to_group_avg(df, "g", "v", **way)
+    assert compared.columns == [c for c in df.columns if c != "avg_v"] + ["avg_v", "comparision"]
+    assert rows(compared, "id", "avg_v") == [(n, 3.0 + n % 2) for n in range(8)]
+    assert rows(compared.select("_group_0", "_bucket", "_rank", "_value", "_rows").distinct()) == [(1, 2, 3, 4, 5)]
+    again = compare_to_group_avg(compared, "g", "v", **way)
+    assert rows(again, "id", "avg_v", "comparision") == rows(compared, "id", "avg_v", "comparision")
+
+
+@pytest.mark.parametrize("hot_rows", [100, 2, 0])
+@pytest.mark.parametrize("n", [1, 2, 70])
+def test_columns_named_like_the_operators_own_nth(spark, hot_rows, n):
+    df = spark.createDataFrame([(k, "ab"[k % 2], k // 4, "mine", 1, 2, 3, 4, 5) for k in range(300)], CLASHING)
+    found = nth_highest(df, "g", "v", n, hot_rows=hot_rows)
+    assert found.columns == df.columns
+    assert rows(found) == rows(df.filter(F.col("v") == 75 - n))

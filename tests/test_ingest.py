@@ -1,12 +1,13 @@
 import base64
 import json
+import os
 
 import pytest
 from conftest import rows
 from pyspark.errors import StreamingQueryException
 
 from millrace import storage
-from millrace.plans import qualified
+from millrace.plans import qualified, write_table
 from millrace.sources import FormatSpec
 from millrace.streaming import TargetPaths, ingest_files, reset, stop
 
@@ -42,6 +43,7 @@ class Job:
         path = self.folder / "in" / name
         path.parent.mkdir(exist_ok=True)
         path.write_text("".join(lines))
+        return path
 
     def run(self, **options):
         return ingest_files(
@@ -154,7 +156,7 @@ def test_csv_and_parquet_files(spark, database, tmp_path):
 
 
 def test_csv_envelope(spark, database, tmp_path):
-    """The default hint gives the column ``value`` in every format, as NULL where files lack it."""
+    """The default hint types a column ``value`` that is there, and invents none in CSV."""
     csv = Job(spark, database, tmp_path, FormatSpec("csv", {"header": True}))
     csv.put("a.csv", "topic,value\norders,plain\n")
     csv.run()
@@ -162,7 +164,74 @@ def test_csv_envelope(spark, database, tmp_path):
     reset(spark, csv.table, csv.paths)
     csv.put("a.csv", "topic\norders\n")
     csv.run()
-    assert rows(spark.table(csv.table)) == [("orders", None)]
+    assert rows(spark.table(csv.table)) == [("orders",)]
+
+
+def test_old_file_with_a_new_column_is_loaded(spark, database, tmp_path):
+    job = Job(spark, database, tmp_path, FormatSpec("json"))
+    job.put("a.json", '{"a": "1"}\n')
+    job.run(hints={})
+    old = job.put("b.json", '{"a": "2", "b": "x"}\n')
+    month_ago = old.stat().st_mtime - 30 * 86400
+    os.utime(old, (month_ago, month_ago))
+    job.put("c.json", '{"a": "3"}\n')
+    job.run(hints={})
+    assert rows(spark.table(job.table), "a", "b") == [("1", None), ("2", "x"), ("3", None)]
+
+
+def test_csv_columns_move_and_appear(spark, database, tmp_path):
+    job = Job(spark, database, tmp_path, FormatSpec("csv", {"header": True}))
+    for number, text in enumerate(["a,b,c\n1,2,3\n", "b,a,c\n20,10,30\n", "a,d,b,c\n100,400,200,300\n"]):
+        job.put(f"{number}.csv", text)
+        job.run()
+    job.put("3.csv", "c,b,a\n7,8,9\n")
+    job.put("4.csv", "a,b,c,e\n1,1,1,5\n")
+    job.run()
+    assert spark.table(job.table).columns == ["a", "b", "c", "d", "e"]
+    assert rows(spark.table(job.table), "a", "b", "c", "d", "e") == [
+        ("1", "1", "1", None, "5"), ("1", "2", "3", None, None), ("10", "20", "30", None, None),
+        ("100", "200", "300", "400", None), ("9", "8", "7", None, None),
+    ]
+
+
+@pytest.mark.parametrize("batch_first", [True, False])
+def test_batch_and_stream_share_a_table(spark, database, tmp_path, batch_first):
+    job = Job(spark, database, tmp_path, FormatSpec("parquet"))
+
+    def batch():
+        write_table(spark.range(3).selectExpr("id + 100 AS id"), job.table)
+
+    if batch_first:
+        batch()
+    spark.range(2).write.parquet(str(tmp_path / "in" / "1"))
+    job.run(hints={})
+    if not batch_first:
+        batch()
+    spark.range(2, 4).write.parquet(str(tmp_path / "in" / "2"))
+    job.run(hints={})
+    batch()
+    expected = [(0,), (1,), (2,), (3,)] + sorted([(100,), (101,), (102,)] * 2)
+    assert rows(spark.table(job.table)) == expected
+
+
+def test_new_fields_inside_a_column_are_refused_not_lost(spark, database, tmp_path):
+    job = Job(spark, database, tmp_path, FormatSpec("json"))
+    job.put("a.json", '{"a": {"x": "1"}}\n')
+    job.run(hints={})
+    job.put("b.json", '{"a": {"x": "2", "y": "3"}}\n')
+    for _ in range(2):
+        with pytest.raises(Exception, match="cannot become"):
+            job.run(hints={})
+    assert spark.table(job.table).count() == 1
+
+
+def test_wider_payload_is_refused_not_lost(spark, database, tmp_path):
+    job = Job(spark, database, tmp_path, FormatSpec("json"))
+    job.put("a.json", envelope("t", {"k": 1}, 0))
+    job.run(message_schema="k int")
+    job.put("b.json", envelope("t", {"k": 1, "m": 2}, 1))
+    with pytest.raises(Exception, match="cannot become"):
+        job.run(message_schema="k int, m int")
 
 
 def test_stop(spark, job):

@@ -137,3 +137,20 @@ def test_merge_equals_a_model(spark, target, source, delete):
     assert sort(rows(merge(t, s, "k", delete=delete))) == sort(expected)
     if len({r[0] for r in target}) == len(target):
         assert sort(rows(merge(t, s, "k", delete, unique_target=True))) == sort(expected)
+
+
+def test_source_that_repeats_a_key_is_refused(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    for unique_target in (False, True):
+        with pytest.raises(ValueError, match="repeats a key"):
+            merge(target, source, "k", unique_target=unique_target)
+
+
+@pytest.mark.parametrize("unique_target", [False, True])
+def test_columns_named_like_the_operators_own(spark, unique_target):
+    schema = "k int, _gone int, _new int, _key_0 int, _row int"
+    target = spark.createDataFrame([(1, 1, 1, 1, 1), (2, 2, 2, 2, 2)], schema)
+    source = spark.createDataFrame([(2, 3, 3, 3, 3), (4, 4, 4, 4, 4)], schema)
+    merged = merge(target, source, "k", unique_target=unique_target)
+    assert rows(merged) == [(1, 1, 1, 1, 1), (2, 3, 3, 3, 3), (4, 4, 4, 4, 4)]

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import types as T
 
-from millrace import workspace
+from millrace import storage, workspace
 from millrace.sources import FormatSpec, pin_schema, scan_csv, scan_text, struct_from_columns
 from millrace.sources import stream_changes, stream_files
 
@@ -119,7 +119,7 @@ def test_pinned_schema_is_found_once(spark, tmp_path):
     assert later.fields[-1].simpleString() == "new:struct<deep:string>"
 
 
-def test_only_files_modified_since_are_looked_at(spark, tmp_path):
+def test_all_files_are_looked_at_whatever_their_dates(spark, tmp_path):
     old = put(tmp_path, "in/a.json", '{"a": 1}\n')
     location = str(tmp_path / "s")
     pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location, hints={})
@@ -127,7 +127,31 @@ def test_only_files_modified_since_are_looked_at(spark, tmp_path):
     os.utime(old, (1000, 1000))
     put(tmp_path, "in/b.json", '{"b": 1}\n')
     schema = pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location, hints={})
-    assert schema.names == ["a", "b"]
+    assert schema.names == ["a", "unseen", "b"] or schema.names == ["a", "b", "unseen"]
+
+
+def test_pinned_schema_takes_up_fields_at_any_depth(spark, tmp_path):
+    location = str(tmp_path / "s")
+    put(tmp_path, "in/a.json", '{"a": {"x": 1}, "l": [{"p": 1}]}\n')
+    pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location, hints={})
+    put(tmp_path, "in/b.json", '{"a": {"x": 1, "y": {"z": 2}}, "l": [{"p": 1, "q": 2}]}\n')
+    schema = pin_schema(spark, str(tmp_path / "in"), FormatSpec("json"), location, hints={})
+    assert schema.simpleString() == (
+        "struct<a:struct<x:string,y:struct<z:string>>,l:array<struct<p:string,q:string>>>"
+    )
+
+
+def test_typed_scan_refuses_another_header(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, str(path), "a string, b string").collect()
+    assert rows(scan_csv(spark, str(path), "b string, a string")) == [("1", "2")]
+
+
+def test_repeated_column_of_a_header_is_refused(spark, tmp_path):
+    put(tmp_path, "a.csv", "a,A\n1,2\n")
+    with pytest.raises(ValueError, match="repeats a column"):
+        pin_schema(spark, str(tmp_path), FormatSpec("csv", {"header": True}), str(tmp_path / "s"))
 
 
 def test_pinned_schema_with_types_and_hints(spark, tmp_path):
@@ -136,7 +160,7 @@ def test_pinned_schema_with_types_and_hints(spark, tmp_path):
     schema = pin_schema(
         spark, str(tmp_path), spec, str(tmp_path / "s"), {"d": "string", "x": "int"}, infer_types=True
     )
-    assert schema.simpleString() == "struct<n:int,d:string,x:int>"
+    assert schema.simpleString() == "struct<n:int,d:string>"
 
 
 def test_pinned_schema_of_parquet_joins_all_files(spark, tmp_path):
@@ -175,23 +199,30 @@ class Unset:
         self.conf, self.sparkContext = self, self
         self.master, self.folder = master, None
 
-    def get(self, key, default):
-        return default
+    def get(self, key, default=None):
+        return "/somewhere/warehouse/" if key == "spark.sql.warehouse.dir" else default
 
     def getCheckpointDir(self):
         return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
 
 def test_only_a_local_session_may_use_a_folder_of_its_own():
     local = Unset("local[2]")
-    assert workspace.shared_dir(local) == workspace.shared_dir(local) == local.folder
+    assert workspace.shared_dir(local) == "/somewhere/warehouse-shared"
+    local.folder = "/shared"
+    assert workspace.shared_dir(local) == "/shared"
     with pytest.raises(RuntimeError):
         workspace.shared_dir(Unset("yarn"))
 
 
+def test_scratch_is_deleted_at_the_end_of_its_scope(spark):
+    with workspace.scratch(spark):
+        kept = workspace.written(spark.range(3), "scoped")
+        assert kept.count() == 3
+        path = kept.inputFiles()[0]
+    assert not storage.exists(spark, path)
+
+
 def test_size_check_measures_rows_and_bytes(spark):
     df = spark.range(100).selectExpr("id", "repeat('x', 100) AS s")
     assert workspace.fits_broadcast(df)
