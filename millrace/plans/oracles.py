@@ -150,5 +150,6 @@ SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_upsert_delete": f"{MERGED} WHERE o_orderpriority IS DISTINCT FROM '5-LOW'",
     "stream_upsert_compacted": MERGED,
+    "stream_upsert_named": MERGED,
     "stream_upsert_bucketed": MERGED,
 }

@@ -498,6 +498,16 @@ def stream_upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.snapshot()
 
 
+def stream_upsert_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged table under a name, read by SQL; the name follows the table to its next base."""
+    target = changed_orders(spark, sf_dir, buckets=None)
+    named = qualified(new_database(spark), "merged_orders")
+    target.publish(named)
+    target.compact()
+    target.publish(named)
+    return spark.sql(f"SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM {named}")
+
+
 def stream_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     target = changed_orders(spark, sf_dir, buckets)
@@ -542,5 +552,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_upsert_guarded": stream_upsert_guarded,
     "stream_upsert_delete": stream_upsert_delete,
     "stream_upsert_compacted": stream_upsert_compacted,
+    "stream_upsert_named": stream_upsert_named,
     "stream_upsert_bucketed": stream_upsert_bucketed,
 }

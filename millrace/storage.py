@@ -26,6 +26,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return files.delete(location, True)
 
 
+def folders_with(spark: SparkSession, path: str, file: str) -> list[str]:
+    """Names of the folders directly under ``path`` that hold ``file``, by one listing."""
+    files, location = _locate(spark, path)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(location, f"*/{file}")
+    return [entry.getPath().getParent().getName() for entry in files.globStatus(pattern) or []]
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``."""
     files, location = _locate(spark, path)

@@ -24,6 +24,7 @@ from millrace import storage
 from millrace.functions.columns import columns_of, matches, name, quoted
 from millrace.operators.changes import DELETE, latest_per_key
 from millrace.operators.merge import join_by_key, replace_keys
+from millrace.streaming.jobs import stream_id
 
 BEFORE_FIRST_BATCH = -1
 RESERVED = {"_batch_id", "_change_type"}
@@ -72,6 +73,9 @@ class MergeTarget:
         taken = sorted(RESERVED.intersection((schema or base.schema).names))
         if taken:
             raise ValueError(f"the log needs the column names {taken} for itself")
+        most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        if buckets is not None and not 0 < buckets <= most:
+            raise ValueError(f"Spark takes 1 to {most} buckets, not {buckets}")
         columns = StructType(list((schema or base.schema).fields))
         target = cls(
             spark, root.rstrip("/"), columns, tuple(columns_of(keys)), tuple(columns_of(order_by)),
@@ -88,11 +92,39 @@ class MergeTarget:
             *[name(f.name).cast(f.dataType).alias(f.name) for f in self.schema], *kind
         ).write.mode("overwrite").parquet(self._log_path(batch_id))
 
-    def snapshot(self, upto: int | None = None) -> DataFrame:
-        """The table now, or after the batch ``upto`` (not before the current base)."""
+    def snapshot(self) -> DataFrame:
+        """The table now."""
         base_id = self._base_id()
-        base = self._base(base_id)
-        log = self._log([b for b in self._logged(base_id) if upto is None or b <= upto])
+        return self._merged(base_id, self._logged(base_id))
+
+    def publish(self, table: str) -> None:
+        """Give the table after the last ``compact`` a name in the catalog, or move the name there.
+
+        Readers and streams of the name see the base as it was compacted, not the log after it.
+        """
+        path = self._base_path(self._base_id()).replace("'", "\\'")
+        if self.spark.catalog.tableExists(table):
+            there = [(f.name, f.dataType) for f in self.spark.table(table).schema]
+            if there != [(f.name, f.dataType) for f in self.schema]:
+                raise ValueError(f"{table} exists with other columns")
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        else:
+            columns = StructType([StructField(f.name, f.dataType) for f in self.schema]).toDDL()
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
+        self.spark.catalog.refreshTable(table)
+
+    def bind(self, stream: str) -> None:
+        """Keep the id of the stream that feeds the table, and refuse any other one."""
+        path = f"{self.root}/stream"
+        if storage.exists(self.spark, f"{path}/_SUCCESS"):
+            known = self.spark.read.text(path).first().value
+            if known != stream:
+                raise ValueError(f"{self.root} is fed by the stream {known}, not by {stream}")
+            return
+        self.spark.createDataFrame([(stream,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    def _merged(self, base_id: int, batch_ids: list[int]) -> DataFrame:
+        base, log = self._base(base_id), self._log(batch_ids)
         keys, bucketed = list(self.keys), self.buckets is not None
         if self.order_guard:
             changed = self._not_stale(
@@ -115,13 +147,16 @@ class MergeTarget:
         """Write the table after the last logged batch as the next base; returns that batch's id.
 
         Nothing that a reader may be using is changed. Batches logged meanwhile stay in the log.
+        The whole base is written anew, however short the log: on a large table, compact only when
+        the log has grown to a fair share of it.
         """
         if self.order_guard and self.delete:
             raise ValueError("the log must keep deletes while older rows may still arrive")
-        last = max([self._base_id(), *self._logged(self._base_id())])
-        if last > self._base_id():
-            self._write_base(self.snapshot(last), last)
-        return last
+        base_id = self._base_id()
+        batch_ids = self._logged(base_id)
+        if batch_ids:
+            self._write_base(self._merged(base_id, batch_ids), batch_ids[-1])
+        return max([base_id, *batch_ids])
 
     def drop_folded(self) -> None:
         """Delete earlier bases and the log folded into the current one.
@@ -230,6 +265,11 @@ class MergeTarget:
         keys = ", ".join(quoted(k) for k in self.keys)
         table = self._base_table(batch_id)
         location = path.replace("'", "\\'")
+        if self.spark.catalog.tableExists(table):
+            # A lasting catalog may know the name from a folder that has been made anew since.
+            known = [(f.name, f.dataType) for f in self.spark.table(table).schema]
+            if known != [(f.name, f.dataType) for f in self.schema]:
+                self.spark.sql(f"DROP TABLE {table}")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
             f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
@@ -246,20 +286,20 @@ class MergeTarget:
         names = storage.folder_names(self.spark, f"{self.root}/{folder}")
         return [int(n.partition("=")[2]) for n in names if n.startswith(f"{label}=")]
 
-    def _complete(self, path: str) -> bool:
-        return storage.exists(self.spark, f"{path}/_SUCCESS")
+    def _complete_ids(self, folder: str, label: str) -> list[int]:
+        """Ids of completely written folders, by one listing."""
+        names = storage.folders_with(self.spark, f"{self.root}/{folder}", "_SUCCESS")
+        return [int(n.partition("=")[2]) for n in names if n.startswith(f"{label}=")]
 
     def _bases(self) -> list[int]:
-        ids = self._ids(self._base_folder, "upto")
-        return [b for b in ids if self._complete(self._base_path(b))]
+        return self._complete_ids(self._base_folder, "upto")
 
     def _base_id(self) -> int:
         return max(self._bases())
 
     def _logged(self, after: int) -> list[int]:
         """Completely written batches later than ``after``."""
-        ids = [b for b in self._ids("log", "_batch_id") if b > after]
-        return sorted(b for b in ids if self._complete(self._log_path(b)))
+        return sorted(b for b in self._complete_ids("log", "_batch_id") if b > after)
 
 
 def stream_merge(
@@ -270,13 +310,20 @@ def stream_merge(
     A batch that is run again after a failure has the same id and the same rows, so it has no
     further effect. The query handle is returned, after the input is used up if ``wait``.
 
-    A target stays with its checkpoint: a stream without one would number its batches from 0
-    again, and they would be taken for replays.
+    A target stays with its stream: another one, or the same without its checkpoint, would number
+    its batches from 0 again, and they would overwrite logged ones.
     """
     if target.is_fed() and not storage.exists(target.spark, f"{checkpoint}/offsets"):
         raise ValueError(f"{target.root} was fed by a stream whose progress is not in {checkpoint}")
+    if storage.exists(target.spark, f"{checkpoint}/metadata"):
+        target.bind(stream_id(target.spark, checkpoint))
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        target.bind(stream_id(target.spark, checkpoint))
+        target.apply(batch, batch_id)
+
     query = (
-        stream.writeStream.foreachBatch(target.apply)
+        stream.writeStream.foreachBatch(apply)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -40,7 +40,7 @@ def test_last_batch_wins_and_replay_changes_nothing(spark, root):
     for _ in range(2):
         target.apply(two, 1)
         assert rows(target.snapshot()) == [(None, None, "m"), (1, 2, "older"), (2, 1, "c")]
-    assert rows(target.snapshot(upto=0)) == [(None, 1, "n"), (1, 9, "a")]
+    assert rows(target._merged(-1, [0])) == [(None, 1, "n"), (1, 9, "a")]
 
 
 @pytest.mark.parametrize("buckets", [None, 4])
@@ -322,3 +322,45 @@ def test_log_equals_merging_batch_by_batch(spark, base, batches, buckets):
     assert rows(target.snapshot()) == rows(current)
     target.compact()
     assert rows(target.snapshot()) == rows(current)
+
+
+def test_another_streams_checkpoint_is_refused(spark, root, database):
+    targets = {}
+    for letter in "ab":
+        table = qualified(database, letter)
+        write_table(spark.createDataFrame([(ord(letter), 1, letter)], TABLE), table)
+        targets[letter] = open_target(spark, f"{root}/{letter}")
+        stream_merge(stream_table(spark, table), targets[letter], f"{root}/of-{letter}")
+        write_table(spark.createDataFrame([(ord(letter) + 10, 1, letter)], TABLE), table)
+    with pytest.raises(ValueError, match="is fed by the stream"):
+        stream_merge(stream_table(spark, qualified(database, "b")), targets["a"], f"{root}/of-b")
+    stream_merge(stream_table(spark, qualified(database, "a")), targets["a"], f"{root}/of-a")
+    assert rows(targets["a"].snapshot()) == [(97, 1, "a"), (107, 1, "a")]
+
+
+def test_number_of_buckets_is_checked(spark, root):
+    for buckets in (0, 100_001):
+        with pytest.raises(ValueError, match="buckets"):
+            open_target(spark, root, buckets=buckets)
+    assert open_target(spark, root, buckets=100_000).buckets == 100_000
+
+
+def test_name_follows_the_table(spark, root, database):
+    target, name = open_target(spark, root), qualified(database, "named")
+    target.apply(spark.createDataFrame([(1, 1, "a")], TABLE), 0)
+    target.publish(name)
+    assert rows(spark.sql(f"SELECT * FROM {name}")) == []
+    target.compact()
+    target.publish(name)
+    assert rows(spark.sql(f"SELECT * FROM {name}")) == [(1, 1, "a")]
+    write_table(spark.range(1), qualified(database, "taken"))
+    with pytest.raises(ValueError, match="other columns"):
+        target.publish(qualified(database, "taken"))
+
+
+def test_a_folder_made_anew_forgets_its_old_columns(spark, root):
+    target = open_target(spark, root, buckets=4)
+    target.snapshot().count()
+    storage.delete(spark, root)
+    other = MergeTarget.open(spark, root, "k", ["t"], schema=schema_of(spark, "k int, t int"), buckets=4)
+    assert other.snapshot().columns == ["k", "t"]
