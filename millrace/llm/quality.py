@@ -29,6 +29,8 @@ HIDDEN = 32
 SEED = 7
 # Rows of partial sums that are added up together.
 SLICES = 64
+# Words whose numbers a task remembers; with more it starts anew.
+REMEMBERED = 100_000
 
 # A run of letters, digits and underscores, or a run of other characters that are not white space.
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -57,7 +59,7 @@ class Words:
         try:
             return np.fromiter([known[w] for w in found], np.int64, len(found))
         except KeyError:
-            if len(known) > 300_000:
+            if len(known) > REMEMBERED:
                 known = self.known = {}
             for word in found:
                 if word not in known:
