@@ -15,6 +15,7 @@ so that one document is read by the footer, its two offsets and its own frame.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -44,7 +45,7 @@ REMEMBERED = 500_000
 # Longer segments are encoded without being remembered.
 LONGEST_REMEMBERED = 64
 # New segments that the library gets in one text, and characters that are cut at a time.
-GROUP, CUT_CHARS = 100, 1 << 21
+GROUP, CUT_CHARS = 100, 1 << 22
 # Where texts are cut.
 MARKS = [(" ", CUT + " "), ("\n", CUT + "\n" + CUT)]
 # White space of ASCII besides the space and the line end.
@@ -173,6 +174,8 @@ _encoders: dict[str, IdEncoder] = {}
 def encoder(path: str) -> IdEncoder:
     """The encoder of a vocabulary file, made once per Python worker."""
     if path not in _encoders:
+        if TaskContext.get() is not None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library would take all
         _encoders[path] = IdEncoder(path)
     return _encoders[path]
 
