@@ -45,16 +45,14 @@ def chunks(texts: pa.Array, max_chars: int = CHUNK_CHARS) -> Iterator[tuple[int,
         yield start, run
 
 
-def hash_sample(df: DataFrame, names: list[str], limit: int, share: float | None = None) -> DataFrame:
+def hash_sample(df: DataFrame, names: list[str], limit: int) -> DataFrame:
     """At most ``limit`` rows of ``df``: those with the smallest hash of the columns ``names``.
 
-    Rows far above the bound that this needs are left out first, by ``share`` of all or, without it, four
-    times the limit of the counted rows. So what tasks hand on for the final choice does not grow with
-    the table.
+    Rows far above the bound that this needs are left out first: about four times the limit of the
+    counted rows stay. So what tasks hand on for the final choice does not grow with the table.
     """
     mark = F.xxhash64(*[column(n) for n in names])
-    if share is None:
-        share = 4 * limit / max(1, df.count())
+    share = 4 * limit / max(1, df.count())
     if share < 1:
         df = df.where(mark < int(share * 2.0**64) - (1 << 63))
     return df.orderBy(mark, *[column(n) for n in names]).limit(limit)

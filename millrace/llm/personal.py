@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.llm.common import chunks, column, hash_sample, map_batches
+from millrace.workspace import written
 
 # The kinds in their order, and the patterns that define them.
 KINDS = ("email", "ip", "card", "phone")
@@ -338,14 +339,13 @@ def training_windows(lines: list[str], seed: int = SEED, most: int = TRAIN_WINDO
 def fit(df: DataFrame, text: str = "text") -> Tagger | None:
     """Train a tagger on a bounded sample of the corpus's lines that hold a digit or an at sign.
 
-    At most ``SAMPLE_LINES`` distinct lines, cut to ``SAMPLE_CHARS``, in the order of a hash, whose bound is
-    set so that a line in ten documents is enough for as many. None if
-    no line holds personal data by the patterns: there is nothing to learn from.
+    All distinct lines, cut to ``SAMPLE_CHARS``, or the first ``SAMPLE_LINES`` of them in the order of a hash;
+    they are written once and counted. None if no line of the sample holds personal data by the
+    patterns: there is nothing to learn from.
     """
     lines = F.filter(F.split(column(text), "\n", -1), lambda line: line.rlike("[0-9@]"))
     found = df.select(F.explode(lines).alias("line")).select(F.substring("line", 1, SAMPLE_CHARS).alias("line"))
-    share = 10 * SAMPLE_LINES / max(1, df.count())
-    sample = hash_sample(found.distinct(), ["line"], SAMPLE_LINES, share).collect()
+    sample = hash_sample(written(found.distinct(), "personal-lines"), ["line"], SAMPLE_LINES).collect()
     ids, gold = training_windows([r.line for r in sample])
     if not gold.any():
         return None

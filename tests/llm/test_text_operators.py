@@ -273,6 +273,22 @@ def test_personal_data_of_odd_texts(docs, tagger):
     assert personal.masked("0123456789", [("ip", 2, 5), ("card", 4, 8), ("ip", 8, 9)]) == "01<ip><ip>9"
 
 
+def test_tagger_sample_is_of_lines(spark, monkeypatch):
+    """Few lines in many documents all train; the bound is on lines, not on documents."""
+    seen = []
+    monkeypatch.setattr(personal, "SAMPLE_LINES", 50)
+    windows = personal.training_windows
+    monkeypatch.setattr(personal, "training_windows", lambda found: seen.extend(found) or windows([]))
+    text = F.when(F.col("id") < 80, F.concat(F.lit("a line\nwrite to a"), F.col("id") % 40, F.lit("@b.cd"))).otherwise("none")
+    frame = spark.range(5000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    assert personal.fit(frame) is None
+    assert sorted(seen) == sorted(f"write to a{n}@b.cd" for n in range(40))
+    seen.clear()
+    monkeypatch.setattr(personal, "SAMPLE_LINES", 15)
+    assert personal.fit(frame) is None and len(set(seen)) == len(seen) == 15
+
+
+
 # quality
 
 
