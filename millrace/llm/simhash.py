@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import chunks, column, free_name
@@ -51,18 +51,23 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
 def fingerprints(
     df: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """``key`` and ``fp`` (long, the 64 bits as a signed number) of every row; null text is empty."""
-    picked = df.select(column(key).cast("bigint").alias("key"), column(text).alias("text"))
+    """``key``, ``fp`` (long, the 64 bits as a signed number) and ``h``, a hash of the text, of every row;
+    null text is empty."""
+    picked = df.select(column(key).cast("bigint").alias("key"), column(text).alias("text"), _mark(text).alias("h"))
 
     def run(batches):
         for batch in batches:
             for start, texts in chunks(batch.column(1)):
                 found = np.asarray([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array(found)], ["key", "fp"]
-                )
+                own = [batch.column(n).slice(start, len(texts)) for n in (0, 2)]
+                yield pa.RecordBatch.from_arrays([own[0], pa.array(found), own[1]], ["key", "fp", "h"])
 
-    return picked.mapInArrow(run, "key bigint, fp bigint")
+    return picked.mapInArrow(run, "key bigint, fp bigint, h bigint")
+
+
+def _mark(text: str) -> Column:
+    """A hash by which equal texts are known; null is the empty text."""
+    return F.xxhash64(F.coalesce(column(text), F.lit("")))
 
 
 def _population(values: np.ndarray) -> np.ndarray:
@@ -203,6 +208,19 @@ def near_links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     return packed.mapInArrow(run, "a bigint, b bigint")
 
 
+def _groups(found: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Per distinct ``fp`` its ``first`` key and its ``component``; per component its ``least`` key."""
+    distinct = written(found.groupBy("fp").agg(F.min("key").alias("first")), "simhash-distinct")
+    links = near_links(distinct.select("fp"), radius)
+    reached = components(links)
+    groups = (
+        distinct.join(reached.withColumnRenamed("node", "fp"), "fp", "left")
+        .select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    )
+    groups = written(groups, "simhash-groups")
+    return groups, groups.groupBy("component").agg(F.min("first").alias("least"))
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, radius: int = RADIUS
 ) -> DataFrame:
@@ -214,16 +232,8 @@ def near_duplicates(
     is near to, and gets the smallest key that is not null (null if its component has none). Columns
     other than key and text are ignored; an empty table gives an empty table.
     """
-    found = written(fingerprints(df, key, text, words), "simhash")
-    distinct = written(found.groupBy("fp").agg(F.min("key").alias("first")), "simhash-distinct")
-    links = near_links(distinct.select("fp"), radius)
-    reached = components(links)
-    groups = (
-        distinct.join(reached.withColumnRenamed("node", "fp"), "fp", "left")
-        .select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    )
-    groups = written(groups, "simhash-groups")
-    least = groups.groupBy("component").agg(F.min("first").alias("least"))
+    found = written(fingerprints(df, key, text, words).select("key", "fp"), "simhash")
+    groups, least = _groups(found, radius)
     named = groups.join(least, "component").select("fp", F.col("least").alias("component_id"))
     return found.join(named, "fp").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -233,17 +243,23 @@ def near_duplicates(
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` without near-duplicates: of each component the row with the smallest key.
 
-    If rows repeat that key, the one with the smallest text stays, null first. Rows without a key
-    cannot be named by a component, so they all stay. Every column is kept as it is.
+    If several rows of a component have that key, the one with the smallest text stays, null first. Rows
+    of other components under the same key are judged by themselves. Rows without a key cannot be
+    named by a component, so they all stay. Every column is kept as it is.
     """
-    groups = near_duplicates(df.select(column(key).alias("k"), column(text).alias("t")), "k", "t")
-    first = written(groups.where("k = component_id").select("k").distinct(), "simhash-kept")
-    own, rank = free_name(df, "_key"), free_name(df, "_rank")
-    rows = df.withColumn(own, column(key).cast("bigint")).where(F.col(own).isNotNull())
+    found = written(fingerprints(df, key, text), "simhash")
+    groups, least = _groups(found, RADIUS)
+    own, mark, group, rank = (free_name(df, name) for name in ("_key", "_mark", "_group", "_rank"))
+    elected = groups.join(least, "component").select("fp", "component", F.col("least").alias("key"))
+    first = (
+        found.join(elected, ["fp", "key"])
+        .select(F.col("key").alias(own), F.col("h").alias(mark), F.col("component").alias(group))
+        .distinct()
+    )
+    rows = df.withColumns({own: column(key).cast("bigint"), mark: _mark(text)}).where(F.col(own).isNotNull())
     kept = (
-        rows.join(first.withColumnRenamed("k", own), own, "left_semi")
-        .withColumn(rank, F.row_number().over(Window.partitionBy(own).orderBy(column(text))))
+        rows.join(written(first, "simhash-kept"), [own, mark])
+        .withColumn(rank, F.row_number().over(Window.partitionBy(own, group).orderBy(column(text))))
         .where(F.col(rank) == 1)
-        .drop(rank, own)
     )
     return kept.select(*[column(c) for c in df.columns]).union(df.where(column(key).isNull()))

@@ -121,6 +121,25 @@ def test_simhash_keeps_one(docs):
     assert simhash.keep_one(docs([])).collect() == []
 
 
+def test_simhash_keeps_one_of_each_component(docs):
+    """A repeated key loses neither a row that is near nothing nor the only row that stands for a group."""
+    copies = [(30 + n, "Copies of one text that is the same in all of them") for n in range(20)]
+    alone = [(30, "A text of its own under a key that is there twice, the smaller of them")]
+    alone += [(35, f"{word} a clean text number {n} that stands {word * 3} for itself") for n, word in enumerate(["fir", "oak", "elm"])]
+    found = simhash.keep_one(docs([*copies, copies[0], *alone])).collect()
+    assert sorted((r.doc_id, r.text) for r in found) == sorted([copies[0], *alone])
+    near = [(7, "A near copy of one long enough text " * 30 + f"w{n}") for n in range(9)] + [(7, None), (7, ""), (6, " ")]
+    prints = [plain_fingerprint(text) for _, text in near]
+    links = [(a, b) for a in range(len(near)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    elected = {}
+    for n, group in smallest_reachable(range(len(near)), links).items():
+        place = near[n][0], near[n][1] is not None, near[n][1] or ""
+        elected[group] = min(place, elected.get(group, place))
+    found = simhash.keep_one(docs(near)).collect()
+    assert len(elected) < len(near) - 2
+    assert sorted((r.doc_id, r.text is not None, r.text or "") for r in found) == sorted(elected.values())
+
+
 # line dedup
 
 
