@@ -16,8 +16,8 @@ from millrace.llm.common import chunks, column, free_name
 from millrace.workspace import broadcast_if_small, written
 
 THRESHOLD = 2
-# Shorter lines are only the same as lines that equal them.
-MIN_CHARS = 24
+# The shortest line that is joined, as each segment needs a code point; shorter ones only equal others.
+MIN_CHARS = THRESHOLD + 1
 # Lines under one key, indexed and probing, that meet in one group; more are split over a grid of groups.
 TILE = 512
 
@@ -52,7 +52,7 @@ def keys_of(line: str, threshold: int) -> tuple[list[tuple[int, int]], list[tupl
         for number, (a, n) in enumerate(segments(size, threshold))
     ]
     probes = set()
-    for other in range(max(1, size - threshold), size + 1):
+    for other in range(max(threshold + 1, size - threshold), size + 1):
         for number, (a, n) in enumerate(segments(other, threshold)):
             for at in places(size, other, number, a, n, threshold):
                 probes.add((xxh64_intdigest(f"{other}:{number}:{line[at : at + n]}"), number))
@@ -169,7 +169,7 @@ def _key_rows(docs: DataFrame, threshold: int) -> DataFrame:
                 out: tuple[list[int], list[int], list[bool]] = ([], [], [])
                 for text in texts:
                     for line in text.split("\n"):
-                        if len(line) < MIN_CHARS:
+                        if len(line) <= threshold:
                             continue
                         mark = xxh64_intdigest(line, 42)
                         if mark in seen:
@@ -320,7 +320,7 @@ def line_classes(docs: DataFrame, threshold: int, tile: int = TILE) -> DataFrame
     firsts = written(occurrences.groupBy("h", "g").agg(F.min(F.struct("k", "u", "p")).alias("first")), "lines-first")
     candidates = broadcast_if_small(_candidates(docs, threshold))
     texts = (
-        full.where(F.col("size") >= MIN_CHARS)
+        full.where(F.col("size") > threshold)
         .join(candidates, "h", "left_semi")
         .groupBy("h", "g")
         .agg(F.min("line").alias("line"))
@@ -350,7 +350,7 @@ def dedup_lines(
 
     Lines are what line feeds separate. The first occurrence of a line, by key and line number, stays
     unless a line linked to it occurs earlier; all other occurrences go. Blank lines always stay, and
-    lines of fewer than ``MIN_CHARS`` code points are only compared for equality. The report has
+    lines of no more code points than ``threshold`` are only compared for equality. The report has
     ``n_lines`` (not blank), ``n_removed``, ``n_links`` (of its lines to different lines, all told),
     ``class_id`` (the smallest key that holds a line equal or linked to one of its own, itself included)
     and ``sources`` (the keys where the removed lines occur first, ascending).

@@ -267,6 +267,19 @@ def test_line_dedup_of_odd_texts(docs):
     assert lines.dedup_lines(docs([])).collect() == []
 
 
+def test_line_dedup_joins_short_lines(docs):
+    near = ["The anhely eran.", "The, anhely eran.", "Heti eror anesti.", "Heti, eror anesti.", "x" * 24, "x" * 23]
+    found = {r.doc_id: r for r in lines.dedup_lines(docs(list(enumerate([*near, "abc", "ac", "abcd", "ac"])))).collect()}
+    assert [found[n].line_report.n_links for n in range(10)] == [1, 1, 1, 1, 1, 1, 1, 0, 1, 0]
+    assert [n for n in range(10) if found[n].line_report.n_removed] == [1, 3, 5, 8, 9]
+    rng = np.random.default_rng(9)
+    table = [(n, "\n".join("".join(rng.choice(list("abé "), rng.integers(1, 9))) for _ in range(4))) for n in range(40)]
+    expected = plain_dedup(table)
+    for row in lines.dedup_lines(docs(table)).collect():
+        assert row.text == expected[row.doc_id, table[row.doc_id][1]][0]
+        assert tuple(row.line_report)[:3] == expected[row.doc_id, table[row.doc_id][1]][1:4]
+
+
 def test_line_dedup_query(spark, sf_dir):
     table = [tuple(r) for r in read_table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     found = QUERIES["op9_line_dedup"](spark, sf_dir).collect()
