@@ -29,7 +29,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: repeated and nearly repeated lines go, all but the first; ``n_chars`` follows the text."""
     show_workers(spark)
     report = free_name(docs, "_report")
-    left = lines.dedup_lines(docs, report=report)
+    left = lines.dedup_lines(docs, report=report, with_class=False)
     if "n_chars" in docs.columns:
         size = F.char_length(column("text")).cast(docs.schema["n_chars"].dataType)
         changed = F.col(f"{report}.n_removed") > 0

@@ -9,7 +9,7 @@ from millrace.workspace import written
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node``, ``component`` (the smallest node reachable) for links ``a``, ``b`` of longs.
+    """``node``, ``component`` (the smallest node reachable) for links ``a``, ``b`` of longs or structs.
 
     A round ties all larger neighbours of each node to its smallest one, then all smaller ones, and
     is written to the shared folder. It ends when a round changes nothing; the number of rounds is

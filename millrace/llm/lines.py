@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import chunks, column, free_name
+from millrace.llm.components import components
 from millrace.workspace import broadcast_if_small, written
 
 THRESHOLD = 2
@@ -205,8 +206,10 @@ def _candidates(docs: DataFrame, threshold: int) -> DataFrame:
 
 
 def _links(active: DataFrame, threshold: int, tile: int) -> DataFrame:
-    """Of each line with a link: ``h``, ``g``, ``links`` (how many other lines) and ``least``, the first
-    occurrence of any of them. ``active`` has h, g, line and first (a struct of k, u, p)."""
+    """Of each line with a link, a few times: ``h``, ``g``, ``first``, ``links`` (how many other lines),
+    ``least``, the first occurrence of any of them, and ``root``, that of a line it is linked to through any
+    number of links. Links to the root connect all that is linked. ``active`` has h, g, line and first (a
+    struct of k, u, p)."""
     fields = ["h", "g", "line", "k", "u", "p"]
     plain = active.select("h", "g", "line", "first.k", "first.u", "first.p")
 
@@ -257,14 +260,14 @@ def _links(active: DataFrame, threshold: int, tile: int) -> DataFrame:
     )
 
     def verify(batches):
-        group, index, found = None, [], {}
+        group, index, found, root = None, [], {}, {}
         for batch in batches:
             for row in batch.to_pylist():
                 here = row["key"], row["part"], row["segment"]
                 if here != group:
                     if found:
-                        yield _found(found)
-                    group, index, found = here, [], {}
+                        yield _found(found, root)
+                    group, index, found, root = here, [], {}, {}
                 mine = (row["h"], row["g"]), row["line"], (row["k"], row["u"], row["p"])
                 if not row["probe"]:
                     index.append(mine)
@@ -280,36 +283,53 @@ def _links(active: DataFrame, threshold: int, tile: int) -> DataFrame:
                         continue
                     if within(other[1], mine[1], threshold):
                         for one, two in ((mine, other), (other, mine)):
-                            count, least = found.get(one[0], (0, two[2]))
-                            found[one[0]] = count + 1, min(least, two[2])
+                            _, count, least = found.get(one[0], (None, 0, two[2]))
+                            found[one[0]] = one[2], count + 1, min(least, two[2])
+                        a, b = _root(root, mine[2]), _root(root, other[2])
+                        root[max(a, b)] = min(a, b)
             if len(found) > 100_000:
-                yield _found(found)
-                found = {}
+                yield _found(found, root)
+                found, root = {}, {}
         if found:
-            yield _found(found)
+            yield _found(found, root)
 
     links = (
         met.repartition("key", "part")
         .sortWithinPartitions("key", "part", "segment", "probe")
-        .mapInArrow(verify, "h bigint, g bigint, links bigint, k bigint, u bigint, p int")
+        .mapInArrow(verify, "h bigint, g bigint, links bigint, " + ", ".join(f"{c}{n} {t}" for c, n, t in _PLACES))
     )
-    least = F.min(F.struct("k", "u", "p")).alias("least")
-    return links.groupBy("h", "g").agg(F.sum("links").alias("links"), least)
+    places_ = [
+        F.struct(*[F.col(c + n).alias(n) for c, n, _ in _PLACES if c == own]).alias(name)
+        for own, name in (("f", "first"), ("l", "least"), ("r", "root"))
+    ]
+    return links.select("h", "g", "links", *places_)
+
+
+# Three occurrences, each as document and line number.
+_PLACES = [(c, n, t) for c in "flr" for n, t in (("k", "bigint"), ("u", "bigint"), ("p", "int"))]
+
 
+def _root(root: dict, line: tuple) -> tuple:
+    """The smallest line known to be linked to ``line``; the way there is halved."""
+    while (above := root.setdefault(line, line)) != line:
+        root[line] = root[above]
+        line = root[line]
+    return line
 
-def _found(found: dict) -> pa.RecordBatch:
-    columns = list(zip(*((*line, count, *least) for line, (count, least) in found.items()), strict=True))
-    kinds = [pa.int64()] * 5 + [pa.int32()]
+
+def _found(found: dict, root: dict) -> pa.RecordBatch:
+    rows = ((*line, count, *own, *least, *_root(root, own)) for line, (own, count, least) in found.items())
+    kinds = [pa.int64()] * 3 + [pa.int64(), pa.int64(), pa.int32()] * 3
     return pa.RecordBatch.from_arrays(
-        [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)],
-        ["h", "g", "links", "k", "u", "p"],
+        [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
+        ["h", "g", "links", *(c + n for c, n, _ in _PLACES)],
     )
 
 
 def line_classes(docs: DataFrame, threshold: int, tile: int = TILE) -> DataFrame:
     """Every occurrence of a line that is not blank: document ``k`` and ``u``, line number ``p``, whether
-    it is ``kept``, its ``links`` to different lines, and ``source``, the k of the earliest line that it
-    equals or is linked to (itself included)."""
+    it is ``kept``, its ``links`` to different lines, and ``source``, the document (k and u) of the earliest
+    line of its class, which is kept. A class holds all lines that links connect."""
     line = F.col("line")
     exploded = docs.select("k", "u", F.posexplode(F.split("t", "\n", -1)).alias("p", "line"))
     marks = _marks(line)
@@ -327,15 +347,23 @@ def line_classes(docs: DataFrame, threshold: int, tile: int = TILE) -> DataFrame
     )
     active = written(texts.join(firsts, ["h", "g"]), "lines-active")
     links = written(_links(active, threshold, tile), "lines-linked")
-    classes = written(firsts.join(links, ["h", "g"], "left"), "lines-classes")
+    reached = components(links.select(F.col("first").alias("a"), F.col("root").alias("b")))
+    linked = (
+        links.groupBy("h", "g", "first")
+        .agg(F.sum("links").alias("links"), F.min("least").alias("least"))
+        .join(reached.withColumnRenamed("node", "first"), "first")
+        .drop("first")
+    )
+    classes = written(firsts.join(linked, ["h", "g"], "left"), "lines-classes")
     own = F.struct("k", "u", "p")
+    source = F.coalesce("component", "first")
     return occurrences.join(classes, ["h", "g"]).select(
         "k",
         "u",
         "p",
         ((own == F.col("first")) & (F.col("least").isNull() | (F.col("first") < F.col("least")))).alias("kept"),
         F.coalesce("links", F.lit(0)).alias("links"),
-        F.least("first", F.coalesce("least", "first"))["k"].alias("source"),
+        F.struct(source["k"].alias("k"), source["u"].alias("u")).alias("source"),
     )
 
 
@@ -345,6 +373,7 @@ def dedup_lines(
     text: str = "text",
     threshold: int = THRESHOLD,
     report: str = "line_report",
+    with_class: bool = True,
 ) -> DataFrame:
     """``df`` with ``text`` rid of repeated lines, and a struct ``report`` on what went.
 
@@ -352,8 +381,10 @@ def dedup_lines(
     unless a line linked to it occurs earlier; all other occurrences go. Blank lines always stay, and
     lines of no more code points than ``threshold`` are only compared for equality. The report has
     ``n_lines`` (not blank), ``n_removed``, ``n_links`` (of its lines to different lines, all told),
-    ``class_id`` (the smallest key that holds a line equal or linked to one of its own, itself included)
-    and ``sources`` (the keys where the removed lines occur first, ascending).
+    ``class_id`` (unless it is not wanted: the smallest key of all documents that equal or linked lines
+    connect, through any number of documents) and ``sources`` (the keys of the earliest lines, which
+    are kept, of the removed lines' classes, ascending). A class of lines is what links connect, so a line
+    may be further than the threshold from the earliest of its class.
 
     Null texts stay null and have no lines. Rows with a null key come first and are null in class_id and
     sources. Rows that repeat both key and text are one document and stay as often as they occur; rows
@@ -361,10 +392,19 @@ def dedup_lines(
     the report is replaced. An empty table gives an empty table.
     """
     docs = _documents(df, key, text)
-    entry = F.struct("p", "kept", "links", "source")
-    found = line_classes(docs, threshold).groupBy("k", "u").agg(F.collect_set(entry).alias("lines"))
+    entry = F.struct("p", "kept", "links", F.col("source.k").alias("source"))
+    occurrences = line_classes(docs, threshold)
+    if with_class:
+        occurrences = written(occurrences, "lines-found")
+    found = occurrences.groupBy("k", "u").agg(F.collect_set(entry).alias("lines"))
+    if with_class:
+        reached = components(occurrences.select(F.struct("k", "u").alias("a"), F.col("source").alias("b")))
+        reached = reached.select("node.k", "node.u", F.col("component.k").alias("class"))
+        found = found.join(reached, ["k", "u"], "left")
+    else:
+        found = found.withColumn("class", F.lit(None).cast("bigint"))
     kept = df.drop(report)
-    k, u, lines = (free_name(kept, name) for name in ("_k", "_u", "_lines"))
+    k, u, lines, least = (free_name(kept, name) for name in ("_k", "_u", "_lines", "_class"))
     own = column(key).cast("bigint")
     keyed = kept.withColumns(
         {
@@ -372,7 +412,9 @@ def dedup_lines(
             u: F.xxhash64(F.coalesce(column(text), F.lit("")), own.isNull()),
         }
     )
-    named = found.select(F.col("k").alias(k), F.col("u").alias(u), F.col("lines").alias(lines))
+    named = found.select(
+        F.col("k").alias(k), F.col("u").alias(u), F.col("lines").alias(lines), F.col("class").alias(least)
+    )
     joined = keyed.join(named, [k, u], "left")
     entries = F.coalesce(F.col(lines), F.array().cast("array<struct<p:int,kept:boolean,links:bigint,source:bigint>>"))
     gone = F.filter(entries, lambda e: ~e["kept"])
@@ -387,7 +429,7 @@ def dedup_lines(
         F.size(entries).cast("bigint").alias("n_lines"),
         F.size(gone).cast("bigint").alias("n_removed"),
         F.aggregate(entries, zero, lambda a, e: a + e["links"]).alias("n_links"),
-        known(F.least(F.array_min(F.transform(entries, lambda e: e["source"])), F.col(k))).alias("class_id"),
+        *([known(F.coalesce(least, k)).alias("class_id")] if with_class else []),
         F.filter(
             F.array_sort(F.array_distinct(F.transform(gone, lambda e: known(e["source"])))), lambda x: x.isNotNull()
         ).alias("sources"),

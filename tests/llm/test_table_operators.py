@@ -280,6 +280,52 @@ def test_line_dedup_joins_short_lines(docs):
         assert tuple(row.line_report)[:3] == expected[row.doc_id, table[row.doc_id][1]][1:4]
 
 
+def plain_classes(table, threshold=2):
+    """Class and sources of each document by closing the links between all its lines and documents."""
+    seen = [
+        ((key, p), line) for key, text in sorted(table) for p, line in enumerate(text.split("\n")) if line.strip(" ")
+    ]
+    first = {}
+    for place, line in seen:
+        first.setdefault(line, place)
+    near = [
+        (a, b) for a in first for b in first
+        if a < b and min(len(a), len(b)) > threshold and distance(a, b) <= threshold
+    ]
+    group = smallest_reachable(first.values(), [(first[a], first[b]) for a, b in near])
+    classes = smallest_reachable([key for key, _ in table], [(place[0], group[first[line]][0]) for place, line in seen])
+    linked = {a: {first[y if x == line else x] for x, y in near if line in (x, y)} for line, a in first.items()}
+    gone = [(place, line) for place, line in seen if first[line] != place or any(o < place for o in linked[place])]
+    assert not {group[place] for place in first.values()} & {place for place, _ in gone}
+    return {
+        key: (classes[key], sorted({group[first[line]][0] for place, line in gone if place[0] == key}))
+        for key, _ in table
+    }
+
+
+@pytest.mark.parametrize("tile", [512, 2])
+def test_line_dedup_classes_are_closed(docs, monkeypatch, tile):
+    classes = lines.line_classes
+    monkeypatch.setattr(lines, "line_classes", lambda d, t: classes(d, t, tile))
+    line = "One line of text, long enough to count."
+    chain = [(n, "#" * 2 * n + line[2 * n :] + f"\nalone {n} {'xyz'[n] * 9}") for n in range(3)]
+    chain += [(9, "alone 2 " + "z" * 9 + "\nand an end that nothing else has"), (10, "and an end that nothing else has")]
+    found = {r.doc_id: r.line_report for r in lines.dedup_lines(docs(chain)).collect()}
+    assert {k: r.class_id for k, r in found.items()} == dict.fromkeys(found, 0)
+    assert [found[k].sources for k in (0, 1, 2, 9, 10)] == [[], [0], [0], [2], [9]]
+    rng = np.random.default_rng(10)
+    base = ["".join(rng.choice(list("abcdefghij é"), rng.integers(12, 40))) for _ in range(60)]
+    table = []
+    for key in range(60):
+        own = [edited(rng, base[int(rng.integers(60))], int(rng.integers(0, 4)), list("abcdef")) for _ in range(key % 3)]
+        table.append((key, "\n".join(own)))
+    expected, plain = plain_classes(table), plain_dedup(table)
+    assert 2 < len({c for c, _ in expected.values()}) < 50
+    for row in lines.dedup_lines(docs(table)).collect():
+        assert (row.line_report.class_id, row.line_report.sources) == expected[row.doc_id]
+        assert (row.text, *row.line_report[:3]) == plain[row.doc_id, table[row.doc_id][1]][:4]
+
+
 def test_line_dedup_query(spark, sf_dir):
     table = [tuple(r) for r in read_table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     found = QUERIES["op9_line_dedup"](spark, sf_dir).collect()
