@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import lines, multiset, packing, personal, pieces, quality, simhash, token_files, topk, warc
+from millrace.llm import lines, multiset, packing, personal, pieces, quality, resampling, simhash, token_files, topk, warc
 from millrace.llm.common import read_table, show_workers
 
 
@@ -69,6 +69,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resampling.resample(documents, benchmark)
+
+
 def _query(function):
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_token_ids": _query(op8_token_ids),
     "op9_line_dedup": _query(op9_line_dedup),
     "op10_packing": _query(op10_packing),
+    "op12_resampling": _query(op12_resampling),
     "pipeline": _query(corpus_pipeline.run),
 }
 
@@ -158,6 +164,52 @@ ORACLES = {
             {_like("x", "y")} AS near_edited, {_like("x", "z")} AS near_next
         FROM v
     """,
+    "op12_resampling": """
+        WITH t AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+        ), words AS (
+            SELECT true AS source, doc_id, row_number() OVER () AS n, text FROM documents
+            UNION ALL SELECT false, NULL, row_number() OVER (), text FROM benchmark
+        ), split AS (
+            SELECT source, doc_id, n, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM words
+        ), features AS (
+            SELECT source, n, unnest(list_concat(w, list_transform(range(1, len(w)),
+                lambda k: w[k] || ' ' || w[k + 1]))) AS feature FROM split
+        ), counted AS (
+            SELECT source, n, feature, count(*) AS times FROM features GROUP BY ALL
+        ), coded AS (
+            SELECT feature, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(feature))),
+                lambda k: CAST('0x' || substr(hex(encode(feature)), CAST(2 * k + 1 AS INT), 2) AS BIGINT))),
+                lambda c, b: xor(c >> 8, crc[CAST(1 + (xor(c, b) & 255) AS INT)]))) % 10000 AS bucket
+            FROM (SELECT DISTINCT feature FROM counted), t
+        ), found AS (
+            SELECT source, n, bucket, times FROM counted JOIN coded USING (feature)
+        ), sums AS (
+            SELECT k AS bucket, coalesce(sum(times) FILTER (source), 0) AS s, coalesce(sum(times) FILTER (NOT source), 0) AS t
+            FROM range(10000) r(k) LEFT JOIN found ON bucket = k GROUP BY k
+        ), gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM sums
+        ), weights AS (
+            SELECT n, CAST(sum(gain * times) AS BIGINT) AS total FROM found JOIN gains USING (bucket) WHERE source GROUP BY n
+        ), noise AS (
+            SELECT doc_id, n, len(w) AS words, CAST(greatest(2 * len(w) - 1, 0) AS BIGINT) AS n_features,
+                CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+            FROM split WHERE source
+        ), scored AS (
+            SELECT doc_id, words, n_features, CASE WHEN n_features = 0 THEN 0
+                ELSE (total - ((total % n_features) + n_features) % n_features) // n_features END AS weight,
+                weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+            FROM noise LEFT JOIN weights USING (n)
+        ), ranks AS (
+            SELECT *, words >= 20 AS may, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+                count(*) FILTER (words >= 20) OVER () * 25 // 100 AS keep FROM scored
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= keep THEN place END AS rank FROM ranks
+    """,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
