@@ -13,6 +13,9 @@ import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from millrace.workspace import written
 
 # Texts are taken from an Arrow batch in runs of about so many characters, which bounds a task's memory.
 CHUNK_CHARS = 1 << 20
@@ -58,17 +61,41 @@ def hash_sample(df: DataFrame, names: list[str], limit: int) -> DataFrame:
     return df.orderBy(mark, *[column(n) for n in names]).limit(limit)
 
 
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` with each row's number from 0 in ``order``, which must tell all rows apart.
+
+    Rows are dealt by ranges of the order, numbered within a range and written to the shared folder; the
+    driver gets a count per range. So no task sees more than its range.
+    """
+    at, part, before = (free_name(df, base) for base in ("_at", "_part", "_before"))
+    # The number that Spark gives holds the partition from bit 33 on and the place in it below.
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(sorted_rows.withColumn(at, F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn(part, F.shiftright(at, 33))
+    total, offsets = 0, []
+    for own, n in sorted(map(tuple, rows.groupBy(part).agg(F.count("*")).collect())):
+        offsets.append((own, total))
+        total += n
+    table = df.sparkSession.createDataFrame(offsets, f"{part} bigint, {before} bigint")
+    number = F.col(before) + F.col(at).bitwiseAND((1 << 33) - 1)
+    return rows.join(F.broadcast(table), part).withColumn(name, number).drop(at, part, before)
+
+
 # Stands between segments while a text is cut; a text that holds it must be cut in another way.
 CUT = "\x1f"
 
 
-def count_segments(texts: list[str], marks: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Cut texts in columns: replace each mark in turn, then split at CUT.
+def count_segments(
+    texts: list[str], marks: list[tuple[str, str]], lower: bool = False
+) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Cut texts in columns: replace each mark in turn, then split at CUT; with ``lower``, A-Z in lower case.
 
     The distinct segments, the number of the segment at each place of all texts in a row, and the place
     at which each text begins (and the last one ends).
     """
     column = pa.array(texts, pa.large_string())
+    if lower:
+        column = pc.ascii_lower(column)
     for old, new in marks:
         column = pc.replace_substring(column, old, new)
     lists = pc.split_pattern(column, CUT)
@@ -91,7 +118,7 @@ def put_together(parts: list[bytes], numbers: np.ndarray, begins: np.ndarray, un
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: StructType | str
 ) -> DataFrame:
     """Apply ``function`` to each Arrow batch of ``df``."""
 

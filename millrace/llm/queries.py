@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import lines, multiset, packing, personal, pieces, quality, resampling, simhash, token_files, topk, warc
+from millrace.llm import (
+    lines,
+    multiset,
+    packing,
+    pattern_packing,
+    personal,
+    pieces,
+    quality,
+    repair,
+    resampling,
+    simhash,
+    token_files,
+    topk,
+    warc,
+)
 from millrace.llm.common import read_table, show_workers
 
 
@@ -69,11 +83,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.packed_texts(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return resampling.resample(documents, benchmark)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = repair.damage(read_table(spark, sf_dir, "conversations"))
+    return repair.repair(damaged, times="times", with_rows=False)
+
+
 def _query(function):
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +117,9 @@ QUERIES = {
     "op8_token_ids": _query(op8_token_ids),
     "op9_line_dedup": _query(op9_line_dedup),
     "op10_packing": _query(op10_packing),
+    "op11_pattern_packing": _query(op11_pattern_packing),
     "op12_resampling": _query(op12_resampling),
+    "op13_conversation_repair": _query(op13_conversation_repair),
     "pipeline": _query(corpus_pipeline.run),
 }
 
@@ -114,6 +139,34 @@ _LIKE = """CASE WHEN {x} = {y} THEN 1.0::DOUBLE WHEN sqrt(({sxx}) * ({syy})) > 0
 _SPREAD = "CAST(64 * list_sum(list_transform({v}[9:72], lambda a: a * a)) - list_sum({v}[9:72]) * list_sum({v}[9:72]) AS DOUBLE)"
 
 
+# Repair: a weight is its cost in ten digits and its audit, so that the least string is the least weight.
+def _edit(weight: str, edit: str, cost: str) -> str:
+    return f"(lpad(CAST(CAST(substr({weight}, 1, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || substr({weight}, 11) || '{edit}')"
+
+
+def _keep(role: str, *weights: str) -> str:
+    least = ", ".join(_edit(w, "K", "x.extra") for w in weights)
+    return f"CASE WHEN x.must = 0 AND x.initial = '{role}' THEN least({least}) END"
+
+
+def _rerole(*weights: str) -> str:
+    return f"CASE WHEN x.must = 0 THEN least({', '.join(_edit(w, 'R', '2 + x.extra') for w in weights)}) END"
+
+
+# A step of kind 1 or 2 lets a user or an assistant be inserted, one of kind 3 deals with a row.
+_STEP = f"""CASE x.kind
+    WHEN 1 THEN struct_pack(kind := 1, initial := '', must := 0, extra := 0, n := acc.n, s := acc.s,
+        u := least(acc.u, {_edit("acc.n", "I", "2")}, {_edit("acc.s", "I", "2")}, {_edit("acc.a", "I", "2")}), a := acc.a)
+    WHEN 2 THEN struct_pack(kind := 2, initial := '', must := 0, extra := 0, n := acc.n, s := acc.s, u := acc.u,
+        a := least(acc.a, {_edit("acc.u", "I", "2")}))
+    ELSE struct_pack(kind := 3, initial := '', must := 0, extra := 0, n := {_edit("acc.n", "D", "3")},
+        s := least({_edit("acc.s", "D", "3")}, {_keep("s", "acc.n")}),
+        u := least({_edit("acc.u", "D", "3")}, {_rerole("acc.n", "acc.s", "acc.a")}, {_keep("u", "acc.n", "acc.s", "acc.a")}),
+        a := least({_edit("acc.a", "D", "3")}, {_rerole("acc.u")}, {_keep("a", "acc.u")}))
+    END"""
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
 def _like(x: str, y: str) -> str:
     return _LIKE.format(x=x, y=y, sxx=_SPREAD.format(v=x), syy=_SPREAD.format(v=y))
 
@@ -210,6 +263,62 @@ ORACLES = {
         )
         SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= keep THEN place END AS rank FROM ranks
     """,
+    "op13_conversation_repair": f"""
+        WITH t AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+        ), named AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations
+        ), kinds AS (
+            SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(place, ''),
+                lambda c: CAST(unicode(c) AS BIGINT))), lambda c, b: xor(c >> 8, crc[CAST(1 + (xor(c, b) & 255) AS INT)]))) % 20 AS kind
+            FROM named, t
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM (SELECT *, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) FROM kinds)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+                rtrim(text, {_WHITE}) AS bare FROM damaged
+        ), faults AS (
+            SELECT *, left(role, 1) AS initial, CASE WHEN bare = '' THEN 1
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 2
+                WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+                lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM placed
+        ), counted AS (
+            SELECT conv_id, coalesce(max(CAST(turn AS HUGEINT)) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+                count(*) FILTER (fault = 3) AS truncated,
+                count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+                list(struct_pack(role := role, text := text, initial := initial) ORDER BY p) AS lines,
+                flatten(list([struct_pack(kind := 1, initial := '', must := 0, extra := 0, n := '', s := '', u := '', a := ''),
+                    struct_pack(kind := 2, initial := '', must := 0, extra := 0, n := '', s := '', u := '', a := ''),
+                    struct_pack(kind := 3, initial := initial, must := CAST(fault IN (1, 2) AS INT),
+                        extra := CAST(fault = 3 AS INT), n := '', s := '', u := '', a := '')] ORDER BY p)) AS steps
+            FROM faults GROUP BY conv_id
+        ), solved AS (
+            SELECT *, list_reduce(list_concat(steps, [steps[1], steps[2]]), lambda acc, x: {_STEP},
+                struct_pack(kind := 0, initial := '', must := 0, extra := 0, n := repeat('0', 10),
+                    s := CAST(NULL AS VARCHAR), u := CAST(NULL AS VARCHAR), a := CAST(NULL AS VARCHAR))) AS w FROM counted
+        ), best AS (
+            SELECT *, least(w.n, w.a) AS weight, substr(least(w.n, w.a), 11) AS audit FROM solved
+        ), walked AS (
+            SELECT *, list_reduce(list_transform(string_split(audit, ''), lambda e: struct_pack(e := e, p := 1, last := '', text := '')),
+                lambda acc, x: struct_pack(e := '', p := acc.p + CAST(x.e <> 'I' AS INT),
+                    last := CASE WHEN x.e = 'D' THEN acc.last WHEN x.e = 'K' THEN lines[acc.p].initial
+                        WHEN acc.last = 'u' THEN 'a' ELSE 'u' END,
+                    text := acc.text || CASE WHEN x.e = 'D' THEN '' ELSE chr(10)
+                        || CASE WHEN x.e = 'K' THEN lines[acc.p].role WHEN acc.last = 'u' THEN 'assistant' ELSE 'user' END
+                        || ':' || CASE WHEN x.e = 'I' THEN '' ELSE lines[acc.p].text END END),
+                struct_pack(e := '', p := 1, last := '', text := '')) AS walk FROM best
+        )
+        SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+            coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+            CAST(coalesce(substr(weight, 1, 10), '0') AS BIGINT) AS cost, coalesce(audit, '') AS audit,
+            sha256(coalesce(substr(walk.text, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN walked w ON o.conv_id IS NOT DISTINCT FROM w.conv_id
+    """,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, column, map_batches
+from millrace.llm.common import chunks, column, map_batches, numbered
 from millrace.workspace import written
 
 BUCKETS = 10_000
@@ -252,34 +252,6 @@ def scored(df: DataFrame, gains: np.ndarray, seed: int = SEED, key: str = "doc_i
     return map_batches(df.select(column(key).cast("bigint").alias("key"), column(text)), run, schema)
 
 
-def ranked(rows: DataFrame, order: list, keep: int) -> DataFrame:
-    """``rows`` with ``rank``, from 1 in ``order``, null beyond ``keep``.
-
-    Rows are dealt by ranges of the order, which must tell all rows apart, and numbered within a range; the
-    driver gets a count per range. So no task sees more than its range.
-    """
-    spark = rows.sparkSession
-    # The number of a row holds its partition above bit 33 and its place in the partition below.
-    numbered = written(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()),
-        "ranked",
-    )
-    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    sizes = numbered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
-    before, offsets = 0, []
-    for row in sorted(sizes):
-        offsets.append((row.part, before))
-        before += row.n
-    table = spark.createDataFrame(offsets, "part bigint, before bigint")
-    rank = F.col("before") + place + 1
-    return (
-        numbered.withColumn("part", part)
-        .join(F.broadcast(table), "part")
-        .withColumn("rank", F.when(rank <= keep, rank))
-        .drop("part", "before", "at")
-    )
-
-
 def resample(
     df: DataFrame,
     target: DataFrame,
@@ -310,7 +282,9 @@ def resample(
     drawable = F.col("n_words") >= min_words
     n = found.where(drawable).count()
     order = [F.desc("score"), F.asc_nulls_first("key"), F.desc("n_features"), F.asc("mark")]
-    drawn = ranked(found.where(drawable), order, percent * n // 100)
+    place = F.col("rank") + 1
+    drawn = numbered(found.where(drawable), order, "rank")
+    drawn = drawn.withColumn("rank", F.when(place <= percent * n // 100, place))
     rest = found.where(~drawable).withColumn("rank", F.lit(None).cast("bigint"))
     names = [F.col("key").alias(key), "n_features", "weight", "score", "rank"]
     return drawn.select(*names).unionByName(rest.select(*names))

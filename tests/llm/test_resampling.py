@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from llm.conftest import ODD
 from millrace.llm import resampling
+from millrace.llm.common import numbered
 
 
 def plain_features(text):
@@ -91,12 +92,13 @@ def test_resampling_of_empty_tables(spark, docs):
     assert (row.doc_id, row.n_features, row["rank"]) == (1, 39, 1)
 
 
-def test_equal_rows_are_ranked_over_several_tasks(spark, docs, settings):
-    """One text under one key as all rows: the ranges split it, as every row has a mark of its own."""
+def test_equal_rows_are_numbered_over_several_tasks(spark, docs, settings):
+    """One key as all rows: the ranges split it, as every row has a mark of its own."""
     settings(spark__sql__adaptive__enabled="false")
     rows = docs([(1, "one two three four")] * 2000).select("doc_id")
     rows = rows.withColumn("mark", F.monotonically_increasing_id())
-    found = resampling.ranked(rows, [F.asc("doc_id"), F.asc("mark")], 1500)
-    assert sorted(r["rank"] for r in found.collect() if r["rank"]) == list(range(1, 1501))
-    held = rows.repartitionByRange(F.asc("doc_id"), F.asc("mark")).rdd.glom().map(len).collect()
+    order = [F.asc("doc_id"), F.asc("mark")]
+    found = numbered(rows, order, "number").orderBy("mark").collect()
+    assert [r.number for r in found] == list(range(2000))
+    held = rows.repartitionByRange(*order).rdd.glom().map(len).collect()
     assert max(held) < 1000
