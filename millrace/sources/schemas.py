@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import csv
 import json
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,9 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace import storage
 from millrace.functions.columns import name
 from millrace.sources.files import PathLike, path_list
 from millrace.sources.formats import FormatSpec
+from millrace.sources.headers import header_names, plain, scanned_headers, with_headers
+from millrace.workspace import new_dir
+
+LEDGER = "path string, modified bigint, length bigint, portion int, header string"
+# Names of arriving files that the driver holds at once; more are read and written a portion at a time.
+FILES_AT_ONCE = 5_000
 
 # Type names of a column list. The decimal has no parameters.
 TYPE_NAMES: dict[str, T.DataType] = {
@@ -83,23 +90,129 @@ def extended_schema(
     infer_types: bool = False,
 ) -> T.StructType:
     """``pinned`` with what the files under ``path`` add; see ``pin_schema``."""
-    reader = spark.read.format(spec.fmt).options(**spec.reader_options())
-    match spec.fmt:
-        case "json":
-            reader = reader.option("primitivesAsString", not infer_types)
-        case "csv":
-            reader = reader.option("inferSchema", infer_types)
-        case "parquet":
-            reader = reader.option("mergeSchema", True)
-    found = T.StructType()
-    for files in files_by_header(spark, path, spec).values():
-        found = merged_type(found, reader.load(files).schema)
-    hinted = {c: T.DataType.fromDDL(ddl) for c, ddl in hints.items()}
-    columns = {f.name: hinted.get(f.name, f.dataType) for f in found}
-    if spec.fmt == "json":
-        columns |= hinted
-    found = T.StructType([T.StructField(c, t, True) for c, t in columns.items()])
-    return found if pinned is None else merged_type(pinned, found)
+    files = file_names(spark, path, spec)
+    return Arrived.of(files, spec, new_dir(spark, "found-files")).schema(pinned, hints, infer_types)
+
+
+def file_names(spark: SparkSession, path: PathLike, spec: FormatSpec) -> DataFrame:
+    """``path``, ``modified`` and ``length`` of every matching file; no content is read."""
+    options = {k: v for k, v in spec.reader_options().items() if k in ("pathGlobFilter", "recursiveFileLookup")}
+    found = spark.read.format("binaryFile").options(**options).load(path_list(path))
+    return found.select("path", F.unix_millis("modificationTime").alias("modified"), "length")
+
+
+@dataclass(frozen=True)
+class Arrived:
+    """Files to be loaded together, as a table: ``path``, ``modified``, ``length``, ``header`` (of CSV files
+    with one) and ``portion``.
+
+    Names stay in the table; the driver takes them a portion at a time, to hand them to a reader.
+    """
+
+    spark: SparkSession
+    spec: FormatSpec
+    files: DataFrame
+    portions: int
+
+    @classmethod
+    def of(cls, names: DataFrame, spec: FormatSpec, folder: str, at_once: int = FILES_AT_ONCE) -> Arrived:
+        """The files of ``names``, with the headers of CSV files that have one, written to ``folder``.
+
+        What a completed earlier run wrote there counts, so that the portions stay the same.
+        """
+        spark = names.sparkSession
+        if not storage.exists(spark, f"{folder}/_SUCCESS"):
+            portions = max(1, -(-names.count() // at_once))
+            portion = F.pmod(F.xxhash64("path"), F.lit(portions)).cast("int")
+            found = names.select("path", "modified", "length", portion.alias("portion"))
+            headers = None
+            if has_header(spec):
+                with_headers(names).write.mode("overwrite").parquet(f"{folder}-headers")
+                tried = spark.read.parquet(f"{folder}-headers")
+                headers = tried.where("opened").select("path", "header")
+                closed = tried.where("NOT opened")
+                for number in range(portions) if not closed.isEmpty() else ():
+                    if paths := [r.path for r in closed.where(portion == number).select("path").collect()]:
+                        headers = headers.unionByName(scanned_headers(spark, paths))
+            if headers is None:
+                found = found.withColumn("header", F.lit(None).cast("string"))
+            else:
+                found = found.join(headers, "path")
+            found.repartition("portion").write.mode("overwrite").parquet(folder)
+        files = spark.read.schema(LEDGER).parquet(folder)
+        last = files.agg(F.max("portion")).first()[0]
+        return cls(spark, spec, files, 0 if last is None else last + 1)
+
+    def portion(self, number: int) -> dict[str | None, list[str]]:
+        """Names of one portion by header, in order; a CSV file without any line has no rows and is left out."""
+        groups: dict[str | None, list[str]] = {}
+        for row in self.files.where(F.col("portion") == number).collect():
+            if row.header is not None or not has_header(self.spec):
+                groups.setdefault(row.header, []).append(row.path)
+        return {header: sorted(groups[header]) for header in sorted(groups, key=lambda h: min(groups[h]))}
+
+    def schema(
+        self,
+        pinned: T.StructType | None,
+        hints: Mapping[str, str] = ENVELOPE_HINTS,
+        infer_types: bool = False,
+    ) -> T.StructType:
+        """``pinned`` with what all these files add; see ``pin_schema``."""
+        spec = self.spec
+        found = T.StructType()
+        if has_header(spec) and not infer_types:
+            # The headers say all; they come in the order of their first files.
+            first = self.files.where("header IS NOT NULL").groupBy("header").agg(F.min("path").alias("path"))
+            for row in sorted(first.collect(), key=lambda r: r.path):
+                own = [T.StructField(c, T.StringType()) for c in header_names(row.header, spec.options["sep"])]
+                found = merged_type(found, T.StructType(own))
+        else:
+            reader = self.spark.read.format(spec.fmt).options(**spec.reader_options())
+            match spec.fmt:
+                case "json":
+                    reader = reader.option("primitivesAsString", not infer_types)
+                case "csv":
+                    reader = reader.option("inferSchema", infer_types)
+                case "parquet":
+                    reader = reader.option("mergeSchema", True)
+            for number in range(self.portions):
+                for header, paths in self.portion(number).items():
+                    if header is not None:
+                        header_names(header, spec.options["sep"])
+                    found = merged_type(found, reader.load([plain(p) for p in paths]).schema)
+        hinted = {c: T.DataType.fromDDL(ddl) for c, ddl in hints.items()}
+        columns = {f.name: hinted.get(f.name, f.dataType) for f in found}
+        if spec.fmt == "json":
+            columns |= hinted
+        found = T.StructType([T.StructField(c, t, True) for c, t in columns.items()])
+        return found if pinned is None else merged_type(pinned, found)
+
+    def rows(self, number: int, schema: T.StructType) -> DataFrame:
+        """Rows of one portion with the columns of ``schema``; CSV files with a header are read by name."""
+        reader = self.spark.read.format(self.spec.fmt).options(**self.spec.reader_options())
+        parts = []
+        for header, found in self.portion(number).items():
+            paths = [plain(p) for p in found]
+            if header is None:
+                parts.append(reader.schema(schema).load(paths))
+                continue
+            names = header_names(header, self.spec.options["sep"])
+            own = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in names])
+            parts.append(
+                reader.schema(own)
+                .load(paths)
+                .select(
+                    *[
+                        name(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name)
+                        for f in schema
+                    ]
+                )
+            )
+        return reduce(DataFrame.unionAll, parts) if parts else self.spark.createDataFrame([], schema)
+
+
+def has_header(spec: FormatSpec) -> bool:
+    return spec.fmt == "csv" and bool(spec.options["header"])
 
 
 def merged_type(old: T.DataType, new: T.DataType) -> T.DataType:
@@ -122,60 +235,6 @@ def merged_type(old: T.DataType, new: T.DataType) -> T.DataType:
     return old
 
 
-def files_by_header(
-    spark: SparkSession, path: PathLike, spec: FormatSpec
-) -> dict[tuple[str, ...] | None, list[str]]:
-    """The files to read together: those of a CSV header, or for other formats all, under None.
-
-    Spark takes the header of a CSV read from one of its files only. Headers come from the
-    beginning of each file, so a column name must not hold a line end.
-    """
-    if spec.fmt != "csv" or not spec.options["header"]:
-        return {None: path_list(path)}
-    options = {k: v for k, v in spec.reader_options().items() if k in ("pathGlobFilter", "recursiveFileLookup")}
-    lines = spark.read.options(**options).text(path_list(path))
-    first = (
-        lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .where("file_block_start = 0 AND trim(value) <> ''")
-        .withColumn("at", F.monotonically_increasing_id())
-        .groupBy("file_path")
-        .agg(F.min_by("value", "at").alias("header"))
-        .groupBy("header")
-        .agg(F.collect_list("file_path").alias("files"))
-        .collect()
-    )
-    groups: dict[tuple[str, ...] | None, list[str]] = {}
-    for row in sorted(first, key=lambda r: min(r.files)):
-        header = tuple(next(csv.reader([row.header], delimiter=spec.options["sep"])))
-        if len({c.lower() for c in header}) < len(header):
-            raise ValueError(f"the header {header} of {min(row.files)} repeats a column")
-        groups.setdefault(header, []).extend(sorted(row.files))
-    return groups
-
-
-def read_files(spark: SparkSession, path: PathLike, spec: FormatSpec, schema: T.StructType) -> DataFrame:
-    """The files' rows with the columns of ``schema``; CSV files with a header are read by name."""
-    reader = spark.read.format(spec.fmt).options(**spec.reader_options())
-    parts = []
-    for header, files in files_by_header(spark, path, spec).items():
-        if header is None:
-            parts.append(reader.schema(schema).load(files))
-            continue
-        own = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in header])
-        rows = reader.schema(own).load(files)
-        parts.append(
-            rows.select(
-                *[
-                    name(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
-                    for f in schema
-                ]
-            )
-        )
-    if not parts:
-        return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionAll, parts)
-
-
 def store_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
     state = json.dumps({"schema": schema.jsonValue()})
     spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(location)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.operators.changes import CHANGE_COLUMNS
@@ -41,7 +42,8 @@ def stream_file_names(
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
-    """Names (``path``) of the new files that ``stream_files`` would read, without their content."""
+    """The new files that ``stream_files`` would read, without their content: ``path``, ``modified`` (in
+    milliseconds) and ``length``."""
     found = spec.reader_options()
     reader = spark.readStream.format("binaryFile").schema(
         "path string, modificationTime timestamp, length bigint, content binary"
@@ -49,7 +51,8 @@ def stream_file_names(
     reader = reader.options(
         pathGlobFilter=found["pathGlobFilter"], recursiveFileLookup="true", maxFileAge=KEEP_ALL
     )
-    return _limited(reader, max_files_per_trigger, max_bytes_per_trigger).load(path).select("path")
+    files = _limited(reader, max_files_per_trigger, max_bytes_per_trigger).load(path)
+    return files.select("path", F.unix_millis("modificationTime").alias("modified"), "length")
 
 
 def stream_table(

@@ -1,6 +1,7 @@
 import base64
 import json
 import os
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -9,7 +10,8 @@ from pyspark.errors import StreamingQueryException
 from millrace import storage
 from millrace.plans import qualified, write_table
 from millrace.sources import FormatSpec
-from millrace.streaming import TargetPaths, ingest_files, reset, stop
+from millrace.sources.schemas import Arrived
+from millrace.streaming import TargetPaths, epochs, ingest_files, reset, stop
 
 ORDER = """books array<struct<book_id: string, quantity: bigint, subtotal: bigint>>,
 customer_id string, order_id string, order_timestamp string, quantity bigint, total bigint"""
@@ -234,6 +236,115 @@ def test_wider_payload_is_refused_not_lost(spark, database, tmp_path):
         job.run(message_schema="k int, m int")
 
 
+def test_portions_of_a_batch(spark, database, tmp_path, monkeypatch):
+    """Five files, two names at a time on the driver; after a failure only what lacks is written."""
+    job = Job(spark, database, tmp_path, FormatSpec("csv", {"header": True}))
+    for number in range(5):
+        job.put(f"{number}.csv", "a,b\n" if number % 2 else "b,a\n", f"{number},x\n")
+    job.put("5.csv", "a,b\n", "bad,x\n")
+    taken = []
+    portion = Arrived.portion
+
+    def watch(self, number):
+        groups = portion(self, number)
+        taken.append(sum(map(len, groups.values())))
+        return groups
+
+    monkeypatch.setattr(Arrived, "portion", watch)
+    with pytest.raises(StreamingQueryException):
+        job.run(files_at_once=1, filter_expr="cast(coalesce(nullif(a, 'x'), b) AS int) >= 0")
+    assert max(taken) < 6
+    written = len(list(Path(spark.table(job.table).inputFiles()[0].removeprefix("file:")).parent.parent.iterdir()))
+    assert written >= 1
+    job.run(files_at_once=1000, filter_expr="try_cast(coalesce(nullif(a, 'x'), b) AS int) >= 0")
+    found = rows(spark.table(job.table).selectExpr("coalesce(nullif(a, 'x'), b)"))
+    assert found == [(str(n),) for n in range(5)]
+
+
+def test_names_with_signs_that_readers_interpret(spark, database, tmp_path):
+    job = Job(spark, database, tmp_path, FormatSpec("csv", {"header": True}))
+    for number, name in enumerate(["a b.csv", "x[1].csv", "ü%20.csv", "{y}.csv", "#z.csv"]):
+        job.put(name, "a\n", f"{number}\n")
+    job.run()
+    assert rows(spark.table(job.table)) == [(str(n),) for n in range(5)]
+
+
+def test_files_without_lines_give_no_table(spark, database, tmp_path):
+    job = Job(spark, database, tmp_path, FormatSpec("csv", {"header": True}))
+    job.put("a.csv", "\n \n")
+    job.run()
+    assert not spark.catalog.tableExists(job.table)
+    job.put("b.csv", "\n", "a\n", "1\n")
+    job.run()
+    assert rows(spark.table(job.table)) == [("1",)]
+
+
+def test_archived_files_are_forgotten_and_not_loaded_twice(spark, database, tmp_path):
+    job = Job(spark, database, tmp_path, FormatSpec("json"))
+    archive = str(tmp_path / "archive")
+    for run in range(3):
+        for number in range(2):
+            job.put(f"sub/{number}.json", json.dumps({"a": f"{run}-{number}"}) + "\n")
+        job.run(hints={}, max_files_per_trigger=1, archive=archive)
+        assert not [p for p in (tmp_path / "in").rglob("*") if p.is_file()]
+    job.run(hints={}, archive=archive)
+    expected = [(f"{run}-{number}",) for run in range(3) for number in range(2)]
+    assert rows(spark.table(job.table)) == expected
+    assert len([p for p in (tmp_path / "archive").rglob("*.json")]) == 6
+    # Nothing of the epochs before is left in the checkpoint.
+    assert not storage.exists(spark, f"{job.paths.checkpoint}/sources")
+    assert storage.folder_names(spark, f"{job.paths.checkpoint}/epochs") == ["3"]
+
+
+def test_archiving_is_taken_up_again(spark, database, tmp_path, monkeypatch):
+    """The move breaks off after one file; meanwhile a new file has come under the moved one's name."""
+    job = Job(spark, database, tmp_path, FormatSpec("json"))
+    archive = str(tmp_path / "archive")
+    old = [job.put(f"{number}.json", json.dumps({"a": f"old {number}"}) + "\n") for number in range(3)]
+    move, moved = storage.move, []
+
+    def fails(spark, path, *rest):
+        if moved:
+            raise OSError("the store is away")
+        moved.append(path)
+        return move(spark, path, *rest)
+
+    monkeypatch.setattr(storage, "move", fails)
+    monkeypatch.setattr(epochs, "MOVERS", 1)
+    with pytest.raises(OSError):
+        job.run(hints={}, archive=archive)
+    monkeypatch.setattr(storage, "move", move)
+    left = [p for p in old if p.exists()]
+    assert len(left) == 2
+    again = next(p for p in old if not p.exists())
+    again.write_text(json.dumps({"a": "new one"}) + "\n")
+    job.run(hints={}, archive=archive)
+    job.run(hints={}, archive=archive)
+    assert rows(spark.table(job.table)) == [("new one",)] + [(f"old {n}",) for n in range(3)]
+
+
+def test_a_batch_that_is_not_loaded_keeps_the_epoch(spark, database, tmp_path):
+    job = Job(spark, database, tmp_path, FormatSpec("json"))
+    archive = str(tmp_path / "archive")
+    job.put("a.json", '{"a": "1"}\n')
+    job.run(hints={})
+    job.put("b.json", '{"a": "x"}\n')
+    with pytest.raises(StreamingQueryException):
+        job.run(hints={}, filter_expr="cast(a AS int) > 0", archive=archive)
+    assert storage.file_names(spark, str(tmp_path / "in")) == ["b.json"]
+    job.run(hints={}, filter_expr="a <> ''", archive=archive)
+    assert rows(spark.table(job.table)) == [("1",), ("x",)]
+    assert storage.file_names(spark, str(tmp_path / "in")) == []
+
+
+def test_archive_must_be_elsewhere(spark, job):
+    job.put("a.json", '{"a": "1"}\n')
+    with pytest.raises(ValueError, match="lies in the folder"):
+        job.run(archive=str(job.folder / "in" / "done"))
+    with pytest.raises(ValueError, match="wait"):
+        job.run(archive=str(job.folder / "done"), wait=False)
+
+
 def test_stop(spark, job):
     assert stop(None) is False
     job.put("a.json", envelope("t", {"a": 1}, 0))

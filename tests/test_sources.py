@@ -1,3 +1,4 @@
+import io
 import os
 from pathlib import Path
 
@@ -6,7 +7,7 @@ from conftest import rows
 from pyspark.sql import types as T
 
 from millrace import storage, workspace
-from millrace.sources import FormatSpec, pin_schema, scan_csv, scan_text, struct_from_columns
+from millrace.sources import FormatSpec, headers, pin_schema, scan_csv, scan_text, schemas, struct_from_columns
 from millrace.sources import stream_changes, stream_files
 
 TURBINE = [
@@ -154,6 +155,58 @@ def test_repeated_column_of_a_header_is_refused(spark, tmp_path):
         pin_schema(spark, str(tmp_path), FormatSpec("csv", {"header": True}), str(tmp_path / "s"))
 
 
+class Counting(io.BytesIO):
+    """A file that counts the bytes read."""
+
+    taken = 0
+
+    def size(self):
+        return len(self.getvalue())
+
+    def read_at(self, n, at):
+        self.taken += n
+        return self.getvalue()[at : at + n]
+
+
+@pytest.mark.parametrize(
+    "raw, line",
+    [
+        (b"a,b\n1,2\n", "a,b"),
+        (b"\xef\xbb\xbfa,b\r\n1,2", "a,b"),
+        (b"\n \t\n\ra,b\r1,2", "a,b"),
+        (b"a,b", "a,b"),
+        ("ü,日".encode(), "ü,日"),
+        (b"", None),
+        (b"\n\n", None),
+        (b"x" * 200_000 + b"\n1\n", "x" * 200_000),
+        (b"\n" * 200_000 + b"a\n", "a"),
+    ],
+)
+def test_first_line(raw, line):
+    assert headers.first_line(Counting(raw)) == line
+
+
+def test_header_takes_the_beginning_of_a_file_only():
+    file = Counting(b"a,b\n" + b"1,2\n" * 1_000_000)
+    assert headers.first_line(file) == "a,b" and file.taken == headers.HEAD_BYTES
+
+
+def test_files_that_tasks_cannot_open_are_scanned(spark, tmp_path):
+    first = put(tmp_path, "in/a b.csv", "\na,b\n1,2\n")
+    put(tmp_path, "in/[c].csv", "b,a\n1,2\n")
+    put(tmp_path, "in/empty.csv", "")
+    names = schemas.file_names(spark, str(tmp_path / "in"), FormatSpec("csv", {"header": True}))
+    opened = headers.with_headers(names).select("path", "header")
+    scanned = headers.scanned_headers(spark, [r.path for r in names.collect()])
+    assert rows(opened) == rows(scanned) and (f"file:{first}", "a,b") in rows(opened)
+    assert headers._head(f"viewfs://store{first}", {}) == (None, False)
+    assert headers._head(f"file:{first}.gone", {}) == (None, False)
+
+
+def test_header_names():
+    assert headers.header_names('a,"b,c",,d', ",") == ("a", "b,c", "_c2", "d")
+
+
 def test_pinned_schema_with_types_and_hints(spark, tmp_path):
     put(tmp_path, "a.csv", "n,d\n1,2024-01-01\n")
     spec = FormatSpec("csv", {"header": True})
