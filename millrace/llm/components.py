@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 from millrace.workspace import written
 
 
-def components(links: DataFrame) -> DataFrame:
+# A node with more than this share of all links is a hub; there are at most twice as many hubs as its inverse.
+HUB_SHARE = 1 / 1000
+
+
+def components(links: DataFrame, hub_share: float = HUB_SHARE) -> DataFrame:
     """``node``, ``component`` (the smallest node reachable) for links ``a``, ``b`` of longs or structs.
 
     A round ties all larger neighbours of each node to its smallest one, then all smaller ones, and
     is written to the shared folder. It ends when a round changes nothing; the number of rounds is
-    logarithmic in the size of the largest component. Only counts reach the driver. Links with a null
-    end or from a node to itself say nothing. Nodes without a link are not in the result.
+    logarithmic in the size of the largest component. Only counts reach the driver. The smallest neighbours
+    of hubs, which are few by their definition, go to all tasks, so that no task has all links of a hub.
+    Links with a null end or from a node to itself say nothing. Nodes without a link are not in the result.
     """
     edges = written(
         links.where(F.col("a") != F.col("b"))
@@ -22,15 +27,17 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    state = None
+    state, count = None, edges.count()
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+        least = least.select("a", F.least("low", "a").alias("m"), "n")
+        large = _with_least(both, least, 2 * count * hub_share).where("b > a")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.where("a != b").distinct(), "links-large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         small = (
-            large.join(least, "a")
+            _with_least(large, least, 2 * count * hub_share)
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b")
             .where("a != b")
@@ -43,7 +50,17 @@ def components(links: DataFrame) -> DataFrame:
         # A star per component: every node has one link, and to no node that has one itself.
         if seen == state or seen[0] == 0:
             break
-        state = seen
+        state, count = seen, seen[0]
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
+
+
+def _with_least(links: DataFrame, least: DataFrame, most: float) -> DataFrame:
+    """``links`` with ``m`` of the node ``a``; nodes with more than ``most`` links are joined by broadcast."""
+    bound = max(1000, int(most))
+    hubs = least.where(F.col("n") > bound).select(F.col("a").alias("hub"), F.col("m").alias("hub_m"))
+    marked = links.join(F.broadcast(hubs), F.col("a") == F.col("hub"), "left")
+    apart = marked.where("hub IS NOT NULL").select("a", "b", F.col("hub_m").alias("m"))
+    rest = marked.where("hub IS NULL").select("a", "b")
+    return rest.join(least.where(F.col("n") <= bound).select("a", "m"), "a").unionByName(apart)

@@ -1,13 +1,15 @@
 """Line dedup: a segment-partition edit join of all lines of a corpus.
 
-Two lines are linked if at most ``threshold`` edits (of code points) turn one into the other. A line is
-split into threshold + 1 segments; a line within the threshold of it holds one of them unchanged,
-at a place that the difference in length bounds. So segments are looked up, by length, among the
-substrings of the other lines, and what meets is verified by a banded bit-parallel edit distance.
+Two lines are linked if few edits (of code points) turn one into the other: as many as the shorter one's
+length allows, none for very short lines, which would all be near each other. The shorter line is split into
+one segment more than the edits; a line within that distance holds one of them unchanged, at a place that
+the difference in length bounds. So segments are looked up, by length, among the substrings of the other
+lines, and what meets is verified by a banded bit-parallel edit distance.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +18,21 @@ from millrace.llm.common import chunks, column, free_name
 from millrace.llm.components import components
 from millrace.workspace import broadcast_if_small, written
 
-THRESHOLD = 2
-# The shortest line that is joined, as each segment needs a code point; shorter ones only equal others.
-MIN_CHARS = THRESHOLD + 1
+# From so many code points of the shorter line on, so many edits link two lines. Shorter lines must be equal.
+Ladder = tuple[tuple[int, int], ...]
+LADDER: Ladder = ((13, 1), (24, 2))
+# Keys of lines that a task looks through together before it hands them on, and lines that it remembers so as
+# not to take them twice; more are forgotten, which costs time only.
+KEYS_AT_ONCE, REMEMBERED = 1 << 20, 1 << 20
 # Lines under one key, indexed and probing, that meet in one group; more are split over a grid of groups.
 TILE = 512
 
 
+def edits(size: int, ladder: Ladder) -> int:
+    """Edits that link a line of ``size`` with one that is no shorter."""
+    return max((n for least, n in ladder if size >= least), default=0)
+
+
 def segments(size: int, threshold: int) -> list[tuple[int, int]]:
     """Start and length of each segment of a line; the later ones are longer by one if need be."""
     short, longer = divmod(size, threshold + 1)
@@ -43,20 +53,21 @@ def places(size: int, other: int, number: int, start: int, length: int, threshol
     return range(low, high + 1)
 
 
-def keys_of(line: str, threshold: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+def keys_of(line: str, ladder: Ladder = LADDER) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Index keys and probe keys of a line, each with its segment's number."""
     from xxhash import xxh64_intdigest
 
     size = len(line)
-    index = [
-        (xxh64_intdigest(f"{size}:{number}:{line[a : a + n]}"), number)
-        for number, (a, n) in enumerate(segments(size, threshold))
-    ]
-    probes = set()
-    for other in range(max(threshold + 1, size - threshold), size + 1):
+    index, probes = [], set()
+    for other in range(size - ladder[-1][1], size + 1):
+        threshold = edits(other, ladder)
+        if size - other > threshold or not threshold:
+            continue
         for number, (a, n) in enumerate(segments(other, threshold)):
             for at in places(size, other, number, a, n, threshold):
                 probes.add((xxh64_intdigest(f"{other}:{number}:{line[at : at + n]}"), number))
+            if other == size:
+                index.append((xxh64_intdigest(f"{size}:{number}:{line[a : a + n]}"), number))
     return index, list(probes)
 
 
@@ -158,54 +169,107 @@ def _marks(line: Column) -> tuple[Column, Column]:
     return F.xxhash64(line), F.xxhash64(F.lit(1), line)
 
 
-def _key_rows(docs: DataFrame, threshold: int) -> DataFrame:
-    """Keys of all lines long enough to be joined: ``key``, ``h``, ``probe``; each line once a task."""
+# What a key row says of its line: it is looked up under the key, it looks there, or it is known to have met one.
+INDEX, PROBE, MET = range(3)
+
+
+def _key_rows(docs: DataFrame, ladder: Ladder) -> DataFrame:
+    """Keys of all lines long enough to be joined: ``key``, ``h`` and ``kind``; a line mostly once a task."""
 
     def run(batches):
         from xxhash import xxh64_intdigest
 
         seen: set[int] = set()
+        keys: list[int] = []
+        marks: list[int] = []
+        kinds: list[int] = []
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
-                out: tuple[list[int], list[int], list[bool]] = ([], [], [])
                 for text in texts:
                     for line in text.split("\n"):
-                        if len(line) <= threshold:
+                        if len(line) < ladder[0][0]:
                             continue
                         mark = xxh64_intdigest(line, 42)
                         if mark in seen:
                             continue
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
                         seen.add(mark)
-                        for probe, keys in enumerate(keys_of(line, threshold)):
-                            out[0].extend([key for key, _ in keys])
-                            out[1].extend([mark] * len(keys))
-                            out[2].extend([bool(probe)] * len(keys))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(out[0], pa.uint64()).view(pa.int64()),
-                        pa.array(out[1], pa.uint64()).view(pa.int64()),
-                        pa.array(out[2], pa.bool_()),
-                    ],
-                    ["key", "h", "probe"],
-                )
-
-    return docs.select("t").mapInArrow(run, "key bigint, h bigint, probe boolean")
+                        for kind, found in enumerate(keys_of(line, ladder)):
+                            keys.extend([key for key, _ in found])
+                            marks.extend([mark] * len(found))
+                            kinds.extend([kind] * len(found))
+                        if len(keys) > KEYS_AT_ONCE:
+                            yield thinned(keys, marks, kinds)
+                            keys, marks, kinds = [], [], []
+        if keys:
+            yield thinned(keys, marks, kinds)
+
+    return docs.select("t").mapInArrow(run, "key bigint, h bigint, kind tinyint")
+
+
+def thinned(keys: list[int], marks: list[int], kinds: list[int]) -> pa.RecordBatch:
+    """Key rows with two of each key under which lines have met already; these lines follow as MET, spread.
+
+    One of the two is looked up, the other is another line, so whatever comes under the key elsewhere still
+    meets one of them. So a frequent key costs a task few rows."""
+    key, h = (np.array(c, np.uint64).view(np.int64) for c in (keys, marks))
+    kind = np.array(kinds, np.int8)
+    order = np.lexsort((kind, key))
+    key, h, kind = key[order], h[order], kind[order]
+    begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    sizes = np.diff(np.append(begins, len(key)))
+    # The first row of a key is looked up if any is.
+    other = np.repeat(h[begins], sizes) != h
+    differs = np.add.reduceat(other, begins) > 0
+    met = differs & (kind[begins] == INDEX)
+    keep = np.repeat(~met, sizes)
+    keep[begins] = True
+    place = np.where(other, np.arange(len(key)), len(key))
+    second = np.minimum.reduceat(place, begins)[met]
+    keep[second] = True
+    known = np.unique(h[np.repeat(met, sizes)])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([key[keep], known])),
+            pa.array(np.concatenate([h[keep], known])),
+            pa.array(np.concatenate([kind[keep], np.full(len(known), MET, np.int8)])),
+        ],
+        ["key", "h", "kind"],
+    )
 
 
-def _candidates(docs: DataFrame, threshold: int) -> DataFrame:
+def lines_that_meet(batches):
+    """Of key rows in the order of key and kind, ``h`` of the lines under a key that is looked up and has
+    another line. Of a key that goes on in the next batch only two marks are remembered."""
+    last = None  # key, whether it is looked up, least and largest mark
+    for batch in batches:
+        key, h, kind = (c.to_numpy() for c in batch.columns)
+        out = [h[kind == MET]]
+        key, h, kind = (c[kind != MET] for c in (key, h, kind))
+        if len(key):
+            begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            found = kind[begins] == INDEX
+            low, high = np.minimum.reduceat(h, begins), np.maximum.reduceat(h, begins)
+            if last is not None and last[0] == key[0]:
+                found[0] = last[1]
+                met_before = last[2] != last[3]
+                low[0], high[0] = min(low[0], last[2]), max(high[0], last[3])
+                if found[0] and low[0] != high[0] and not met_before:
+                    out.append(np.array([last[2]], np.int64))
+            met = found & (low != high)
+            out.append(h[np.repeat(met, np.diff(np.append(begins, len(key))))])
+            last = key[-1], found[-1], low[-1], high[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(out)))], ["h"])
+
+
+def _candidates(docs: DataFrame, ladder: Ladder) -> DataFrame:
     """``h`` of the lines that share a key with another line; nothing is paired yet."""
-    rows = written(_key_rows(docs, threshold), "line-keys")
-    index = rows.where(~F.col("probe")).select("key", "h")
-    probes = rows.where("probe").select("key", "h")
-    other = F.col("x.key") == F.col("y.key"), F.col("x.h") != F.col("y.h")
-    found = [
-        a.alias("x").join(b.hint("merge").alias("y"), list(other), "left_semi").select("h")
-        for a, b in ((index, probes), (probes, index))
-    ]
-    return written(found[0].union(found[1]).distinct(), "line-candidates")
+    rows = _key_rows(docs, ladder).repartition("key").sortWithinPartitions("key", "kind")
+    return written(rows.mapInArrow(lines_that_meet, "h bigint").distinct(), "line-candidates")
 
 
-def _links(active: DataFrame, threshold: int, tile: int) -> DataFrame:
+def _links(active: DataFrame, ladder: Ladder, tile: int) -> DataFrame:
     """Of each line with a link, a few times: ``h``, ``g``, ``first``, ``links`` (how many other lines),
     ``least``, the first occurrence of any of them, and ``root``, that of a line it is linked to through any
     number of links. Links to the root connect all that is linked. ``active`` has h, g, line and first (a
@@ -220,7 +284,7 @@ def _links(active: DataFrame, threshold: int, tile: int) -> DataFrame:
                 part = rows[low : low + 500]
                 number, keys, segment, probe = [], [], [], []
                 for n, row in enumerate(part):
-                    for role, found in enumerate(keys_of(row["line"], threshold)):
+                    for role, found in enumerate(keys_of(row["line"], ladder)):
                         number.extend([n] * len(found))
                         keys.extend([key for key, _ in found])
                         segment.extend([s for _, s in found])
@@ -276,7 +340,8 @@ def _links(active: DataFrame, threshold: int, tile: int) -> DataFrame:
                     # Lines of one length probe each other, so one of the two ways is enough.
                     if other[0] == mine[0] or (len(other[1]) == len(mine[1]) and other[0] > mine[0]):
                         continue
-                    if len(mine[1]) - len(other[1]) > threshold or len(other[1]) > len(mine[1]):
+                    threshold = edits(len(other[1]), ladder)
+                    if not 0 <= len(mine[1]) - len(other[1]) <= threshold:
                         continue  # only the key's hash is the same
                     # A pair that meets under several segments is dealt with under the first.
                     if first_shared(other[1], mine[1], threshold) != row["segment"]:
@@ -326,7 +391,7 @@ def _found(found: dict, root: dict) -> pa.RecordBatch:
     )
 
 
-def line_classes(docs: DataFrame, threshold: int, tile: int = TILE) -> DataFrame:
+def line_classes(docs: DataFrame, ladder: Ladder, tile: int = TILE) -> DataFrame:
     """Every occurrence of a line that is not blank: document ``k`` and ``u``, line number ``p``, whether
     it is ``kept``, its ``links`` to different lines, and ``source``, the document (k and u) of the earliest
     line of its class, which is kept. A class holds all lines that links connect."""
@@ -338,15 +403,15 @@ def line_classes(docs: DataFrame, threshold: int, tile: int = TILE) -> DataFrame
     )
     occurrences = written(full.drop("line", "size"), "lines")
     firsts = written(occurrences.groupBy("h", "g").agg(F.min(F.struct("k", "u", "p")).alias("first")), "lines-first")
-    candidates = broadcast_if_small(_candidates(docs, threshold))
+    candidates = broadcast_if_small(_candidates(docs, ladder))
     texts = (
-        full.where(F.col("size") > threshold)
+        full.where(F.col("size") >= ladder[0][0])
         .join(candidates, "h", "left_semi")
         .groupBy("h", "g")
         .agg(F.min("line").alias("line"))
     )
     active = written(texts.join(firsts, ["h", "g"]), "lines-active")
-    links = written(_links(active, threshold, tile), "lines-linked")
+    links = written(_links(active, ladder, tile), "lines-linked")
     reached = components(links.select(F.col("first").alias("a"), F.col("root").alias("b")))
     linked = (
         links.groupBy("h", "g", "first")
@@ -371,29 +436,32 @@ def dedup_lines(
     df: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    threshold: int = THRESHOLD,
+    ladder: Ladder = LADDER,
     report: str = "line_report",
     with_class: bool = True,
 ) -> DataFrame:
     """``df`` with ``text`` rid of repeated lines, and a struct ``report`` on what went.
 
     Lines are what line feeds separate. The first occurrence of a line, by key and line number, stays
-    unless a line linked to it occurs earlier; all other occurrences go. Blank lines always stay, and
-    lines of no more code points than ``threshold`` are only compared for equality. The report has
+    unless a line linked to it occurs earlier; all other occurrences go. Blank lines always stay. ``ladder``
+    says from which length of the shorter line on how many edits link two lines, in ascending order; lines
+    below its first step are only compared for equality. The report has
     ``n_lines`` (not blank), ``n_removed``, ``n_links`` (of its lines to different lines, all told),
     ``class_id`` (unless it is not wanted: the smallest key of all documents that equal or linked lines
     connect, through any number of documents) and ``sources`` (the keys of the earliest lines, which
     are kept, of the removed lines' classes, ascending). A class of lines is what links connect, so a line
-    may be further than the threshold from the earliest of its class.
+    may be further than that from the earliest of its class.
 
     Null texts stay null and have no lines. Rows with a null key come first and are null in class_id and
     sources. Rows that repeat both key and text are one document and stay as often as they occur; rows
     that only repeat the key are ordered by a hash of the text. Other columns are kept; one named like
     the report is replaced. An empty table gives an empty table.
     """
+    if not ladder or any(least <= n for least, n in ladder) or list(ladder) != sorted(set(ladder)):
+        raise ValueError(f"{ladder} is no ascending list of lengths with fewer edits each")
     docs = _documents(df, key, text)
     entry = F.struct("p", "kept", "links", F.col("source.k").alias("source"))
-    occurrences = line_classes(docs, threshold)
+    occurrences = line_classes(docs, ladder)
     if with_class:
         occurrences = written(occurrences, "lines-found")
     found = occurrences.groupBy("k", "u").agg(F.collect_set(entry).alias("lines"))

@@ -2,9 +2,11 @@
 
 import base64
 import re
+from collections import Counter
 from hashlib import sha1, sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,7 +117,9 @@ def test_simhash_keeps_one(docs):
     kept = simhash.keep_one(docs(table))
     assert kept.columns == docs([]).columns
     found = kept.collect()
-    expected = {key for key, _, least in plain_components(table) if key is not None and key == least}
+    # Key 30 stands for the copies, and once more for the text that is near nothing.
+    expected = [key for key, _, least in dict.fromkeys(plain_components(table)) if key is not None and key == least]
+    assert expected.count(30) == 2
     assert sorted(r.doc_id for r in found if r.doc_id is not None) == sorted(expected)
     assert sum(r.doc_id is None for r in found) == 2
     assert simhash.keep_one(docs([])).collect() == []
@@ -178,51 +182,58 @@ def test_edit_distance_and_keys():
             assert lines.within(a, b, threshold) == (far <= threshold)
             if far <= threshold < len(short):
                 assert lines.first_shared(short, long, threshold) >= 0
-                index = {k for k, _ in lines.keys_of(short, threshold)[0]}
-                assert index & {k for k, _ in lines.keys_of(long, threshold)[1]}
+                ladder = ((threshold + 1, threshold),)
+                index = {k for k, _ in lines.keys_of(short, ladder)[0]}
+                assert index & {k for k, _ in lines.keys_of(long, ladder)[1]}
+        if 0 < far <= allowed(short):
+            index = {k for k, _ in lines.keys_of(short)[0]}
+            assert index & {k for k, _ in lines.keys_of(long)[1]}
 
 
-def plain_dedup(table, threshold=2):
-    """Text left, and the report, by comparing every line with every other one."""
+def allowed(line):
+    """Edits that link a line with one that is no shorter."""
+    return 0 if len(line) < 13 else 1 if len(line) < 24 else 2
+
+
+def linked(a, b):
+    most = allowed(min(a, b, key=len))
+    return a != b and abs(len(a) - len(b)) <= most and distance(a, b) <= most
+
+
+def plain_dedup(table):
+    """Text left, and the report, by comparing every line with every other one and closing all links."""
     unique = sorted({(k is not None, k, t or "") for k, t in table}, key=lambda r: (r[0], r[1] or 0))
     seen = []  # occurrences in order
     for _, key, text in unique:
-        seen += [((key is not None, key, p), line) for p, line in enumerate(text.split("\n")) if line.strip(" ")]
-    texts = {line for _, line in seen}
-    near = {
-        a: {
-            b
-            for b in texts
-            if a != b
-            and min(len(a), len(b)) >= lines.MIN_CHARS
-            and abs(len(a) - len(b)) <= threshold
-            and distance(a, b) <= threshold
-        }
-        for a in texts
-    }
+        seen += [((key is not None, key, text, p), line) for p, line in enumerate(text.split("\n")) if line.strip(" ")]
     order = {place: n for n, (place, _) in enumerate(seen)}
     first = {}
     for place, line in seen:
         first.setdefault(line, place)
+    near = {a: {b for b in first if linked(a, b)} for a in first}
+    group = smallest_reachable(order.values(), [(order[first[a]], order[first[b]]) for a in near for b in near[a]])
+    source = {line: seen[group[order[place]]][0] for line, place in first.items()}
+    document = {row: n for n, row in enumerate(unique)}
+    classes = smallest_reachable(
+        document.values(), [(document[place[:3]], document[source[line][:3]]) for place, line in seen]
+    )
     out = {}
     for _, key, text in unique:
-        left, sources, links, classes, n_lines, removed = [], set(), 0, [key], 0, 0
+        left, sources, links, n_lines, removed = [], set(), 0, 0, 0
         for p, line in enumerate(text.split("\n")):
+            place = (key is not None, key, text, p)
             if not line.strip(" "):
                 left.append(line)
                 continue
-            place = (key is not None, key, p)
             n_lines += 1
             links += len(near[line])
-            source = min((first[x] for x in {line, *near[line]}), key=order.get)
-            classes.append(source[1])
-            if first[line] == place and (source == place or source == first[line]):
+            if first[line] == place and all(order[first[x]] > order[place] for x in near[line]):
                 left.append(line)
             else:
                 removed += 1
-                sources.add(source[1])
-        smallest = None if None in classes else min(classes)
-        out[key, text] = ("\n".join(left), n_lines, removed, links, smallest, sorted(s for s in sources if s is not None))
+                sources.add(source[line][1])
+        least = unique[classes[document[key is not None, key, text]]][1]
+        out[key, text] = ("\n".join(left), n_lines, removed, links, least, sorted(s for s in sources if s is not None))
     return out
 
 
@@ -268,39 +279,57 @@ def test_line_dedup_of_odd_texts(docs):
 
 
 def test_line_dedup_joins_short_lines(docs):
+    """Variants of a line link from 13 code points on; shorter lines are near a copy of themselves only."""
     near = ["The anhely eran.", "The, anhely eran.", "Heti eror anesti.", "Heti, eror anesti.", "x" * 24, "x" * 23]
-    found = {r.doc_id: r for r in lines.dedup_lines(docs(list(enumerate([*near, "abc", "ac", "abcd", "ac"])))).collect()}
-    assert [found[n].line_report.n_links for n in range(10)] == [1, 1, 1, 1, 1, 1, 1, 0, 1, 0]
-    assert [n for n in range(10) if found[n].line_report.n_removed] == [1, 3, 5, 8, 9]
+    apart = ["Of.", "Ti.", "Le.", "As.", "With.", "Anth.", "abc", "ac", "abcd", "ac", "y" * 12, "y" * 13, "z" * 23, "z" * 25]
+    found = {r.doc_id: r for r in lines.dedup_lines(docs(list(enumerate([*near, *apart])))).collect()}
+    assert [found[n].line_report.n_links for n in range(20)] == [1] * 6 + [0] * 14
+    assert [n for n in range(20) if found[n].line_report.n_removed] == [1, 3, 5, 15]
     rng = np.random.default_rng(9)
-    table = [(n, "\n".join("".join(rng.choice(list("abé "), rng.integers(1, 9))) for _ in range(4))) for n in range(40)]
+    table = [(n, "\n".join("".join(rng.choice(list("ab"), rng.integers(10, 18))) for _ in range(4))) for n in range(40)]
     expected = plain_dedup(table)
+    assert any(e[3] for e in expected.values())
     for row in lines.dedup_lines(docs(table)).collect():
-        assert row.text == expected[row.doc_id, table[row.doc_id][1]][0]
-        assert tuple(row.line_report)[:3] == expected[row.doc_id, table[row.doc_id][1]][1:4]
-
-
-def plain_classes(table, threshold=2):
-    """Class and sources of each document by closing the links between all its lines and documents."""
-    seen = [
-        ((key, p), line) for key, text in sorted(table) for p, line in enumerate(text.split("\n")) if line.strip(" ")
-    ]
-    first = {}
-    for place, line in seen:
-        first.setdefault(line, place)
-    near = [
-        (a, b) for a in first for b in first
-        if a < b and min(len(a), len(b)) > threshold and distance(a, b) <= threshold
-    ]
-    group = smallest_reachable(first.values(), [(first[a], first[b]) for a, b in near])
-    classes = smallest_reachable([key for key, _ in table], [(place[0], group[first[line]][0]) for place, line in seen])
-    linked = {a: {first[y if x == line else x] for x, y in near if line in (x, y)} for line, a in first.items()}
-    gone = [(place, line) for place, line in seen if first[line] != place or any(o < place for o in linked[place])]
-    assert not {group[place] for place in first.values()} & {place for place, _ in gone}
-    return {
-        key: (classes[key], sorted({group[first[line]][0] for place, line in gone if place[0] == key}))
-        for key, _ in table
+        assert (row.text, *row.line_report) == expected[row.doc_id, table[row.doc_id][1]]
+
+
+def test_line_dedup_refuses_a_ladder_without_segments(docs):
+    for ladder in ((), ((2, 2),), ((24, 2), (13, 1))):
+        with pytest.raises(ValueError):
+            lines.dedup_lines(docs([]), ladder=ladder)
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 40])
+def test_lines_that_meet(at_once):
+    """Lines that share a key, however the rows are dealt to tasks and batches; few rows of a frequent key."""
+    rng = np.random.default_rng(12)
+    held = [" ".join(rng.choice(["aaaaaaaa", "bbbbbbbb", "cccccccc", "dddddddd"], 3)) + "xyz"[n % 3] for n in range(90)]
+    held += ["".join(rng.choice(list("abcdefgh"), 30)) for _ in range(60)]
+    marks = {line: k + 1 for k, line in enumerate(dict.fromkeys(held))}
+    rows = [(key, marks[line], kind) for line in marks for kind, found in enumerate(lines.keys_of(line)) for key, _ in found]
+    under = {}
+    for key, h, kind in rows:
+        under.setdefault(key, []).append((h, kind))
+    expected = {
+        h for met in under.values() for h, kind in met if any(g != h and {kind, role} == {0, 1} for g, role in met)
     }
+    assert 10 < len(expected) < len(marks)
+    dealt = [lines.thinned(*zip(*rows[k : k + at_once], strict=True)) for k in range(0, len(rows), at_once)]
+    whole = sorted((r for batch in dealt for r in zip(*batch.to_pydict().values(), strict=True)), key=lambda r: (r[0], r[2]))
+    if at_once > len(rows):
+        left = Counter(key for key, _, kind in whole if kind != lines.MET)
+        shared = {key for key, met in under.items() if len({h for h, _ in met}) > 1 and any(k == 0 for _, k in met)}
+        assert max(len(under[key]) for key in shared) > 10
+        assert max(left[int(np.uint64(key).view(np.int64))] for key in shared) == 2
+    for size in (3, 10_000):
+        batches = [
+            pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*whole[k : k + size], strict=True), (pa.int64(), pa.int64(), pa.int8()), strict=True)],
+                ["key", "h", "kind"],
+            )
+            for k in range(0, len(whole), size)
+        ]
+        assert {h for batch in lines.lines_that_meet(batches) for h in batch.column(0).to_pylist()} == expected
 
 
 @pytest.mark.parametrize("tile", [512, 2])
@@ -319,11 +348,10 @@ def test_line_dedup_classes_are_closed(docs, monkeypatch, tile):
     for key in range(60):
         own = [edited(rng, base[int(rng.integers(60))], int(rng.integers(0, 4)), list("abcdef")) for _ in range(key % 3)]
         table.append((key, "\n".join(own)))
-    expected, plain = plain_classes(table), plain_dedup(table)
-    assert 2 < len({c for c, _ in expected.values()}) < 50
+    expected = plain_dedup(table)
+    assert 2 < len({e[4] for e in expected.values()}) < 50
     for row in lines.dedup_lines(docs(table)).collect():
-        assert (row.line_report.class_id, row.line_report.sources) == expected[row.doc_id]
-        assert (row.text, *row.line_report[:3]) == plain[row.doc_id, table[row.doc_id][1]][:4]
+        assert (row.text, *row.line_report) == expected[row.doc_id, table[row.doc_id][1]]
 
 
 def test_line_dedup_query(spark, sf_dir):
