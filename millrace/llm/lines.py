@@ -9,6 +9,8 @@ lines, and what meets is verified by a banded bit-parallel edit distance.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -53,22 +55,36 @@ def places(size: int, other: int, number: int, start: int, length: int, threshol
     return range(low, high + 1)
 
 
-def keys_of(line: str, ladder: Ladder = LADDER) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Index keys and probe keys of a line, each with its segment's number."""
-    from xxhash import xxh64_intdigest
+# A piece of a line that is a key: from where to where, the number of the segment, and the hash's seed.
+Piece = tuple[int, int, int, int]
+
 
-    size = len(line)
-    index, probes = [], set()
+@lru_cache(maxsize=4096)
+def pieces_of(size: int, ladder: Ladder) -> tuple[list[Piece], list[Piece]]:
+    """Pieces under which a line of ``size`` is looked up, and under which it looks for others. The seed has
+    the length of the line that is looked up and the number of its segment."""
+    index, probes = [], []
     for other in range(size - ladder[-1][1], size + 1):
         threshold = edits(other, ladder)
         if size - other > threshold or not threshold:
             continue
         for number, (a, n) in enumerate(segments(other, threshold)):
-            for at in places(size, other, number, a, n, threshold):
-                probes.add((xxh64_intdigest(f"{other}:{number}:{line[at : at + n]}"), number))
+            seed = other << 8 | number
+            probes.extend((at, at + n, number, seed) for at in places(size, other, number, a, n, threshold))
             if other == size:
-                index.append((xxh64_intdigest(f"{size}:{number}:{line[a : a + n]}"), number))
-    return index, list(probes)
+                index.append((a, a + n, number, seed))
+    return index, probes
+
+
+def keys_of(line: str, ladder: Ladder = LADDER) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Index keys and probe keys of a line, each with its segment's number."""
+    from xxhash import xxh64_intdigest
+
+    index, probes = pieces_of(len(line), ladder)
+    return (
+        [(xxh64_intdigest(line[a:b], seed), number) for a, b, number, seed in index],
+        list({(xxh64_intdigest(line[a:b], seed), number) for a, b, number, seed in probes}),
+    )
 
 
 def first_shared(short: str, long: str, threshold: int) -> int:
@@ -169,7 +185,8 @@ def _marks(line: Column) -> tuple[Column, Column]:
     return F.xxhash64(line), F.xxhash64(F.lit(1), line)
 
 
-# What a key row says of its line: it is looked up under the key, it looks there, or it is known to have met one.
+# What a key row says of its line: it is looked up under the key and looks there, it only looks, or it is known to
+# have met another line.
 INDEX, PROBE, MET = range(3)
 
 
@@ -195,10 +212,14 @@ def _key_rows(docs: DataFrame, ladder: Ladder) -> DataFrame:
                         if len(seen) >= REMEMBERED:
                             seen.clear()
                         seen.add(mark)
-                        for kind, found in enumerate(keys_of(line, ladder)):
-                            keys.extend([key for key, _ in found])
-                            marks.extend([mark] * len(found))
-                            kinds.extend([kind] * len(found))
+                        index, probes = pieces_of(len(line), ladder)
+                        # A line looks under its own index keys too; it needs no second row there.
+                        own = [xxh64_intdigest(line[a:b], seed) for a, b, _, seed in index]
+                        keys += own
+                        keys += {xxh64_intdigest(line[a:b], seed) for a, b, _, seed in probes}.difference(own)
+                        kinds += [INDEX] * len(own)
+                        kinds += [PROBE] * (len(keys) - len(kinds))
+                        marks += [mark] * (len(keys) - len(marks))
                         if len(keys) > KEYS_AT_ONCE:
                             yield thinned(keys, marks, kinds)
                             keys, marks, kinds = [], [], []
