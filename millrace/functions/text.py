@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import columns_of, name
 
+# Fixed value: what a token has to hold to count.
 LETTER = "[a-zA-Z]"
 
 
@@ -39,12 +40,17 @@ def token_frequency(
     column: str = "value",
     by: str | Sequence[str] = (),
     pattern: str | None = LETTER,
+    into: str = "token",
+    count: str = "n",
 ) -> DataFrame:
     """Count ``n`` per token, and per ``by`` column where given.
 
     Counts are combined in each task before the shuffle, so a frequent token costs one row
-    per task.
+    per task. ``into`` and ``count`` name the new columns; they must differ from the ``by`` columns.
     """
     keep = columns_of(by) if by else []
-    found = tokens(df, column, keep, pattern)
-    return found.groupBy(*[name(c) for c in [*keep, "token"]]).agg(F.count(F.lit(1)).alias("n"))
+    taken = [c.lower() for c in keep]
+    if {into.lower(), count.lower()} & set(taken) or into.lower() == count.lower():
+        raise ValueError(f"{into!r} and {count!r} cannot be new columns next to {keep}; name others")
+    found = tokens(df, column, keep, pattern, into)
+    return found.groupBy(*[name(c) for c in [*keep, into]]).agg(F.count(F.lit(1)).alias(count))

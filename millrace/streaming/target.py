@@ -23,7 +23,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from millrace import storage
 from millrace.functions.columns import columns_of, matches, name, quoted
 from millrace.operators.changes import DELETE, latest_per_key
-from millrace.operators.merge import join_by_key, replace_keys
+from millrace.operators.merge import join_by_key, repeated_keys, replace_keys
 from millrace.streaming.jobs import stream_id
 
 BEFORE_FIRST_BATCH = -1
@@ -229,8 +229,7 @@ class MergeTarget:
         if base is None:
             base = spark.createDataFrame([], self.schema)
         else:
-            keyed = base.groupBy(*self._key_columns()).agg(F.count(F.lit(1)).alias("_n"))
-            if not keyed.filter("_n > 1").isEmpty():
+            if repeated_keys(base, self.keys)[1]:
                 raise ValueError(f"the initial rows repeat a key {list(self.keys)}")
             if self.buckets is not None:
                 base = base.repartition(self.buckets, *self._key_columns())

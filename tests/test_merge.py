@@ -3,8 +3,10 @@ from conftest import executed_plan, rows
 from hypothesis import given, settings as limits, strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators import merge
+from millrace.operators.merge import key_filter
 
 TARGET = "k int, j string, v bigint"
 SOURCE = "j string, k int, v int, extra int, _change_type string"
@@ -154,3 +156,61 @@ def test_columns_named_like_the_operators_own(spark, unique_target):
     source = spark.createDataFrame([(2, 3, 3, 3, 3), (4, 4, 4, 4, 4)], schema)
     merged = merge(target, source, "k", unique_target=unique_target)
     assert rows(merged) == [(1, 1, 1, 1, 1), (2, 3, 3, 3, 3), (4, 4, 4, 4, 4)]
+
+
+@pytest.mark.parametrize("unique_target", [False, True])
+@pytest.mark.parametrize("key", ["_n", "_gone", "_new", "_key_0", "_row", "keys", "most", "a.b", "`x", "place", "word", "id"])
+def test_key_of_any_name(spark, key, unique_target):
+    schema = T.StructType().add(key, T.IntegerType()).add("v", T.StringType())
+    target = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], schema)
+    source = spark.createDataFrame([(None, "B"), (3, "C"), (4, "D")], schema)
+    merged = merge(target, source, key, unique_target=unique_target)
+    assert merged.columns == [key, "v"]
+    assert rows(merged) == [(None, "B"), (1, "a"), (3, "C"), (4, "D")]
+
+
+def test_filter_keeps_every_key_and_few_others(spark):
+    odd = [(0.0, "a"), (-0.0, "b"), (float("nan"), "c"), (None, "d"), (1.5, None), (None, None)]
+    changes = spark.createDataFrame(odd, "x double, y string")
+    passes = key_filter(changes, ["x", "y"], 6)
+    assert changes.filter(passes).count() == 6
+    assert changes.withColumn("x", -F.col("x")).filter(passes).count() == 6 - 1
+    many = spark.range(0, 40_000, 2).withColumn("y", F.lit("a"))
+    passes = key_filter(many, ["id", "y"], 20_000)
+    every = spark.range(200_000).withColumn("y", F.lit("a"))
+    found = every.filter(passes)
+    assert found.join(many, ["id", "y"], "left_semi").count() == 20_000
+    assert found.count() < 20_000 + 0.05 * 180_000
+    kept = every.filter(~passes)
+    assert kept.count() + found.count() == 200_000
+
+
+def test_filter_leaves_other_kinds_of_equality_alone(spark):
+    changes = spark.createDataFrame([("A",)], "k string COLLATE UTF8_LCASE")
+    assert key_filter(changes, ["k"], 1) is None
+    target = spark.createDataFrame([("a",), ("b",)], "k string COLLATE UTF8_LCASE")
+    assert rows(merge(target, changes, "k")) == [("A",), ("b",)]
+
+
+@pytest.mark.parametrize("unique_target", [False, True])
+def test_rows_that_the_filter_keeps_out_are_not_shuffled(spark, settings, tmp_path, unique_target):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    spark.range(100_000).select("id", F.lit("old").alias("v")).write.parquet(str(tmp_path / "target"))
+    spark.range(99_500, 100_500).select("id", F.lit("new").alias("v")).write.parquet(str(tmp_path / "source"))
+    target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("target", "source"))
+    merged = merge(target, source, "id", unique_target=unique_target)
+    assert merged.groupBy("v").count().orderBy("v").collect() == [("new", 1000), ("old", 99_500)]
+    assert merged.distinct().count() == 100_500
+    # Both joins of the target lie behind the filter, which lets few of its rows through.
+    assert target.filter(key_filter(source, ["id"], 1000)).count() < 10_000
+    plan = executed_plan(merged)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "xxhash64" in plan
+
+
+def test_filter_and_plain_form_are_the_same(spark, monkeypatch):
+    schema = "k int, v string"
+    target = spark.createDataFrame([(k % 50 if k % 7 else None, "t") for k in range(300)], schema)
+    source = spark.createDataFrame([(k, "s") for k in [*range(30, 70), None]], schema)
+    filtered = rows(merge(target, source, "k"))
+    monkeypatch.setattr("millrace.operators.merge.FILTER_KEYS", 0)
+    assert rows(merge(target, source, "k")) == filtered

@@ -1,3 +1,4 @@
+import pytest
 from conftest import executed_plan, rows
 
 from millrace.functions import decode_message, token_count, token_frequency, tokens
@@ -62,3 +63,12 @@ def test_only_used_payload_fields_are_parsed(spark):
     df = spark.createDataFrame([(b'{"a": 1, "b": 2}',)], "value binary")
     plan = executed_plan(decode_message(df, "a int, b int").select("message.a"))
     assert "StructField(a,IntegerType,true)" in plan and "StructField(b" not in plan
+
+
+def test_token_columns_next_to_others_of_their_names(spark):
+    df = spark.createDataFrame([("a b a", "x", 1)], "value string, token string, n int")
+    for by in ("token", "N", ["n", "token"]):
+        with pytest.raises(ValueError, match="cannot be new columns"):
+            token_frequency(df, by=by)
+    found = token_frequency(df, by=["token", "n"], into="word", count="times")
+    assert rows(found, "token", "n", "word", "times") == [("x", 1, "a", 2), ("x", 1, "b", 1)]
