@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -117,15 +119,39 @@ def put_together(parts: list[bytes], numbers: np.ndarray, begins: np.ndarray, un
     return [view[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
+_owner: list[Callable[[], None] | str] = ["", lambda: None]
+
+
+def claim(name: str, forget: Callable[[], None]) -> None:
+    """Say that this Python worker now works for the operator ``name``, which remembers things between tasks.
+
+    A worker serves many stages one after another; what the operator before it remembers is forgotten, and
+    freed memory goes back to the system. ``forget`` is called when the next one claims the worker."""
+    if _owner[0] == name:
+        return
+    _owner[1]()
+    _owner[:] = [name, forget]
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can do that."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: StructType | str
 ) -> DataFrame:
-    """Apply ``function`` to each Arrow batch of ``df``."""
+    """Apply ``function`` to each Arrow batch of ``df``. A task's freed memory does not stay with its worker."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 yield from function(batch)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

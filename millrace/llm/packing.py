@@ -104,16 +104,22 @@ def pack(
     buckets: int = BUCKETS,
     budget: int = BUDGET,
     round_to: int = ROUND_TO,
+    mark: str | None = None,
 ) -> DataFrame:
     """``df`` with a batch for every row: ``bucket`` (from 0 by length), ``padded`` (its upper bound, the
     length all its rows are padded to), ``batch`` (unique over the table) and ``place`` in it (from 0).
 
     A batch has rows of one bucket whose padded lengths add up to ``budget`` at most; a row longer than
-    the budget is a batch by itself. Rows of a bucket are dealt by a hash of the key to groups of about
-    GROUP_ROWS, and a group's last batch may be short. Null lengths count as zero; rows with no token
-    share a bucket with the shortest. Repeated rows and null keys are packed like any other. Columns of
-    those four names are replaced. An empty table gives an empty table. Runs one job when called.
+    the budget is a batch by itself. Rows of a bucket are dealt by a hash of a mark that no two rows share to
+    groups of about GROUP_ROWS, however alike they are, and a group's last batch may be short. ``mark`` names
+    a column of written rows that is such a mark, and is dropped; without it rows are written with one first.
+    Null lengths count as zero; rows with no token share a bucket with the shortest. Repeated rows and null
+    keys are packed like any other. Columns of those four names are replaced. An empty table gives an empty
+    table. Runs jobs when called.
     """
+    if mark is None:
+        mark = free_name(df, "_mark")
+        df = written(df.withColumn(mark, F.monotonically_increasing_id()), "packing-rows")
     made = plan(df, length, buckets, round_to)
     kept = df.drop("bucket", "padded", "batch", "place")
     own = F.coalesce(column(length).cast("bigint"), F.lit(0))
@@ -135,28 +141,18 @@ def pack(
         {
             "bucket": bucket.cast("int"),
             "padded": padded,
-            # Rows that repeat a key are told apart by the whole row, so that one key is no hot group.
-            group: F.pmod(F.xxhash64(column(key), *_hashable(kept)), groups).cast("int"),
+            group: F.pmod(F.xxhash64(column(mark)), groups).cast("int"),
             fit: fits,
         }
     )
-    order = Window.partitionBy("bucket", group).orderBy(column(key), column(length))
+    order = Window.partitionBy("bucket", group).orderBy(column(key), column(length), column(mark))
     numbered = dealt.withColumn(row, F.row_number().over(order) - 1)
     return numbered.withColumns(
         {
             "batch": F.concat_ws("-", "bucket", F.col(group), F.floor(F.col(row) / F.col(fit))),
             "place": (F.col(row) % F.col(fit)).cast("int"),
         }
-    ).drop(group, fit, row)
-
-
-def _hashable(df: DataFrame) -> list:
-    """Columns that a hash accepts (not maps and variants)."""
-    return [
-        column(f.name)
-        for f in df.schema.fields
-        if not any(word in f.dataType.simpleString() for word in ("map<", "variant"))
-    ]
+    ).drop(group, fit, row, mark)
 
 
 def token_lengths(df: DataFrame, path: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
@@ -187,5 +183,5 @@ def packed_documents(df: DataFrame, path: str, key: str = "doc_id", text: str =
     Lengths are written to the shared folder once, as the histogram and the batches both read them.
     """
     lengths = token_lengths(df.select(column(key).alias("key"), column(text).alias("text")), path)
-    lengths = written(lengths, "token-lengths")
-    return pack(lengths, "key").withColumnRenamed("key", key)
+    lengths = written(lengths.withColumn("mark", F.monotonically_increasing_id()), "token-lengths")
+    return pack(lengths, "key", mark="mark").withColumnRenamed("key", key)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import CUT, chunks, column, count_segments, free_name, map_batches, numbered, put_together
+from millrace.llm.common import CUT, chunks, claim, column, count_segments, free_name, map_batches, numbered, put_together
 from millrace.workspace import written
 
 CAPACITY = 4096
@@ -156,6 +156,7 @@ def word_encoder(path: str) -> WordEncoder:
         if TaskContext.get() is not None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library would take all
         _encoders[path] = WordEncoder(path)
+    claim(f"words {path}", _encoders.clear)
     return _encoders[path]
 
 

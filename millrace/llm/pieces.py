@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import CUT, chunks, column, count_segments, put_together
+from millrace.llm.common import CUT, chunks, claim, column, count_segments, put_together
 
 SPACE = "▁"
 # Distinct segments remembered in a generation. A full generation becomes the old one, from which
@@ -275,6 +275,7 @@ def codec(path: str) -> PieceCodec:
     """The codec of a model file, made once per Python worker."""
     if path not in _codecs:
         _codecs[path] = PieceCodec(path)
+    claim(f"pieces {path}", _codecs.clear)
     return _codecs[path]
 
 

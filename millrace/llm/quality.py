@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, column, hash_sample, map_batches
+from millrace.llm.common import chunks, claim, column, hash_sample, map_batches
 
 WORDS = 1 << 14
 DIMENSIONS = 32
@@ -71,6 +71,7 @@ _words: dict[int, Words] = {}
 
 
 def _numbered(rows: int) -> Words:
+    claim("quality", _words.clear)
     return _words.setdefault(rows, Words(rows))
 
 
@@ -250,9 +251,10 @@ def fit(
 ) -> QualityModel:
     """Learn the quality of texts from ``labels`` (``key``, ``label`` 0 or 1).
 
-    Word vectors come from all documents. The network learns from at most ``sample`` labelled keys that
-    are not held out, taken in the order of a hash of the key; a fifth of them sets the temperature.
-    Null keys and labels teach nothing. A key with several labels or rows counts with each.
+    Word vectors come from all documents. The network learns from at most ``sample`` rows with labelled keys
+    that are not held out: at most as many keys, in the order of a hash of the key, and of their rows those
+    with the smallest hash of key and text. A fifth of them sets the temperature. Null keys and labels teach
+    nothing. A key with several labels or rows counts with each, within that bound.
     """
     spark = df.sparkSession
     vectors = word_vectors(df, text)
@@ -264,6 +266,11 @@ def fit(
     chosen = hash_sample(usable, ["key", "label"], sample)
     # At most ``sample`` rows of two numbers.
     texts = df.select(column(key).alias("key"), column(text).alias("text")).join(F.broadcast(chosen), "key")
+    # A key may have any number of rows; those far above the bound are left out before their features are made.
+    share = 4 * sample / max(1, texts.count())
+    mark = F.xxhash64("key", "text")
+    if share < 1:
+        texts = texts.where(mark < int(share * 2.0**64) - (1 << 63))
     shared = spark.sparkContext.broadcast(vectors)
 
     def features(batch):
@@ -274,12 +281,15 @@ def fit(
                 [
                     batch.column(0).slice(start, len(run)).cast(pa.int64()),
                     batch.column(2).slice(start, len(run)),
+                    batch.column(3).slice(start, len(run)),
                     pa.array(rows, pa.binary()),
                 ],
-                ["key", "label", "x"],
+                ["key", "label", "mark", "x"],
             )
 
-    found = map_batches(texts.select("key", "text", "label"), features, "key bigint, label int, x binary").collect()
+    schema = "key bigint, label int, mark bigint, x binary"
+    made = map_batches(texts.select("key", "text", "label", mark.alias("mark")), features, schema)
+    found = made.orderBy("mark", "key", "label", "x").limit(sample).collect()
     found.sort(key=lambda r: (zlib.crc32(b"%d" % r.key), r.key, r.label, r.x))
     size = 2 * vectors.shape[1] + 2
     x = np.frombuffer(b"".join(bytes(r.x) for r in found), np.float32).reshape(-1, size)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import CUT, chunks, column, count_segments, file_system, hash_sample, put_together, write_file
+from millrace.llm.common import CUT, chunks, claim, column, count_segments, file_system, hash_sample, put_together, write_file
 from millrace.workspace import new_dir
 
 MAGIC, END = b"MRIDS\x01\x00\x00", b"MRIDSEND"
@@ -177,6 +177,7 @@ def encoder(path: str) -> IdEncoder:
         if TaskContext.get() is not None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library would take all
         _encoders[path] = IdEncoder(path)
+    claim(f"ids {path}", _encoders.clear)
     return _encoders[path]
 
 

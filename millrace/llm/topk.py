@@ -28,29 +28,29 @@ ROUNDS = (2, 8)
 
 
 def whole_numbers(df: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """``id`` and ``v`` (``array<bigint>``, floor of ``scale`` times each component, taken as double).
+    """``row`` (a number that no two rows share), ``id`` and ``v`` (``array<double>``, floor of ``scale`` times
+    each component, taken as double).
 
-    Left out: null ids, null vectors, and those with a component that is null, not finite, or beyond
-    2**31 when scaled. Of rows that repeat an id the smallest vector counts. Shorter vectors are filled
-    up with zeros to the longest.
+    Left out: null ids, null vectors, and those with a component that is null or not finite.
     """
-    parts = F.transform(column(vector), lambda x: F.floor(x.cast("double") * scale))
+    scaled = F.transform(column(vector), lambda x: x.cast("double") * scale)
+    # From 2**52 on a double is a whole number, and beyond 2**63 its floor would not be a long.
+    parts = F.transform(scaled, lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x))
     sound = F.forall(
         column(vector),
-        lambda x: F.coalesce(F.abs(x.cast("double")) * scale < float(1 << 31), F.lit(False)) & ~F.isnan(x.cast("double")),
+        lambda x: F.coalesce((F.abs(x.cast("double")) < float("inf")) & ~F.isnan(x.cast("double")), F.lit(False)),
     )
     rows = df.where(column(key).isNotNull() & column(vector).isNotNull()).where(sound)
-    rows = rows.select(column(key).cast("bigint").alias("id"), parts.cast("array<bigint>").alias("v"))
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), column(key).cast("bigint").alias("id"), parts.alias("v"))
 
 
 def _matrix(rows: pa.Array, size: int) -> np.ndarray:
-    """Vectors of an Arrow list column, filled up with zeros, as whole numbers in float64 if exact."""
-    flat = rows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    """Vectors of an Arrow list column, filled up with zeros."""
+    flat = rows.flatten().to_numpy(zero_copy_only=False)
     lengths = pc.list_value_length(rows).to_numpy(zero_copy_only=False).astype(np.int64)
     if len(lengths) and (lengths == size).all():
         return flat.reshape(len(rows), size)
-    out = np.zeros((len(rows), size), np.int64)
+    out = np.zeros((len(rows), size))
     starts = np.cumsum(lengths) - lengths
     at = np.arange(len(flat)) - np.repeat(starts, lengths)
     out[np.repeat(np.arange(len(rows)), lengths), at] = flat
@@ -58,13 +58,32 @@ def _matrix(rows: pa.Array, size: int) -> np.ndarray:
 
 
 def products(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Exact inner products; in floating point as long as every partial sum is a whole number below 2**53."""
-    most = int(np.abs(one).max(initial=0)) * int(np.abs(other).max(initial=0)) * max(1, one.shape[1])
-    if most < 1 << 53:
-        return (one.astype(np.float64) @ other.astype(np.float64).T).astype(np.int64)
-    if most < 1 << 63:
-        return one @ other.T
-    return (one.astype(object) @ other.astype(object).T).astype(np.int64)
+    """Exact inner products of whole numbers: in floating point as long as every partial sum stays below 2**53,
+    else as whole numbers of any size."""
+    size = max(1, one.shape[1])
+    most = float(np.abs(one).max(initial=0)) * float(np.abs(other).max(initial=0)) * size
+    if most < 2.0**53:
+        return (one @ other.T).astype(np.int64)
+    if not (np.isfinite(one).all() and np.isfinite(other).all()):
+        raise OverflowError("a component is beyond all numbers when scaled")
+    whole = np.frompyfunc(int, 1, 1)
+    return whole(one).astype(object) @ whole(other).astype(object).T
+
+
+def best_of(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, own: int, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the best candidates, all but the query's ``own`` row; a best score must be a long."""
+    keep = rows != own
+    ids, scores = ids[keep], scores[keep]
+    if scores.dtype == object:
+        order = sorted(range(len(ids)), key=lambda k: (-scores[k], ids[k]))[:top]
+        if any(not -(1 << 63) <= scores[k] < 1 << 63 for k in order):
+            raise OverflowError("a score is no long")
+        return ids[order], scores[order].astype(np.int64)
+    if len(ids) > top:
+        bar = np.partition(scores, -top)[-top]
+        ids, scores = ids[scores >= bar], scores[scores >= bar]
+    order = np.lexsort((ids, -scores))[:top]
+    return ids[order], scores[order]
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -79,9 +98,8 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return sample[chosen]
 
 
-def _lifted(v: np.ndarray, longest: int) -> np.ndarray:
+def _lifted(v: np.ndarray, longest: float) -> np.ndarray:
     """The vectors with the coordinate that makes all of them as long as the longest."""
-    v = v.astype(np.float64)
     return np.column_stack([v, np.sqrt(np.maximum(longest - (v * v).sum(axis=1), 0))])
 
 
@@ -108,37 +126,44 @@ def search(
 
     Queries are the rows whose id is divisible by ``every``. Per query and rank from 1: ``query_id``,
     ``rank`` (int), ``vec_id`` and ``score`` (long), ties to the smaller id; fewer ranks if there are fewer
-    vectors. Which rows take part, see ``whole_numbers``. Of equal vectors only the top + 1 smallest ids
-    are indexed, as no others can be among the best. An empty table, or a single vector, gives no rows.
-    Columns other than key and vector are ignored.
+    vectors. Which rows take part, see ``whole_numbers``; shorter vectors are filled up with zeros to the
+    longest. Rows that repeat an id are candidates, and queries, each by itself; a row is no candidate of its
+    own only. Products are exact, and a score beyond a long is an error. Of equal vectors only the top + 1
+    smallest ids are indexed, as no others can be among the best. An empty table, or a single vector, gives no
+    rows. Columns other than key and vector are ignored.
     """
     spark = df.sparkSession
     vectors = written(whole_numbers(df, key, vector, scale), "topk-vectors")
-    length = F.aggregate("v", F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x.cast("decimal(19,0)") * x).cast("decimal(38,0)"))
-    most = vectors.agg(F.max(F.size("v")).alias("size"), F.max(length).alias("longest")).first()
-    size, longest = most["size"] or 0, int(most["longest"] or 0)
-    sample = hash_sample(vectors, ["id"], SAMPLE).select("v").toArrow()["v"].combine_chunks()
-    centres = choose_pivots(_lifted(_matrix(sample, size), longest), pivots)
+    length = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    largest = F.array_max(F.transform("v", F.abs))
+    most = vectors.agg(F.max(F.size("v")).alias("size"), F.max(length).alias("longest"), F.max(largest).alias("largest")).first()
+    size, longest, unit = most["size"] or 0, float(most["longest"] or 0), 1.0
+    if longest > 1e290:  # distances are taken of smaller vectors, lest their squares overflow
+        unit, longest = 1 / (most["largest"] * max(1, size)), 1.0
+    sample = hash_sample(vectors, ["id", "row"], SAMPLE).select("v").toArrow()["v"].combine_chunks()
+    centres = choose_pivots(_lifted(_matrix(sample, size) * unit, longest), pivots)
     # Rounding of the distances, and of squares of them, stays far below this.
-    slack = 1e-9 * (1 + float(longest))
+    slack = 1e-9 * (1 + longest)
     reach = float(np.sqrt(longest)) * 2 + 1
     width = reach / annuli / 2
 
     def place(batches):
         for batch in batches:
-            gaps = _distances(_lifted(_matrix(batch.column(1), size), longest), centres)
+            gaps = _distances(_lifted(_matrix(batch.column(2), size) * unit, longest), centres)
             nearest = gaps.argmin(axis=1)
             gap = gaps[np.arange(len(gaps)), nearest]
             ring = (gap / width).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(nearest.astype(np.int32)), pa.array(ring), pa.array(gap)],
-                ["id", "v", "pivot", "ring", "gap"],
+                [*batch.columns, pa.array(nearest.astype(np.int32)), pa.array(ring), pa.array(gap)],
+                ["row", "id", "v", "pivot", "ring", "gap"],
             )
 
-    same = Window.partitionBy("v").orderBy("id")
+    same = Window.partitionBy("v").orderBy("id", "row")
     distinct = vectors.withColumn("n", F.row_number().over(same)).where(F.col("n") <= top + 1).drop("n")
     index = written(
-        distinct.select("id", "v").mapInArrow(place, "id bigint, v array<bigint>, pivot int, ring int, gap double"),
+        distinct.select("row", "id", "v").mapInArrow(
+            place, "row bigint, id bigint, v array<double>, pivot int, ring int, gap double"
+        ),
         "topk-index",
     )
     # One row per annulus, at most 2 * pivots * (annuli + 1).
@@ -158,7 +183,7 @@ def search(
     )
     members = written(
         index.join(F.broadcast(numbers), ["pivot", "ring"]).select(
-            "annulus", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int").alias("tile"), "id", "v"
+            "annulus", F.pmod(F.xxhash64("id", "row"), F.col("tiles")).cast("int").alias("tile"), "row", "id", "v"
         ),
         "topk-members",
     )
@@ -169,17 +194,17 @@ def search(
 
         def run(batches):
             for batch in batches:
-                v = _matrix(batch.column(1), size)
-                squares = np.asarray([float(sum(int(x) * int(x) for x in row)) for row in v]) if longest >= 1 << 53 else (
-                    (v.astype(np.float64) ** 2).sum(axis=1)
-                )
+                v = _matrix(batch.column(2), size) * unit
+                squares = (v * v).sum(axis=1)
                 # The query's own extra coordinate is zero.
-                gaps = _distances(np.column_stack([v.astype(np.float64), np.zeros(len(v))]), centres)[:, owner]
+                gaps = _distances(np.column_stack([v, np.zeros(len(v))]), centres)[:, owner]
                 bound = np.maximum(np.maximum(gaps - high, low - gaps), 0)
                 ceiling = (squares[:, None] + longest - bound * bound) / 2
                 ceiling += slack * 4 + 1e-6 * np.abs(ceiling)
+                with np.errstate(over="ignore"):
+                    ceiling = ceiling / unit / unit
                 order = np.argsort(bound, axis=1, kind="stable")[:, first:last]
-                best = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
+                best = batch.column(3).to_numpy(zero_copy_only=False).astype(np.float64)
                 best = np.where(np.isnan(best), -np.inf, best)
                 wanted = np.take_along_axis(ceiling, order, axis=1) >= best[:, None]
                 rows, at = np.nonzero(wanted)
@@ -187,8 +212,8 @@ def search(
                 for k in range(0, len(rows), 4_096):
                     own = batch.take(pa.array(rows[k : k + 4_096]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(annulus[k : k + 4_096].astype(np.int32)), own.column(0), own.column(1)],
-                        ["annulus", "id", "v"],
+                        [pa.array(annulus[k : k + 4_096].astype(np.int32)), *own.columns[:3]],
+                        ["annulus", "row", "id", "v"],
                     )
 
         return run
@@ -196,15 +221,6 @@ def search(
     def compare(batches):
         group, parts, held = None, [], None
 
-        def best_of(ids, scores, query):
-            keep = ids != query
-            ids, scores = ids[keep], scores[keep]
-            if len(ids) > top:
-                bar = np.partition(scores, -top)[-top]
-                ids, scores = ids[scores >= bar], scores[scores >= bar]
-            order = np.lexsort((ids, -scores))[:top]
-            return ids[order], scores[order]
-
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -212,50 +228,51 @@ def search(
             query = batch.column(2).to_numpy(zero_copy_only=False)
             change = (np.diff(annulus) != 0) | (np.diff(tile_number) != 0) | (np.diff(query.astype(np.int8)) != 0)
             edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            out: list[tuple[np.ndarray, ...]] = []
             for a, b in zip(edges, edges[1:], strict=False):
                 here = int(annulus[a]), int(tile_number[a])
                 if here != group:
                     group, parts, held = here, [], None
-                ids = batch.column(3).slice(a, b - a).to_numpy()
-                v = _matrix(batch.column(4).slice(a, b - a), size)
+                rows, ids = (batch.column(k).slice(a, b - a).to_numpy() for k in (3, 4))
+                v = _matrix(batch.column(5).slice(a, b - a), size)
                 if not query[a]:
-                    parts.append((ids, v))
+                    parts.append((rows, ids, v))
                     continue
                 if held is None:
                     if not parts:
                         continue
-                    held = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+                    held = tuple(np.concatenate([p[k] for p in parts]) for k in range(3))
                 for k in range(0, len(ids), 256):
-                    scores = products(v[k : k + 256], held[1])
-                    for row, own in enumerate(ids[k : k + 256].tolist()):
-                        near, score = best_of(held[0], scores[row], own)
-                        out.append((np.full(len(near), own), near, score))
+                    scores = products(v[k : k + 256], held[2])
+                    for at, (own, number) in enumerate(zip(ids[k : k + 256].tolist(), rows[k : k + 256].tolist(), strict=True)):
+                        near, score = best_of(held[0], held[1], scores[at], number, top)
+                        out.append((np.full(len(near), number), np.full(len(near), own), near, score))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([o[k] for o in out])) for k in range(3)], ["query_id", "vec_id", "score"]
+                    [pa.array(np.concatenate([o[k] for o in out])) for k in range(4)],
+                    ["query_row", "query_id", "vec_id", "score"],
                 )
 
-    queries = written(vectors.where(F.col("id") % every == 0).select("id", "v"), "topk-queries")
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    best = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    queries = written(vectors.where(F.col("id") % every == 0).select("row", "id", "v"), "topk-queries")
+    ranked = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
+    best = spark.createDataFrame([], "query_row bigint, query_id bigint, rank int, vec_id bigint, score bigint")
     spans = [0, *[k for k in ROUNDS if k < len(found)], None]
     for first, last in zip(spans, spans[1:], strict=False):
-        bars = best.where(F.col("rank") == top).select(F.col("query_id").alias("id"), F.col("score").alias("bar"))
-        asked = queries.join(bars, "id", "left").select("id", "v", "bar")
-        asked = asked.mapInArrow(visits(first, last), "annulus int, id bigint, v array<bigint>")
+        bars = best.where(F.col("rank") == top).select(F.col("query_row").alias("row"), F.col("score").alias("bar"))
+        asked = queries.join(bars, "row", "left").select("row", "id", "v", "bar")
+        asked = asked.mapInArrow(visits(first, last), "annulus int, row bigint, id bigint, v array<double>")
         asked = asked.join(F.broadcast(numbers.select("annulus", "tiles")), "annulus").withColumn(
             "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
         )
-        both = members.select("annulus", "tile", F.lit(False).alias("query"), "id", "v").union(
-            asked.select("annulus", "tile", F.lit(True).alias("query"), "id", "v")
+        both = members.select("annulus", "tile", F.lit(False).alias("query"), "row", "id", "v").union(
+            asked.select("annulus", "tile", F.lit(True).alias("query"), "row", "id", "v")
         )
         scored = (
             both.repartition("annulus", "tile")
             .sortWithinPartitions("annulus", "tile", "query")
-            .mapInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
+            .mapInArrow(compare, "query_row bigint, query_id bigint, vec_id bigint, score bigint")
         )
-        merged = best.select("query_id", "vec_id", "score").union(scored)
+        merged = best.select("query_row", "query_id", "vec_id", "score").union(scored)
         merged = merged.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
-        best = written(merged.select("query_id", F.col("rank").cast("int"), "vec_id", "score"), "topk-best")
-    return best
+        best = written(merged.select("query_row", "query_id", F.col("rank").cast("int"), "vec_id", "score"), "topk-best")
+    return best.drop("query_row")

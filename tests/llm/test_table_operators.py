@@ -378,9 +378,10 @@ def plain_top(table, top=5, every=50):
     size = max((len(v) for _, v in table), default=0)
     whole = [(k, [int(np.floor(256 * float(x))) for x in v] + [0] * (size - len(v))) for k, v in table]
     out = []
-    for query, q in whole:
+    for row, (query, q) in enumerate(whole):
         if query % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), k) for k, v in whole if k != query)
+            others = [x for n, x in enumerate(whole) if n != row]
+            scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), k) for k, v in others)
             out += [(query, n + 1, k, -s) for n, (s, k) in enumerate(scores[:top])]
     return sorted(out)
 
@@ -391,13 +392,38 @@ def test_top_k_equals_brute_force(spark, tile):
     table = [(int(k), rng.normal(0, rng.choice([0.2, 3]), 6).astype(np.float32).tolist()) for k in rng.permutation(400)]
     table += [(1000 + k, table[0][1]) for k in range(60)]  # ties
     table += [(2000, [0.0] * 6), (2001, []), (2050, [1.5]), (2100, [100000.0] * 6)]
+    table += [table[3]] + [(50, table[n][1]) for n in range(5, 9)] + [(50, table[5][1])] * 3  # repeated ids and rows
+    table += [(2150, [1e8, 0.0]), (2151, [0.0, -(2.0**43)]), (2152, [0.0, 0.0, 0.0, 3e7])]  # beyond 2**31 when scaled
     junk = [(None, [1.0] * 6), (3000, None), (3050, [float("nan")] * 6), (3100, [1.0, None]), (3150, [float("inf")])]
     frame = spark.createDataFrame(
-        [(k, v, "x", 1) for k, v in [*table, table[3], *junk]], "vec_id bigint, embedding array<float>, rank string, score int"
+        [(k, v, "x", 1) for k, v in [*table, *junk]], "vec_id bigint, embedding array<float>, rank string, score int"
     ).repartition(3)
     assert rows(topk.search(frame, tile=tile), "query_id", "rank", "vec_id", "score") == plain_top(table)
 
 
+def test_products_are_exact_or_refused():
+    one = np.array([[2.0**40, 3.0], [-(2.0**33), 2.0**29]])
+    expected = [[2**80 + 9, -(2**73) + 3 * 2**29], [-(2**73) + 3 * 2**29, 2**66 + 2**58]]
+    assert topk.products(one, one).tolist() == expected
+    small = np.array([[2.0**22, 5.0], [0.0, 2.0**30]])
+    assert topk.products(one, small).tolist() == [[2**62 + 15, 3 * 2**30], [-(2**55) + 5 * 2**29, 2**59]]
+    rows_, ids = np.arange(3), np.array([7, 5, 5])
+    assert [x.tolist() for x in topk.best_of(rows_, ids, np.array([4, 4, 9]), 2, 2)] == [[5, 7], [4, 4]]
+    assert [x.tolist() for x in topk.best_of(rows_, ids, np.array([4, 4, 1 << 70], object), 2, 5)] == [[5, 7], [4, 4]]
+    with pytest.raises(OverflowError):
+        topk.best_of(rows_, ids, np.array([4, 4, 1 << 70], object), 0, 5)
+    with pytest.raises(OverflowError):
+        topk.products(np.array([[np.inf]]), np.array([[1.0]]))
+
+
+def test_vectors_whose_squares_overflow(spark):
+    table = [(0, [1e200, 0.0]), (1, [0.0, 3.0]), (2, [0.0, -2.0]), (50, [0.0, 1.0])]
+    found = topk.search(spark.createDataFrame(table, "vec_id int, embedding array<double>"))
+    assert rows(found) == plain_top(table)
+    with pytest.raises(Exception, match="no long"):
+        topk.search(spark.createDataFrame([*table, (3, [1e200, 0.0])], "vec_id int, embedding array<double>"))
+
+
 def test_top_k_of_few_vectors(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert topk.search(spark.createDataFrame([], schema)).collect() == []
@@ -523,6 +549,15 @@ def test_packing(spark, monkeypatch):
     assert packing.pack(frame.where("doc_id < 0")).collect() == []
 
 
+def test_equal_rows_are_packed_in_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 50)
+    frame = spark.createDataFrame([(None, 9, "same")] * 3000 + [(7, 9, "same")] * 2000, "doc_id bigint, n_tokens int, mark string")
+    found = packing.pack(frame, budget=160).collect()
+    check_batches(found, 160)
+    groups = Counter(r.batch.rsplit("-", 1)[0] for r in found)
+    assert len(found) == 5000 and max(groups.values()) <= 100 and {r.mark for r in found} == {"same"}
+
+
 def test_packing_query(spark, sf_dir):
     from tokenizers import Tokenizer
 

@@ -335,6 +335,19 @@ def test_quality_never_sees_held_out_labels(spark, docs):
     assert 0 < model.network.temperature <= 20
 
 
+def test_quality_sample_is_bounded_in_rows(spark, docs, monkeypatch):
+    """One labelled key with many rows, of which a bounded number reaches the driver and the training."""
+    table = [(7, f"good words and more of them {n}") for n in range(3000)] + [(8, "poor"), (9, "bad lines"), (11, "fine text")]
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, 0), (11, 1)], "doc_id bigint, quality int")
+    seen = []
+    train = quality.train
+    monkeypatch.setattr(quality, "train", lambda x, y, calibration: seen.append(len(y)) or train(x, y, calibration))
+    quality.fit(docs(table), labels, sample=200)
+    assert seen == [200]
+    quality.fit(docs(table[-4:]), labels, sample=200)
+    assert seen == [200, 4]
+
+
 def test_quality_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     model = quality.fit(docs(ODD), none)
