@@ -134,6 +134,8 @@ FROM orders""",
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(o_custkey AS VARCHAR) AS o_custkey,
        CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority
 FROM orders""",
+    "ingest_archived": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_totalprice FROM orders""",
     "ingest_and_batch": """
 SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, first
 FROM orders, (VALUES ('batch'), ('stream')) AS arrivals(first)""",

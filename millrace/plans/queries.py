@@ -369,6 +369,20 @@ def ingested_csv_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(qualified(database, "orders"))
 
 
+def ingested_and_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files with a header, arriving three times; each run archives what it has loaded, and forgets it."""
+    folder, database = new_dir(spark, "arriving"), new_database(spark)
+    orders, state = table(spark, sf_dir, "orders"), new_dir(spark, "state")
+    for status in ("F", "O", "P"):
+        rows = orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_orderstatus", "o_totalprice")
+        rows.write.mode("append").option("header", True).csv(folder)
+        ingest_files(
+            spark, folder, FormatSpec("csv", {"header": True}), database, "orders", f"{state}/checkpoints",
+            f"{state}/schemas", hints={"o_totalprice": "double"}, files_at_once=4, archive=f"{state}/archive",
+        )
+    return spark.table(qualified(database, "orders"))
+
+
 def ingested_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables, each with half of the orders from a stream and half from a batch load."""
     database, state = new_database(spark), new_dir(spark, "state")
@@ -547,6 +561,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_after_reset": ingested_after_reset,
     "ingest_late_files": ingested_late_files,
     "ingest_csv_evolving": ingested_csv_evolving,
+    "ingest_archived": ingested_and_archived,
     "ingest_and_batch": ingested_and_batch,
     "ingest_nested": ingested_nested,
     "stream_upsert": stream_upsert,
