@@ -20,6 +20,8 @@ SEED = 42
 # Fingerprints in a tile and in a block, the part of a tile that is compared in one step.
 TILE = 32_768
 BLOCK = 512
+# Tiles in order are dealt to at most so many bands; a task compares the tiles of one band with those of another.
+SIDE = 256
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -140,9 +142,11 @@ def compare(one: np.ndarray, other: np.ndarray | None, radius: int) -> tuple[np.
     return _forest(np.concatenate(left), np.concatenate(right))
 
 
-def _tiles(fps: DataFrame, size: int) -> DataFrame:
-    """Distinct fingerprints in order of their population counts, packed ``size`` or so to a row."""
-    count = fps.count()
+def _tiles(fps: DataFrame, size: int, side: int) -> DataFrame:
+    """Distinct fingerprints in order of their population counts, packed ``size`` or so to a row, and the
+    ``band`` of the row, from 0 to ``side`` at most."""
+    parts = max(1, -(-fps.count() // size))
+    bands = min(side, parts)
     words = [F.bit_count(F.shiftright("fp", 16 * k).bitwiseAND(0xFFFF)) for k in range(4)]
     order = [F.bit_count("fp"), words[0] + words[1], words[0], words[2], F.col("fp")]
 
@@ -152,60 +156,73 @@ def _tiles(fps: DataFrame, size: int) -> DataFrame:
         for low in range(0, len(values), size):
             part = np.ascontiguousarray(values[low : low + size]).view(np.uint64)
             counts = _population(part).sum(axis=1)
+            number = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([(TaskContext.get().partitionId() << 32) + low // size]),
+                    pa.array([number * bands // parts], pa.int32()),
+                    pa.array([(number << 32) + low // size]),
                     pa.array([int(counts.min())], pa.int32()),
                     pa.array([int(counts.max())], pa.int32()),
                     pa.array([part.tobytes()], pa.binary()),
                 ],
-                ["tile", "low", "high", "fps"],
+                ["band", "tile", "low", "high", "fps"],
             )
 
-    dealt = fps.repartitionByRange(max(1, -(-count // size)), *order).sortWithinPartitions(*order)
-    return written(dealt.mapInArrow(pack, "tile bigint, low int, high int, fps binary"), "simhash-tiles")
+    dealt = fps.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return written(dealt.mapInArrow(pack, "band int, tile bigint, low int, high int, fps binary"), "simhash-tiles")
 
 
-def near_links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+def near_links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE, side: int = SIDE) -> DataFrame:
     """Links ``a``, ``b`` between distinct fingerprints ``fp`` that connect all within ``radius`` bits.
 
-    Every pair of tiles whose total population counts come within the radius is compared in a task
-    that holds those two tiles. Of the links of a pair of tiles a spanning forest is kept.
+    Every pair of tiles whose total population counts come within the radius is compared. The tiles form a
+    grid of bands by bands: a task has a row's tiles and a column's, so a tile is sent once for each band
+    and not for each tile that it meets. Of the links of a pair of tiles a spanning forest is kept. The
+    driver gets the counts' range of each band, of which there are at most ``side``.
     """
-    tiles = _tiles(fps, tile)
-    ranges = tiles.select("tile", F.explode(F.sequence("low", "high")).alias("bits"), "high")
-    reach = tiles.select(
-        F.col("tile").alias("other"), F.explode(F.sequence(F.col("low") - radius, F.col("high") + radius)).alias("bits")
-    )
-    pairs = (
-        ranges.select("tile", "bits").join(reach, "bits").where("tile <= other").select("tile", "other").distinct()
-    )
-    pairs = written(pairs, "simhash-pairs")
-    count = pairs.count()
-    tasks = max(1, min(count, 2000), count // 4)
-    others = pairs.groupBy("tile").agg(F.collect_list("other").alias("others"))
-    own = pairs.groupBy("other").agg(F.collect_list("tile").alias("tiles"))
-    left = tiles.join(others, "tile").select("tile", F.explode("others").alias("other"), "fps")
-    right = (
-        tiles.select(F.col("tile").alias("other"), F.col("fps").alias("other_fps"))
-        .join(own, "other")
-        .select(F.explode("tiles").alias("tile"), "other", "other_fps")
-    )
-    packed = left.repartition(tasks, "tile", "other").join(
-        right.repartition(tasks, "tile", "other").hint("merge"), ["tile", "other"]
+    spark = fps.sparkSession
+    tiles = _tiles(fps, tile, side)
+    ranges = sorted(map(tuple, tiles.groupBy("band").agg(F.min("low"), F.max("high")).collect()))
+    cells = [
+        (row, across)
+        for k, (row, low, high) in enumerate(ranges)
+        for across, least, most in ranges[k:]
+        if least - radius <= high and low <= most + radius
+    ]
+    # At most side * (side + 1) / 2 rows of two numbers.
+    grid = F.broadcast(spark.createDataFrame(cells, "row int, across int"))
+    sent = [
+        tiles.join(grid, tiles.band == grid[by]).select("row", "across", F.lit(column_).alias("column"), "tile", "low", "high", "fps")
+        for by, column_ in (("row", False), ("across", True))
+    ]
+    dealt = (
+        sent[0]
+        .union(sent[1])
+        .repartition(max(1, len(cells)), "row", "across")
+        .sortWithinPartitions("row", "across", "column", "tile")
     )
 
     def run(batches):
+        cell, held = None, []
         for batch in batches:
-            for number in range(batch.num_rows):
-                tile, other = batch.column(0)[number].as_py(), batch.column(1)[number].as_py()
-                one = np.frombuffer(batch.column(2)[number].as_buffer(), np.uint64)
-                two = None if tile == other else np.frombuffer(batch.column(3)[number].as_buffer(), np.uint64)
-                a, b = compare(one, two, radius)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    return packed.mapInArrow(run, "a bigint, b bigint")
+            row, across, is_column, number, low, high = (batch.column(k).to_pylist() for k in range(6))
+            for at in range(batch.num_rows):
+                if (row[at], across[at]) != cell:
+                    cell, held = (row[at], across[at]), []
+                if not is_column[at]:
+                    # A batch's memory goes when the next one comes.
+                    own = np.frombuffer(batch.column(6)[at].as_py(), np.uint64)
+                    held.append((number[at], low[at], high[at], own))
+                    continue
+                two = np.frombuffer(batch.column(6)[at].as_buffer(), np.uint64)
+                for other, least, most, one in held:
+                    if other > number[at] or least - radius > high[at] or low[at] > most + radius:
+                        continue
+                    a, b = compare(one, None if other == number[at] else two, radius)
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def _groups(found: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:

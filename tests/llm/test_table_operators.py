@@ -88,15 +88,15 @@ def test_simhash_of_odd_texts(docs):
     assert simhash.near_duplicates(docs([])).collect() == []
 
 
-@pytest.mark.parametrize("tile", [40, 1000])
-def test_simhash_tiles_equal_all_pairs(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile, side", [(40, 256), (40, 3), (1000, 256)])
+def test_simhash_tiles_equal_all_pairs(spark, monkeypatch, tile, side):
     monkeypatch.setattr(simhash, "BLOCK", 16)
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
     near = [int(v) ^ (1 << int(a)) ^ (1 << int(b)) for v in base for a, b in rng.integers(0, 64, (5, 2))]
     values = sorted({int(v) for v in base} | set(near))
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    links = simhash.near_links(spark.createDataFrame([(v,) for v in signed], "fp bigint"), tile=tile).collect()
+    links = simhash.near_links(spark.createDataFrame([(v,) for v in signed], "fp bigint"), tile=tile, side=side).collect()
     assert all(((a ^ b) & (2**64 - 1)) and a != b for a, b in links)
     plain = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 3]
     assert smallest_reachable(signed, [tuple(x) for x in links]) == smallest_reachable(signed, plain)
