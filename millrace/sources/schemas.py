@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,7 +179,7 @@ class Arrived:
                 for header, paths in self.portion(number).items():
                     if header is not None:
                         header_names(header, spec.options["sep"])
-                    found = merged_type(found, reader.load([plain(p) for p in paths]).schema)
+                    found = merged_type(found, load_files(reader, paths).schema)
         hinted = {c: T.DataType.fromDDL(ddl) for c, ddl in hints.items()}
         columns = {f.name: hinted.get(f.name, f.dataType) for f in found}
         if spec.fmt == "json":
@@ -191,17 +191,14 @@ class Arrived:
         """Rows of one portion with the columns of ``schema``; CSV files with a header are read by name."""
         reader = self.spark.read.format(self.spec.fmt).options(**self.spec.reader_options())
         parts = []
-        for header, found in self.portion(number).items():
-            paths = [plain(p) for p in found]
+        for header, paths in self.portion(number).items():
             if header is None:
-                parts.append(reader.schema(schema).load(paths))
+                parts.append(load_files(reader.schema(schema), paths))
                 continue
             names = header_names(header, self.spec.options["sep"])
             own = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in names])
             parts.append(
-                reader.schema(own)
-                .load(paths)
-                .select(
+                load_files(reader.schema(own), paths).select(
                     *[
                         name(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name)
                         for f in schema
@@ -211,6 +208,20 @@ class Arrived:
         return reduce(DataFrame.unionAll, parts) if parts else self.spark.createDataFrame([], schema)
 
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def load_files(reader: DataFrameReader, paths: list[str]) -> DataFrame:
+    """The files of these names. Spark looks each of them up first, by default in a task of its own."""
+    spark = reader._spark
+    before = int(spark.conf.get(LISTING_TASKS))
+    spark.conf.set(LISTING_TASKS, min(before, 4 * spark.sparkContext.defaultParallelism))
+    try:
+        return reader.load([plain(p) for p in paths])
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+
+
 def has_header(spec: FormatSpec) -> bool:
     return spec.fmt == "csv" and bool(spec.options["header"])
 
