@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from millrace.workspace import written
 
 
-# A node with more than this share of all links is a hub; there are at most twice as many hubs as its inverse.
-HUB_SHARE = 1 / 1000
+# A node with more links than a task should have together, and with more than this share of all, is a hub. So there
+# are at most twice as many hubs as the inverse of the share, and none while all links are no more than that.
+HUB_LINKS, HUB_SHARE = 100_000, 1 / 1000
 
 
-def components(links: DataFrame, hub_share: float = HUB_SHARE) -> DataFrame:
+def components(links: DataFrame, hub_links: int = HUB_LINKS) -> DataFrame:
     """``node``, ``component`` (the smallest node reachable) for links ``a``, ``b`` of longs or structs.
 
     A round ties all larger neighbours of each node to its smallest one, then all smaller ones, and
@@ -32,12 +33,12 @@ def components(links: DataFrame, hub_share: float = HUB_SHARE) -> DataFrame:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
         least = least.select("a", F.least("low", "a").alias("m"), "n")
-        large = _with_least(both, least, 2 * count * hub_share).where("b > a")
+        large = _with_least(both, least, 2 * count, hub_links).where("b > a")
         large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.where("a != b").distinct(), "links-large")
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         small = (
-            _with_least(large, least, 2 * count * hub_share)
+            _with_least(large, least, 2 * count, hub_links)
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b")
             .where("a != b")
@@ -56,9 +57,11 @@ def components(links: DataFrame, hub_share: float = HUB_SHARE) -> DataFrame:
     )
 
 
-def _with_least(links: DataFrame, least: DataFrame, most: float) -> DataFrame:
-    """``links`` with ``m`` of the node ``a``; nodes with more than ``most`` links are joined by broadcast."""
-    bound = max(1000, int(most))
+def _with_least(links: DataFrame, least: DataFrame, count: int, hub_links: int) -> DataFrame:
+    """``links``, at most ``count``, with ``m`` of the node ``a``; that of hubs is joined by broadcast."""
+    bound = max(hub_links, int(count * HUB_SHARE))
+    if count <= bound:
+        return links.join(least.select("a", "m"), "a")
     hubs = least.where(F.col("n") > bound).select(F.col("a").alias("hub"), F.col("m").alias("hub_m"))
     marked = links.join(F.broadcast(hubs), F.col("a") == F.col("hub"), "left")
     apart = marked.where("hub IS NOT NULL").select("a", "b", F.col("hub_m").alias("m"))

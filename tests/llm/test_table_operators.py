@@ -36,11 +36,12 @@ def smallest_reachable(nodes, links):
 # components
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub_links", [100_000, 5])
+def test_components(spark, hub_links):
     rng = np.random.default_rng(1)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))]
     links += [(k, k + 1) for k in range(1000, 1100)] + [(5000, k) for k in range(5001, 5050)] + [(7, 7)]
-    found = components(spark.createDataFrame([*links, *links[:5]], "a bigint, b bigint")).collect()
+    found = components(spark.createDataFrame([*links, *links[:5]], "a bigint, b bigint"), hub_links).collect()
     nodes = {n for a, b in links for n in (a, b) if a != b}
     assert {r.node: r.component for r in found} == smallest_reachable(nodes, [x for x in links if x[0] != x[1]])
     assert len(found) == len(nodes)
