@@ -159,7 +159,8 @@ def _tiles(fps: DataFrame, size: int, side: int) -> DataFrame:
             number = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([number * bands // parts], pa.int32()),
+                    # There may be more partitions than asked for.
+                    pa.array([min(bands - 1, number * bands // parts)], pa.int32()),
                     pa.array([(number << 32) + low // size]),
                     pa.array([int(counts.min())], pa.int32()),
                     pa.array([int(counts.max())], pa.int32()),
