@@ -63,15 +63,16 @@ def hash_sample(df: DataFrame, names: list[str], limit: int) -> DataFrame:
     return df.orderBy(mark, *[column(n) for n in names]).limit(limit)
 
 
-def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+def numbered(df: DataFrame, order: list, name: str, deal: list | None = None) -> DataFrame:
     """``df`` with each row's number from 0 in ``order``, which must tell all rows apart.
 
     Rows are dealt by ranges of the order, numbered within a range and written to the shared folder; the
-    driver gets a count per range. So no task sees more than its range.
+    driver gets a count per range. So no task sees more than its range. ``deal`` is a coarser form of the
+    order for dealing, where Spark should not sample the whole values of ``order`` for the bounds.
     """
     at, part, before = (free_name(df, base) for base in ("_at", "_part", "_before"))
     # The number that Spark gives holds the partition from bit 33 on and the place in it below.
-    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_rows = df.repartitionByRange(*(deal or order)).sortWithinPartitions(*order)
     rows = written(sorted_rows.withColumn(at, F.monotonically_increasing_id()), "numbered")
     rows = rows.withColumn(part, F.shiftright(at, 33))
     total, offsets = 0, []

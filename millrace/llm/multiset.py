@@ -13,12 +13,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import column
+from millrace.llm.common import column, numbered
 
 DENSE, COUNTED = 8, 64
 DENSE_MODULUS, COUNTED_MODULUS = 1 << 32, 1 << 16
-# Documents in a range of keys that is ordered in one task, and the most ranges there are.
-ROWS_IN_RANGE, MOST_RANGES = 2_000, 1 << 14
+# Documents in a range of keys that is ordered in one task. The bounds of ranges are numbers on the driver, so there
+# are at most MOST_RANGES; with more rows, ranges get larger, and a task sorts its range with spills.
+ROWS_IN_RANGE, MOST_RANGES = 2_000, 1 << 17
+# Sampled keys for each bound, and how much larger than intended the range of a single key may be.
+SAMPLED, UNEVEN = 20, 4
+# Texts of one key are dealt to tasks by their first characters, and equal results written out in blocks.
+DEALT_CHARS, BLOCK = 256, 10_000
 
 
 def _number(digits: Column) -> Column:
@@ -124,30 +129,72 @@ def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") ->
 
 
 def _ranges(df: DataFrame) -> tuple[Column, int]:
-    """Number of the range of ``key`` that a row is in (0 for null, ascending), and the top number.
+    """Number of the range of ``key`` that a row is in (0 for null, ascending), and the intended rows of one.
 
-    The bounds are quantiles, so that a range has about ROWS_IN_RANGE rows. They are found by two
-    short scans, first among the bounds of groups and then in the group.
+    The bounds are quantiles of a sample of the keys, which only says how rows are dealt to tasks. A key that
+    several quantiles fall on has a range of its own. The range of a row is found by two short scans, first
+    among the bounds of groups and then in the group.
     """
     rows = df.select(F.count("key")).first()[0]
     wanted = min(MOST_RANGES, -(-rows // ROWS_IN_RANGE))
-    if wanted < 2:
-        return F.when(F.col("key").isNull(), 0).otherwise(1), 1
-    shares = [k / wanted for k in range(1, wanted)]
-    found = df.select(F.percentile_approx("key", shares, max(10_000, 10 * wanted))).first()[0]
-    bounds = sorted(set(found))
+    intended = max(ROWS_IN_RANGE, -(-rows // max(1, wanted)))
+    key = F.col("key")
+    bounds: list[int] = []
+    if wanted > 1:
+        shares = [k / wanted for k in range(1, wanted)]
+        share = SAMPLED * wanted / rows
+        keys = df.select("key").where(key.isNotNull())
+        if share < 1:
+            keys = keys.where(F.rand(7) < share)
+        found = keys.select(F.percentile_approx("key", shares, max(10_000, 10 * wanted))).first()[0] or []
+        alone = {k for k, after in zip(found, found[1:], strict=False) if k == after}
+        bounds = sorted({*found, *(k + 1 for k in alone if k + 1 < 1 << 63)})
+    if not bounds:
+        return F.when(key.isNull(), 0).otherwise(1), intended
     step = max(1, int(len(bounds) ** 0.5))
     groups = [bounds[k : k + step] for k in range(0, len(bounds), step)]
 
     def array(values) -> Column:
         return F.lit([int(v) for v in values]).cast("array<bigint>")
 
-    key = F.col("key")
     coarse = F.size(F.filter(array([g[0] for g in groups]), lambda b: b <= key))
     inner = F.array(*[array(g) for g in groups])
     fine = F.size(F.filter(F.get(inner, coarse - 1), lambda b: b <= key))
     number = F.when(coarse == 0, 1).otherwise(1 + step * (coarse - 1) + fine)
-    return F.when(key.isNull(), 0).otherwise(number), len(bounds) + 1
+    return F.when(key.isNull(), 0).otherwise(number), intended
+
+
+def _dealt(rows: DataFrame) -> tuple[DataFrame, list[int], list[tuple[int, int | None, int]]]:
+    """``rows`` with their ``range``; the ranges of one key that are too large for one task; and for each
+    range its number, its top key and the range that it comes after."""
+    number, intended = _ranges(rows)
+    rows = rows.withColumn("range", number)
+    # Three numbers per range come to the driver, of which there are at most about MOST_RANGES.
+    found = rows.groupBy("range").agg(F.max("key").alias("top"), F.min("key").alias("low"), F.count("*").alias("n"))
+    found = sorted(found.collect(), reverse=True)
+    hot = [r.range for r in found if r.top == r.low and r.n > UNEVEN * intended]
+    return rows, hot, [(r.range, r.top, found[k - 1].range) for k, r in enumerate(found)]
+
+
+def _hot_rows(rows: DataFrame) -> DataFrame:
+    """Rows of hot keys with the text that follows in the key (``follower``, null after the last), one row for
+    all ``copies`` of a text: copies follow each other, and the last one is followed by the next text.
+
+    The texts are sorted and numbered in many tasks, and each is joined to the one with the next number.
+    """
+    texts = rows.groupBy("range", "key", "text").agg(F.count("*").alias("copies"))
+    order = [F.col("range").desc(), F.col("text")]
+    placed = numbered(texts, order, "place", [order[0], F.substring("text", 1, DEALT_CHARS)])
+    after = placed.select("range", (F.col("place") - 1).alias("place"), F.col("text").alias("follower"))
+    return placed.join(after, ["range", "place"], "left").drop("place")
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """Each row of ``df`` as often as ``copies`` says, by blocks that are spread over tasks."""
+    blocks = df.withColumn("block", F.explode(F.expr(f"sequence(0L, (copies - 1) div {BLOCK})")))
+    times = F.least(F.lit(BLOCK), F.col("copies") - F.col("block") * BLOCK).cast("int")
+    blocks = blocks.withColumn("times", times).drop("copies").repartition("edited_sha256", "block")
+    return blocks.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).drop("block", "times", "time")
 
 
 def with_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -160,19 +207,13 @@ def with_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     ``fingerprint``, ``edited_fingerprint``, ``near_edited`` and ``near_next``. Other columns are ignored.
 
     Rows are dealt by ranges of the key. The last row of a range gets the first one of the next range by
-    a join with one text per range.
+    a join with one text per range. Keys with more rows than a range should have, null included, are sorted
+    by text over many tasks.
     """
     spark = df.sparkSession
     rows = df.select(column(key).cast("bigint").alias("key"), F.coalesce(column(text), F.lit("")).alias("text"))
-    number, _ = _ranges(rows)
-    rows = rows.withColumn("range", number)
-
-    # One number per range comes to the driver, of which there are at most MOST_RANGES + 1.
-    tops = rows.groupBy("range").agg(F.max("key").alias("key")).collect()
-    tops = sorted(((r.range, r.key) for r in tops), reverse=True)
-    heads = [(r, k, tops[n - 1][0]) for n, (r, k) in enumerate(tops)]
-    schema = "head int, top bigint, range int"
-    heads = spark.createDataFrame(heads, schema)
+    rows, hot, heads = _dealt(rows)
+    heads = spark.createDataFrame(heads, "head int, top bigint, range int")
     texts = (
         rows.withColumnRenamed("range", "head")
         .join(F.broadcast(heads), "head")
@@ -181,12 +222,19 @@ def with_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         .agg(F.min("text").alias("over"))
     )
     order = Window.partitionBy("range").orderBy(F.col("key").desc_nulls_last(), "text")
-    follow = (
-        rows.withColumn("follower", F.lead("text").over(order))
-        .join(texts, "range", "left")
-        .withColumn("next", F.coalesce("follower", "over"))
-        .drop("follower", "over")
-    )
+    even = rows.where(~F.col("range").isin(hot)) if hot else rows
+    follow = even.withColumn("follower", F.lead("text").over(order)).join(texts, "range", "left")
+    result = _edited(follow.withColumn("next", F.coalesce("follower", "over")), key)
+    if hot:
+        own = _hot_rows(rows.where(F.col("range").isin(hot)))
+        last = own.join(texts, "range", "left").withColumn("next", F.coalesce("follower", "over"))
+        copies = own.where("copies > 1").withColumn("next", F.col("text")).withColumn("copies", F.col("copies") - 1)
+        result = result.unionByName(_edited(last, key)).unionByName(_repeated(_edited(copies, key, "copies")))
+    return result
+
+
+def _edited(follow: DataFrame, key: str, *kept: str) -> DataFrame:
+    """The columns of ``with_edited`` for rows of ``key``, ``text`` and the ``next`` text, and the columns ``kept``."""
     size = F.char_length("text")
     cut = F.floor(size / 3).cast("int")
     follow = follow.withColumn(
@@ -202,6 +250,7 @@ def with_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
             own.alias("own"),
             edited.alias("changed"),
             other.alias("other"),
+            *kept,
         )
         .select(
             F.col("key").alias(key),
@@ -211,5 +260,6 @@ def with_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
             as_text(F.col("changed")).alias("edited_fingerprint"),
             likeness(F.col("own"), F.col("changed")).alias("near_edited"),
             likeness(F.col("own"), F.col("other")).alias("near_next"),
+            *kept,
         )
     )

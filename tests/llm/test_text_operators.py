@@ -419,3 +419,43 @@ def test_pipeline_keeps_the_columns(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents").withColumn("score", F.lit("mine")).withColumn("_key", F.lit(1))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, documents, sf_dir).schema.names == documents.schema.names, name
+
+
+def plain_edited(table):
+    order = sorted(table, key=lambda r: (-(r[0] if r[0] is not None else -1), r[1] or ""))
+    expected = []
+    for n, (key, text) in enumerate(order):
+        text, after = text or "", order[(n + 1) % len(order)][1] or ""
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + after[:cut]
+        own, changed, other = (plain_vector(t) for t in (text, edited, after))
+        near = []
+        for v in (changed, other):
+            spread = np.std(own[8:]) * np.std(v[8:])
+            near.append(1.0 if v == own else max(0.0, np.corrcoef(own[8:], v[8:])[0, 1]) if spread else 0.0)
+        expected.append((key, len(text), sha256(edited.encode()).hexdigest(), as_hex(own), as_hex(changed), *near))
+    return expected
+
+
+def same_rows(found, expected):
+    assert len(found) == len(expected)
+    by = lambda r: (r[0] is not None, *(str(x) for x in r[:5]), round(r[6], 6))
+    for one, two in zip(sorted(map(tuple, found), key=by), sorted(expected, key=by), strict=True):
+        assert one[:5] == two[:5]
+        assert one[5:] == pytest.approx(two[5:], abs=1e-9)
+
+
+def test_fingerprints_of_hot_keys(docs, monkeypatch):
+    monkeypatch.setattr(multiset, "ROWS_IN_RANGE", 50)
+    monkeypatch.setattr(multiset, "BLOCK", 7)
+    hot = [(500, f"Hot {n}.\nOf many {n % 7}.") for n in range(400)] + [(500, "Copy.\nSame text.")] * 300
+    none = [(None, f"None {n}") for n in range(250)] + [(None, None)] * 20
+    table = hot + none + [(n, f"Line {n}.\nMore {n % 5}.") for n in range(1000) if n != 500]
+    rows = docs(table).select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    dealt, large, _ = multiset._dealt(rows)
+    sizes = {r.range: r.n for r in dealt.groupBy("range").agg(F.count("*").alias("n")).collect()}
+    assert sorted(sizes[r] for r in large) == [270, 700]
+    assert max(n for r, n in sizes.items() if r not in large) <= 4 * 50
+    same_rows(multiset.with_edited(docs(table)).collect(), plain_edited(table))
+    only = multiset.with_edited(docs([(None, "same")] * 500)).collect()
+    assert len(only) == 500 and len({tuple(r) for r in only}) == 1 and only[0].near_next == 1.0
