@@ -1,3 +1,5 @@
+from importlib import import_module
+
 import pytest
 from conftest import executed_plan, rows
 from hypothesis import given, settings as limits, strategies as st
@@ -212,5 +214,6 @@ def test_filter_and_plain_form_are_the_same(spark, monkeypatch):
     target = spark.createDataFrame([(k % 50 if k % 7 else None, "t") for k in range(300)], schema)
     source = spark.createDataFrame([(k, "s") for k in [*range(30, 70), None]], schema)
     filtered = rows(merge(target, source, "k"))
-    monkeypatch.setattr("millrace.operators.merge.FILTER_KEYS", 0)
+    # The package's function of this name hides the module.
+    monkeypatch.setattr(import_module("millrace.operators.merge"), "FILTER_KEYS", 0)
     assert rows(merge(target, source, "k")) == filtered
