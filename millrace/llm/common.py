@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
+import string
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 from urllib.parse import unquote, urlparse
@@ -21,6 +22,8 @@ from millrace.workspace import written
 
 # Texts are taken from an Arrow batch in runs of about so many characters, which bounds a task's memory.
 CHUNK_CHARS = 1 << 20
+ASCII_LETTERS = string.ascii_letters.encode()
+ASCII_SIGNS = (string.digits + string.punctuation).encode()
 
 
 def column(name: str):
@@ -106,6 +109,44 @@ def count_segments(
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
 
 
+def cuts_between(*pairs: tuple[bytes, bytes]) -> np.ndarray:
+    """A table for ``cut_segments``: cut between each byte of a pair's first and each of its second."""
+    table = np.zeros((256, 256), bool)
+    for first, second in pairs:
+        table[np.ix_(list(first), list(second))] = True
+    return table.ravel()
+
+
+def cut_segments(
+    texts: list[str], cuts: np.ndarray, lower: bool = False, drop: bytes = b""
+) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Cut texts in columns, between the bytes that ``cuts`` tells; with ``lower``, A-Z in lower case.
+
+    The distinct segments, the number of the segment at each place of all texts in a row, and the place
+    at which each text begins (and the last one ends). Segments that begin with a byte of ``drop`` have no place.
+    """
+    column = pa.array(texts, pa.large_string())
+    if lower:
+        column = pc.ascii_lower(column)
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * column.offset)
+    size = int(offsets[-1])
+    data = data if size else pa.py_buffer(b"")
+    raw = np.frombuffer(data, np.uint8, size)
+    marks = np.zeros(size + 1, bool)
+    marks[1:-1] = cuts[(raw[:-1].astype(np.uint16) << 8) | raw[1:]]
+    marks[offsets] = True
+    at = np.flatnonzero(marks)
+    begins = np.searchsorted(at, offsets)
+    # The segments stay where they are in the column's bytes.
+    coded = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), data).dictionary_encode()
+    numbers = coded.indices.to_numpy()
+    if drop:
+        kept = ~np.isin(np.arange(256), list(drop))[raw[at[:-1]]]
+        numbers, begins = numbers[kept], np.concatenate([[0], np.cumsum(kept)])[begins]
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), numbers, begins
+
+
 def put_together(parts: list[bytes], numbers: np.ndarray, begins: np.ndarray, unit: int = 1) -> list[memoryview]:
     """Of each text the joined parts of its segments; every part's size is a multiple of ``unit``."""
     kind = np.dtype(f"V{unit}") if unit not in (1, 2, 4, 8) else np.dtype(f"u{unit}")

@@ -1,6 +1,7 @@
 """Operators that look at one text at a time: against the libraries, patterns and plain versions."""
 
 import re
+import string
 import zlib
 from hashlib import sha256
 
@@ -12,10 +13,11 @@ import corpus_pipeline
 from conftest import rows
 from llm.conftest import ODD
 from millrace.llm import multiset, personal, pieces, quality, token_files
-from millrace.llm.common import read_table
+from millrace.llm.common import cut_segments, cuts_between, read_table
 from millrace.llm.queries import QUERIES, vocabulary
 
 PIECES, BYTES = vocabulary("piece_bpe_32k.model"), vocabulary("byte_bpe_50k.json")
+ASCII_SIGNS = string.digits + string.punctuation
 
 
 def texts_of(spark, sf_dir):
@@ -72,6 +74,41 @@ def test_long_and_short_agenda_agree(monkeypatch):
     assert short == [codec.merge(w) for w in words]
 
 
+def test_short_segments_are_merged_together(monkeypatch, library):
+    """The arrays take all short segments of ordinary characters, and agree with the agenda of one segment."""
+    codec = pieces.PieceCodec(PIECES)
+    rng = np.random.default_rng(5)
+    signs = list("therandion▁▁é.,(日")
+    words = ["▁" + "".join(rng.choice(signs, rng.integers(0, 31))) for _ in range(2000)]
+    words += ["▁" * n for n in range(1, 40)] + ["▁the", "x", "▁😀", "▁" + "word" * 20]
+    rows, sizes, _ = codec.agenda.merge(words)
+    ids, begins = codec.merge_all(words)
+    one = [codec.merge(w) for w in words]
+    assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:], strict=False)] == one
+    assert sizes.tolist() == [len(one[n]) for n in rows]
+    plain = ["▁" + "".join(rng.choice(list("therandion"), rng.integers(1, 31))) for _ in range(500)]
+    monkeypatch.setattr(codec, "merge", lambda _: pytest.fail("a segment was merged by itself"))
+    assert len(codec.merge_all(plain)[1]) == 501
+
+
+def test_pieces_of_words_and_signs(monkeypatch, library):
+    """A word is learnt once, whatever sign is behind it."""
+    codec = pieces.PieceCodec(PIECES)
+    texts = [f"a word{sign} word{sign}{sign}\n  word{sign}s (word) 1{sign}word▁" for sign in ASCII_SIGNS]
+    texts += [t.replace("▁", "") for t in texts]
+    learnt = []
+    merge = codec.merge_all
+    monkeypatch.setattr(codec, "merge_all", lambda segments: learnt.extend(segments) or merge(segments))
+    found = codec.round_trip(texts)
+    assert [bytes(ids).decode() for ids, _ in found] == [",".join(map(str, library.encode(t))) for t in texts]
+    assert [bytes(out).decode() for _, out in found] == [library.decode(library.encode(t)) for t in texts]
+    codec, learnt = pieces.PieceCodec(PIECES), []
+    merge = codec.merge_all
+    monkeypatch.setattr(codec, "merge_all", lambda segments: learnt.extend(segments) or merge(segments))
+    codec.round_trip([f"a word{sign}" for sign in ASCII_SIGNS])
+    assert learnt.count("▁word") == 1 and len(learnt) == 2 + len(ASCII_SIGNS)
+
+
 # token files
 
 
@@ -114,6 +151,18 @@ def test_token_files_of_odd_texts(spark, docs, tokenizer):
     assert token_files.read_ids(spark, empty).collect() == [] and empty.n_tokens == 0
 
 
+def test_cut_segments():
+    cuts = cuts_between((b"abc", b" ,"), (b" ", b"abc"))
+    texts = ["", "ab, é c", "", "C a", ""]
+    parts, numbers, begins = cut_segments(texts, cuts)
+    whole = [[parts[n] for n in numbers[a:b]] for a, b in zip(begins, begins[1:], strict=False)]
+    assert whole == [[], ["ab", ", é ", "c"], [], ["C ", "a"], []]
+    parts, numbers, begins = cut_segments(texts, cuts, lower=True, drop=b"c")
+    whole = [[parts[n] for n in numbers[a:b]] for a, b in zip(begins, begins[1:], strict=False)]
+    assert whole == [[], ["ab", ", é "], [], [" ", "a"], []]
+    assert cut_segments(["", ""], cuts)[2].tolist() == [0, 0, 0] and cut_segments([], cuts)[0] == []
+
+
 def test_token_files_need_their_dictionary(spark, docs):
     texts = [(n, f"words of a text with number {n} and a few more") for n in range(50)]
     one = token_files.write_ids(docs(texts), BYTES)
