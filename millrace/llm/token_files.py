@@ -30,7 +30,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import CUT, chunks, claim, column, count_segments, file_system, hash_sample, put_together, write_file
+from millrace.llm.common import (
+    ASCII_LETTERS,
+    ASCII_SIGNS,
+    chunks,
+    claim,
+    column,
+    cut_segments,
+    cuts_between,
+    file_system,
+    hash_sample,
+    put_together,
+    write_file,
+)
 from millrace.workspace import new_dir
 
 MAGIC, END = b"MRIDS\x01\x00\x00", b"MRIDSEND"
@@ -46,8 +58,9 @@ REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
 # New segments that the library gets in one text, and characters that are cut at a time.
 GROUP, CUT_CHARS = 100, 1 << 22
-# Where texts are cut.
-MARKS = [(" ", CUT + " "), ("\n", CUT + "\n" + CUT)]
+# Where texts are cut: before a space, around a line end and behind a letter.
+ANY = bytes(range(256))
+CUTS = cuts_between((ANY, b" \n"), (b"\n", ANY), (ASCII_LETTERS, ASCII_SIGNS))
 # White space of ASCII besides the space and the line end.
 OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
@@ -56,8 +69,9 @@ class IdEncoder:
     """Ids of a tokenizers-library vocabulary (byte-level BPE), as little-endian bytes.
 
     The tokenizer cuts texts into words before it looks for ids, and never joins what a space or a
-    line end separates. So a text whose only white space is those two is cut there, each distinct
-    segment is encoded by the library once, and the ids are put together again. Other texts, and
+    line end separates, nor a letter with a digit or punctuation behind it. So a text whose only white
+    space is those two is cut there, each distinct segment is encoded by the library once, and the ids
+    are put together again. Other texts, and
     vocabularies of another kind, go to the library whole. The strings of special tokens in a text
     are ordinary text.
     """
@@ -112,7 +126,7 @@ class IdEncoder:
             out[number] = len(ids) // 4
         cut = [n for n, ok in enumerate(plain) if ok]
         if cut:
-            segments, numbers, begins = count_segments([texts[n] for n in cut], MARKS)
+            segments, numbers, begins = cut_segments([texts[n] for n in cut], CUTS)
             sizes = np.fromiter(map(len, self.learn(segments)), np.int64, len(segments)) // 4
             ends = np.concatenate([[0], np.cumsum(sizes[numbers])])[begins]
             for number, size in zip(cut, np.diff(ends).tolist(), strict=True):
@@ -124,7 +138,7 @@ class IdEncoder:
         if len(self.known) > REMEMBERED:
             self.old, self.known = self.known, {}
         known, old = self.known, self.old
-        found = [known.get(segment) for segment in wanted]
+        found = list(map(known.get, wanted))
         fresh = []
         for number in [n for n, ids in enumerate(found) if ids is None]:
             segment = wanted[number]
@@ -140,7 +154,7 @@ class IdEncoder:
         return found
 
     def plain(self, text: str) -> bool:
-        """Whether single spaces and line ends are the only white space, so that CUT marks all words.
+        """Whether single spaces and line ends are the only white space, so that CUTS tells all words.
 
         Of two in a row the tokenizer splits the first off, as cutting does; of more, or two at the end,
         it makes one word.
@@ -162,7 +176,7 @@ class IdEncoder:
             out[number] = ids
         cut = [n for n, ok in enumerate(plain) if ok]
         if cut:
-            segments, numbers, begins = count_segments([texts[n] for n in cut], MARKS)
+            segments, numbers, begins = cut_segments([texts[n] for n in cut], CUTS)
             for number, ids in zip(cut, put_together(self.learn(segments), numbers, begins, 4), strict=True):
                 out[number] = ids
         return out

@@ -151,6 +151,22 @@ def test_token_files_of_odd_texts(spark, docs, tokenizer):
     assert token_files.read_ids(spark, empty).collect() == [] and empty.n_tokens == 0
 
 
+def test_token_files_of_words_and_signs(monkeypatch, tokenizer):
+    """The library gets a word once, whatever sign is behind it."""
+    ids = token_files.IdEncoder(BYTES)
+    rng = np.random.default_rng(6)
+    texts = [f"a word{sign} word{sign}{sign}\nword{sign}s word{sign}1 (word) it's{sign}" for sign in ASCII_SIGNS]
+    texts += ["".join(rng.choice(list("abZé日 \n" + ASCII_SIGNS), 40)) for _ in range(500)]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in ids.encode(texts)] == expected
+    assert ids.counts(texts) == [len(e) for e in expected]
+    ids, sent = token_files.IdEncoder(BYTES), []
+    segments = ids._segments
+    monkeypatch.setattr(ids, "_segments", lambda fresh: sent.extend(fresh) or segments(fresh))
+    ids.encode([f"a word{sign}" for sign in ASCII_SIGNS])
+    assert sent.count(" word") == 1 and len(sent) == 2 + len(ASCII_SIGNS)
+
+
 def test_cut_segments():
     cuts = cuts_between((b"abc", b" ,"), (b" ", b"abc"))
     texts = ["", "ab, é c", "", "C a", ""]
