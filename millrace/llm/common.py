@@ -87,28 +87,6 @@ def numbered(df: DataFrame, order: list, name: str, deal: list | None = None) ->
     return rows.join(F.broadcast(table), part).withColumn(name, number).drop(at, part, before)
 
 
-# Stands between segments while a text is cut; a text that holds it must be cut in another way.
-CUT = "\x1f"
-
-
-def count_segments(
-    texts: list[str], marks: list[tuple[str, str]], lower: bool = False
-) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Cut texts in columns: replace each mark in turn, then split at CUT; with ``lower``, A-Z in lower case.
-
-    The distinct segments, the number of the segment at each place of all texts in a row, and the place
-    at which each text begins (and the last one ends).
-    """
-    column = pa.array(texts, pa.large_string())
-    if lower:
-        column = pc.ascii_lower(column)
-    for old, new in marks:
-        column = pc.replace_substring(column, old, new)
-    lists = pc.split_pattern(column, CUT)
-    coded = lists.flatten().dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
-
-
 def cuts_between(*pairs: tuple[bytes, bytes]) -> np.ndarray:
     """A table for ``cut_segments``: cut between each byte of a pair's first and each of its second."""
     table = np.zeros((256, 256), bool)

@@ -25,7 +25,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import CUT, chunks, claim, column, count_segments, free_name, map_batches, numbered, put_together
+from millrace.llm.common import (
+    ASCII_LETTERS,
+    ASCII_SIGNS,
+    chunks,
+    claim,
+    column,
+    cut_segments,
+    cuts_between,
+    free_name,
+    map_batches,
+    numbered,
+    put_together,
+)
 from millrace.workspace import written
 
 CAPACITY = 4096
@@ -38,11 +50,12 @@ SHORT, SHORT_WEIGHT = 1 / 16, 0.1
 # the library gets in one text.
 REMEMBERED, CUT_CHARS, GROUP = 300_000, 1 << 21, 100
 LONGEST_REMEMBERED = 64
-MARKS = [(" ", CUT), ("\n", CUT)]
-# White space of ASCII besides the space and the line end, and the sign that CUT is.
+# Texts are cut around white space, which is dropped, and behind a letter.
+SPACES = b" \n"
+OTHERS = bytes(b for b in range(256) if b not in SPACES)
+CUTS = cuts_between((OTHERS, SPACES), (SPACES, OTHERS), (ASCII_LETTERS, ASCII_SIGNS))
+# White space of ASCII besides the space and the line end.
 OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
-# Punctuation that is taken off words.
-MARKS_BEHIND = ".,;:!?"
 # Stands between words that are encoded in one text; it has a token of its own.
 BETWEEN = "\x02"
 
@@ -55,10 +68,11 @@ class WordEncoder:
 
     White space only separates words there, so a text is cut at it, each distinct word is encoded by the
     library once, and the ids are put together again. Where the vocabulary has no upper case, A-Z are lower
-    before that, and a punctuation mark behind a letter gets its own ids. Texts with other white space than
-    spaces and line ends or with combining marks (which may join letters), and vocabularies for which this
-    changes the ids of a few test words, go to the library whole. The strings of special tokens in a text are ordinary text. Words are remembered in two generations: a
-    full one becomes the old one, and the one before it is forgotten, which costs time and never results.
+    before that, and words are also cut between a letter and a digit or punctuation behind it. Texts with
+    other white space than spaces and line ends or with combining marks (which may join letters), and
+    vocabularies for which this changes the ids of a few test words, go to the library whole. The strings of
+    special tokens in a text are ordinary text. Words are remembered in two generations: a full one becomes
+    the old one, and the one before it is forgotten, which costs time and never results.
     """
 
     def __init__(self, path: str) -> None:
@@ -71,11 +85,12 @@ class WordEncoder:
         self.old: dict[str, bytes] = {}
         between = self._library([BETWEEN])[0]
         self.between = struct.unpack("<I", between)[0] if len(between) == 4 else None
-        self.marks = {mark: self._library([mark])[0] for mark in MARKS_BEHIND}
-        words = ["Ab", "c1!", "'s", "É", "日本", "don't", "Az", *(f"{w}{mark}" for w in ("x", "it's", "ñc") for mark in self.marks)]
-        parts = [w.lower()[:-1] if w[-1] in self.marks else w.lower() for w in words]
-        ids = [raw + self.marks.get(w[-1], b"") for raw, w in zip(self._library(parts), words, strict=True)]
-        self.cuts = self.between is not None and self._library([" \n" + " ".join(words) + "\n\n"]) == [b"".join(ids)]
+        words = ["Ab", "c1!", "'s", "É", "日本", "don't", "Az", "it's", "ñc", "x"]
+        words += [f"{a}{sign}{b}" for a in ("x", "it's", "ñc") for sign in ASCII_SIGNS.decode() for b in ("", "y", "..", "s")]
+        text = " \n" + " ".join(words) + "\n\n"
+        parts, numbers, _ = cut_segments([text], CUTS, lower=True, drop=SPACES)
+        ids = self._library(parts)
+        self.cuts = self.between is not None and self._library([text]) == [b"".join([ids[n] for n in numbers])]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -83,11 +98,7 @@ class WordEncoder:
 
     def _words(self, fresh: list[str]) -> list[bytes]:
         found = {"": b""}
-        # A word with a mark behind it is that word without it, which is often known, and the mark.
-        marked = {w: w[:-1] for w in fresh if w[-1:] in self.marks and "a" <= w[-2:-1] <= "z"}
-        ids = {stem: self.known.get(stem) for stem in marked.values()}
-        new = [stem for stem, own in ids.items() if own is None]
-        plain = [w for w in dict.fromkeys([*(w for w in fresh if w not in marked), *new]) if w and BETWEEN not in w]
+        plain = [w for w in fresh if w and BETWEEN not in w]
         groups = [plain[k : k + GROUP] for k in range(0, len(plain), GROUP)]
         joined = [f"{BETWEEN} " + f" {BETWEEN} ".join(g) for g in groups]
         for group, raw in zip(groups, self._library(joined), strict=True):
@@ -97,15 +108,8 @@ class WordEncoder:
                 raise AssertionError("a word holds the token between words")
             for word, low, high in zip(group, at, at[1:], strict=False):
                 found[word] = raw[low + 4 : high]
-        rest = [w for w in dict.fromkeys([*fresh, *new]) if w not in found and w not in marked]
+        rest = [w for w in fresh if w not in found]
         found.update(zip(rest, self._library(rest), strict=True))
-        for word, stem in marked.items():
-            own = ids[stem]
-            if own is None:
-                own = found[stem]
-                if len(stem) <= LONGEST_REMEMBERED:
-                    self.known[stem] = own
-            found[word] = own + self.marks[word[-1]]
         return [found[w] for w in fresh]
 
     def learn(self, wanted: list[str]) -> list[bytes]:
@@ -113,7 +117,7 @@ class WordEncoder:
         if len(self.known) > REMEMBERED:
             self.old, self.known = self.known, {}
         known, old = self.known, self.old
-        found = [known.get(word) for word in wanted]
+        found = list(map(known.get, wanted))
         fresh = []
         for number in [n for n, ids in enumerate(found) if ids is None]:
             ids = found[number] = old.get(wanted[number])
@@ -141,7 +145,7 @@ class WordEncoder:
             out[number] = ids
         cut = [n for n, ok in enumerate(plain) if ok]
         if cut:
-            words, numbers, begins = count_segments([texts[n] for n in cut], MARKS, lower=True)
+            words, numbers, begins = cut_segments([texts[n] for n in cut], CUTS, lower=True, drop=SPACES)
             for number, ids in zip(cut, put_together(self.learn(words), numbers, begins, 4), strict=True):
                 out[number] = ids
         return out

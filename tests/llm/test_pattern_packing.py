@@ -1,6 +1,7 @@
 """Pattern packing against the library's ids, best-fit decreasing and the rules of a packing."""
 
 import random
+import string
 import zlib
 from bisect import bisect_left, insort
 
@@ -46,6 +47,21 @@ def test_ids_equal_the_library(library, monkeypatch):
                 assert [bytes(ids) for ids in encoder.encode(part)] == [plain_ids(library, t)[:-1].tobytes() for t in part]
 
 
+def test_words_and_signs(library, monkeypatch):
+    """The library gets a word once, whatever sign is behind it."""
+    encoder = pattern_packing.WordEncoder(PATH)
+    signs = string.digits + string.punctuation
+    texts = [f"A word{sign} Word{sign}{sign}\nword{sign}S word{sign}1 (wORd) it's{sign}" for sign in signs]
+    rng = random.Random(5)
+    texts += ["".join(rng.choices("abZé日 \n" + signs, k=40)) for _ in range(500)]
+    assert [bytes(ids) for ids in encoder.encode(texts)] == [plain_ids(library, t)[:-1].tobytes() for t in texts]
+    encoder, sent = pattern_packing.WordEncoder(PATH), []
+    words = encoder._words
+    monkeypatch.setattr(encoder, "_words", lambda fresh: sent.extend(fresh) or words(fresh))
+    encoder.encode([f"a word{sign} Word" for sign in signs])
+    assert sent.count("word") == 1 and sorted(s for s in sent if s.strip()) == sorted(["a", "word", *signs])
+
+
 def test_other_vocabularies_go_to_the_library_whole():
     encoder = pattern_packing.WordEncoder(vocabulary("byte_bpe_50k.json"))
     assert not encoder.cuts
